@@ -44,7 +44,8 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: s
     ``lookup`` is read twice, to measure and to join: pass a scan or a settled frame.
     A lookup measured to fit is broadcast. A larger one is shuffled, after the
     frequent and the NULL keys of ``fact`` are set apart: their rows stay where
-    they are and meet the few lookup rows they need by broadcast.
+    they are and meet the few lookup rows they need by broadcast. ``broadcast``
+    states the outcome of a measurement made before.
     """
     if broadcast is None:
         broadcast = fits_broadcast(lookup, max_rows)

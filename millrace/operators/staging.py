@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import lookup_join
+
 # Source table -> warehouse table.
 STAR_TARGETS = {
     "users": "dim_users",
@@ -38,14 +40,14 @@ def new_rows(raw: DataFrame, staged: DataFrame) -> DataFrame:
 
 def absent_by_key(rows: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
     """Rows whose key the target does not hold yet, for loads that may be repeated."""
-    return rows.join(loaded.select(key), key, "left_anti")
+    return lookup_join(rows, loaded.select(key).distinct(), key, key, "left_anti", broadcast=False)
 
 
 def monthly_trend(orders: DataFrame, order_time: str,
                   clicks: DataFrame, click_time: str) -> DataFrame:
     """Orders and clicks per month in one shuffle; a month with neither has no row."""
     def monthly(df, column, orders_n, clicks_n):
-        return df.select(F.date_trunc("month", F.col(column)).cast("date").alias("month"),
+        return df.select(F.trunc(F.col(column).cast("date"), "month").alias("month"),
                          F.lit(orders_n).cast("long").alias("orders"),
                          F.lit(clicks_n).cast("long").alias("clicks"))
 

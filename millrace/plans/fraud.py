@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators import model as M
 from millrace.operators.split import hashed_order, stratified_split
 from millrace.schemas import TRANSACTION_LABEL
-from millrace.session import path_exists, scratch_path
+from millrace.session import path_exists
 from millrace.sources.batches import list_batches, mark_processed, next_batch, read_processed
 
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -49,8 +49,20 @@ class ModelStore:
         model.write().overwrite().save(path)
         return path
 
+    def split_path(self, run: str) -> str:
+        return f"{self.root}/splits/{run}"
+
+    def promoted_training_rows(self) -> DataFrame | None:
+        """Training parts of all promoted runs."""
+        location = f"{self.root}/promotions"
+        if not path_exists(self.spark, location):
+            return None
+        runs = self.spark.read.schema(_PROMOTION).parquet(location).select("run").distinct()
+        paths = [f"{self.split_path(row['run'])}/is_test=false" for row in runs.toLocalIterator()]
+        return self.spark.read.parquet(*paths)
+
     def save_metrics(self, run: str, report: DataFrame) -> None:
-        report.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/metrics/run={run}")
+        report.write.mode("overwrite").parquet(f"{self.root}/metrics/run={run}")
 
     def promote(self, run: str, auc: float, path: str) -> None:
         row = self.spark.createDataFrame([(run, auc, path)], "run string, auc double, path string")
@@ -58,33 +70,35 @@ class ModelStore:
             .write.mode("append").parquet(f"{self.root}/promotions"))
 
 
-def train_and_promote(batch: DataFrame, store: ModelStore, run: str,
-                      earlier: DataFrame | None = None, order=None,
+def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
                       params: M.BoostingParams = M.BoostingParams(),
                       gate: float = M.PROMOTION_AUC) -> Outcome:
-    """Train on 80 % of ``batch`` (and all ``earlier`` training rows), test on the rest.
+    """Train on 80 % of ``batch`` and the training parts of the batches promoted before.
 
-    Spark ML cannot continue a fitted ensemble, so earlier accepted batches are
+    Spark ML cannot continue a fitted ensemble, so rows of earlier batches are
     trained on again instead. The split is stored once and read from there.
     """
-    label = TRANSACTION_LABEL
-    order = order or hashed_order(*batch.columns)
-    parts = scratch_path(batch.sparkSession, f"split-{run}")
-    stratified_split(batch, label, order).write.partitionBy("is_test").parquet(parts)
-    split = batch.sparkSession.read.parquet(parts)
-    train = M.drop_identifiers(split.where(~F.col("is_test")).drop("is_test"))
-    test = M.drop_identifiers(split.where("is_test").drop("is_test"))
+    spark, label = batch.sparkSession, TRANSACTION_LABEL
+    earlier = store.promoted_training_rows()
+    parts = store.split_path(run)
+    split = stratified_split(batch, label, order or hashed_order(*batch.columns))
+    split.write.mode("overwrite").partitionBy("is_test").parquet(parts)
+    train = spark.read.parquet(f"{parts}/is_test=false")
     if earlier is not None:
-        train = train.unionByName(M.drop_identifiers(earlier))
+        train = train.unionByName(earlier)
+    train = M.drop_identifiers(train)
+    test = M.drop_identifiers(spark.read.parquet(f"{parts}/is_test=true"))
 
     previous = store.production()
-    numeric = M.numeric_columns(train)
-    model = M.train_model(train, numeric, M.encoder_of(previous) if previous else None, params)
+    model = M.train_model(train, M.numeric_columns(train),
+                          M.encoder_of(previous) if previous else None, params)
     path = store.save_candidate(run, model)
 
-    report, auc_row = M.validate(M.predict(model, test))
+    scored = M.predict(model, test).select(label, "predicted", "score").persist()
+    report, auc_row = M.validate(scored)
     auc = auc_row.first()["auc"]
     store.save_metrics(run, report.withColumn("auc", F.lit(auc).cast("double")))
+    scored.unpersist()
     promoted = M.passes_gate(auc, gate)
     if promoted:
         store.promote(run, auc, path)
@@ -99,12 +113,8 @@ def train_next(spark: SparkSession, folder: str, processed: str, store: ModelSto
     found = next_batch(list_batches(spark, folder), done).first()
     if found is None:
         return None
-    accepted = (list_batches(spark, folder)
-                .join(done.where(F.col("status") == ACCEPTED), "batch_id", "left_semi"))
-    paths = [row["path"] for row in accepted.toLocalIterator()]
-    earlier = spark.read.parquet(*paths) if paths else None
     outcome = train_and_promote(spark.read.parquet(found["path"]), store,
-                                f"batch-{found['batch_id']}", earlier, params=params, gate=gate)
+                                f"batch-{found['batch_id']}", params=params, gate=gate)
     mark_processed(spark, processed, found["batch_id"],
                    ACCEPTED if outcome.promoted else REJECTED)
     return outcome

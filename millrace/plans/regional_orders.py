@@ -7,7 +7,7 @@ from itertools import groupby
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.orders import clean_orders, regions_complete, union_regions
+from millrace.operators.orders import clean_orders, union_regions
 from millrace.schemas import LANDED_ORDER
 from millrace.sources.regions import (Region, archive, extract_envelope, land, read_landing)
 
@@ -31,9 +31,7 @@ def archive_landing(spark: SparkSession, regions: list[Region], store: str, run_
 
 def check_landing(spark: SparkSession, regions: list[Region], store: str) -> bool:
     """Whether every region delivered; no region is loaded otherwise."""
-    frames = [read_landing(spark, [r.landing(store)])
-              .select(F.lit(r.datakey).alias("datakey")) for r in regions]
-    return regions_complete(union_regions(frames), "datakey", len(regions)).first()["complete"]
+    return all(not read_landing(spark, [r.landing(store)]).isEmpty() for r in regions)
 
 
 def transform(spark: SparkSession, regions: list[Region], store: str,

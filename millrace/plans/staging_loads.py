@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.operators.staging import absent_by_key, new_rows, star_target
+from millrace.operators.staging import absent_by_key, new_rows, star_target, transformed_source
 from millrace.schemas import STAGING_TABLES
 from millrace.session import path_exists, settle
 from millrace.sources.jdbc import Database, read_jdbc, write_jdbc
@@ -68,6 +68,12 @@ def stage_csv(spark: SparkSession, folder: str, staging, run: str,
             for table, schema in STAGING_TABLES.items()}
 
 
+def load_transformed(read, write) -> None:
+    """Append each transformed table to its star target: ``write(read(source), target)``."""
+    for table in STAGING_TABLES:
+        write(read(transformed_source(table)), star_target(table))
+
+
 def load_star(fresh: dict[str, DataFrame], write, loaded=None) -> dict[str, str]:
     """Append each table's new rows to its star target: ``write(rows, target)``.
 

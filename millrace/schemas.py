@@ -4,34 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+INT, LONG, FLOAT, DOUBLE = T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()
+STRING, DATE, TIMESTAMP = T.StringType(), T.DateType(), T.TimestampType()
 
-def _fields(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # Column names, order and types of the exchanged data.
-APP_EVENT = _fields("user_id int, state string, event_id int, device_id int")
+APP_EVENT = struct(user_id=INT, state=STRING, event_id=INT, device_id=INT)
 APP_EVENTS = T.ArrayType(APP_EVENT)
-RAW_APP_EVENT_PAYLOAD = _fields(
-    "data array<struct<user_id:string, state:string, event_id:string, device_id:int>>")
-ACTIVE_EVENT = _fields("user_id int, state string, event string, device string")
-
-LANDED_ORDER = _fields(
-    "`order-id` string, product string, price string, `payment method` string, "
-    "rating string, comment string, `delivery address` string, date string, time string")
-CURATED_ORDER = _fields(
-    "country string, `order-id` string, product string, price_dollar float, "
-    "`payment method` string, rating int, comment string, `delivery address` string, "
-    "timestamp timestamp")
+RAW_APP_EVENT_PAYLOAD = struct(data=T.ArrayType(
+    struct(user_id=STRING, state=STRING, event_id=STRING, device_id=INT)))
+ACTIVE_EVENT = struct(user_id=INT, state=STRING, event=STRING, device=STRING)
+
+LANDED_ORDER = struct(**{
+    "order-id": STRING, "product": STRING, "price": STRING, "payment method": STRING,
+    "rating": STRING, "comment": STRING, "delivery address": STRING,
+    "date": STRING, "time": STRING})
+CURATED_ORDER = struct(**{
+    "country": STRING, "order-id": STRING, "product": STRING, "price_dollar": FLOAT,
+    "payment method": STRING, "rating": INT, "comment": STRING,
+    "delivery address": STRING, "timestamp": TIMESTAMP})
 
 STAGING_TABLES = {
-    "users": _fields("user_id string, name string, email string, signup_date date"),
-    "products": _fields(
-        "product_id string, product_name string, category string, price double, stock int"),
-    "orders": _fields(
-        "order_id string, user_id string, product_id string, quantity int, order_date date"),
-    "clickstream": _fields(
-        "click_id string, user_id string, product_id string, timestamp timestamp"),
+    "users": struct(user_id=STRING, name=STRING, email=STRING, signup_date=DATE),
+    "products": struct(product_id=STRING, product_name=STRING, category=STRING,
+                       price=DOUBLE, stock=INT),
+    "orders": struct(order_id=STRING, user_id=STRING, product_id=STRING,
+                     quantity=INT, order_date=DATE),
+    "clickstream": struct(click_id=STRING, user_id=STRING, product_id=STRING,
+                          timestamp=TIMESTAMP),
 }
 
 TRANSACTION_IDS = ("nameOrig", "nameDest")

@@ -14,7 +14,7 @@ from pyspark.sql.observation import Observation
 
 from millrace.functions import TERMINAL_EVENTS, is_terminal
 from millrace.operators.joins import lookup_join
-from millrace.schemas import ACTIVE_EVENT
+from millrace.schemas import ACTIVE_EVENT, LONG, STRING, struct
 from millrace.session import delete_path, path_exists, settle
 
 LIVE, ENDED = "live", "ended"
@@ -39,6 +39,16 @@ def resolve(live: DataFrame, ended: DataFrame, user: str = "user_id", batch: str
     return joined.where(kept).drop("__ended_in")
 
 
+def delete_matched(target: DataFrame, users: DataFrame, user: str = "user_id") -> DataFrame:
+    """What a delete of all rows of ``users`` (distinct) leaves; NULL never matches."""
+    return lookup_join(target, users, user, user, "left_anti")
+
+
+def matched_rows(target: DataFrame, users: DataFrame, user: str = "user_id") -> DataFrame:
+    """The rows such a delete removes."""
+    return lookup_join(target, users, user, user, "left_semi")
+
+
 class ActiveTable:
     def __init__(self, spark: SparkSession, root: str,
                  schema: T.StructType = ACTIVE_EVENT, terminal=TERMINAL_EVENTS):
@@ -49,8 +59,8 @@ class ActiveTable:
 
     def create(self) -> None:
         """Empty typed table; fails if there is one already."""
-        empty = self.spark.createDataFrame([], self._stored("upto long"))
-        empty.drop("upto").write.mode("errorifexists").parquet(f"{self.root}/base/upto=-1")
+        empty = self.spark.createDataFrame([], self.schema)
+        empty.write.mode("errorifexists").parquet(f"{self.root}/base/upto=-1")
         self._mark_base(-1)
 
     def exists(self) -> bool:
@@ -127,11 +137,11 @@ class ActiveTable:
         return max(self._base(), -1 if stored is None else stored)
 
     def _batches(self):
-        return (self.spark.read.schema(self._stored("batch_id long, kind string"))
+        return (self.spark.read.schema(self._stored(batch_id=LONG, kind=STRING))
                 .parquet(f"{self.root}/batches"))
 
-    def _stored(self, extra):
-        return T.StructType(self.schema.fields + T.StructType.fromDDL(extra).fields)
+    def _stored(self, **partitions):
+        return T.StructType(self.schema.fields + struct(**partitions).fields)
 
     def _base(self):
         marks = self.spark.read.schema("upto long").parquet(f"{self.root}/bases")

@@ -19,8 +19,12 @@ def with_transaction_id(transactions: DataFrame) -> DataFrame:
 
 
 def fraud_alerts(transactions: DataFrame, model: PipelineModel) -> DataFrame:
-    """Alert rows of the transactions classed as fraud; batch and streaming alike."""
-    scored = model.transform(drop_identifiers(with_transaction_id(transactions)))
+    """Alert rows of the transactions classed as fraud; batch and streaming alike.
+
+    A message that could not be read has no id and raises no alert.
+    """
+    known = with_transaction_id(transactions).where("transaction_id IS NOT NULL")
+    scored = model.transform(drop_identifiers(known))
     message = F.concat(
         F.lit("ALERT: Fraudulent transaction detected | Transaction_id : "), "transaction_id")
     return (scored.where(F.col("prediction").cast("int") == 1)
