@@ -76,11 +76,18 @@ def weighted(train: DataFrame, label: str = TRANSACTION_LABEL) -> DataFrame:
         "weight", F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Use all cores for the many passes of training when the input has few files."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+
+
 def train_model(train: DataFrame, numeric: list[str], encoder: PipelineModel | None = None,
                 params: BoostingParams = BoostingParams(),
                 category: str = TRANSACTION_CATEGORY,
                 label: str = TRANSACTION_LABEL) -> PipelineModel:
     """Fit boosted trees on ``train``, reusing ``encoder`` when one is given."""
+    train = spread(train)
     encoder = encoder or fit_encoder(train, category)
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, weightCol="weight", lossType="logistic",

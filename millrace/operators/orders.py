@@ -29,10 +29,11 @@ def order_rejects(orders: DataFrame) -> DataFrame:
         "delivery address": lost("delivery address", "country"),
         "price": lost("price", "price_dollar"),
         "rating": lost("__rating", "rating"),
-        "timestamp": lost("date", "timestamp") | lost("time", "timestamp"),
+        "timestamp": lost("__when", "timestamp"),
     }
     named = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in faults.items()]))
-    flagged = _converted(orders.withColumn("__rating", F.col("rating")), strict=False)
+    flagged = _converted(orders.withColumns({
+        "__rating": F.col("rating"), "__when": F.coalesce("date", "time")}), strict=False)
     return (flagged.withColumn("faults", F.array_join(named, ","))
             .where("faults <> ''")
             .select("`order-id`", "price", F.col("__rating").alias("rating"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 MAX_CLASSES = 10_000
@@ -29,54 +28,56 @@ def stratified_split(rows: DataFrame, label: str, order: list[Column],
     unique within the others. Per level the rows still undecided are counted by
     value and the value where the quota runs out is found; only those counts are
     sorted. The rows themselves are never moved: the flag compares them with one
-    boundary per class and level.
+    boundary per class and level. Finer levels are left out once the quota of
+    every class ends with a whole group.
     """
     levels = [f"__level_{i}" for i in range(len(order))]
     keyed = rows.withColumns(dict(zip(levels, order)))
-    cuts = None
-    for depth, level in enumerate(levels):
-        cuts = _refine(keyed, label, levels[:depth], level, cuts, test_share)
+    cuts, used, settled = None, 0, False
+    while used < len(levels) and not settled:
+        cuts, settled = _refine(keyed, label, levels[:used], levels[used], cuts, test_share)
+        used += 1
 
-    flagged = _with_cuts(keyed, label, cuts, len(levels))
+    flagged = _with_cuts(keyed, label, cuts)
     inside = F.lit(True)
-    for i, level in reversed(list(enumerate(levels))):
-        cut = F.col(f"__cut_{i}")
-        inside = (F.col(level) < cut) | ((F.col(level) == cut) & inside)
-    quota_left = F.col("__quota") > 0
-    return (flagged.withColumn("is_test", quota_left & inside)
+    for i in reversed(range(used)):
+        level, cut = F.col(levels[i]), F.col(f"__cut_{i}")
+        inside = (level < cut) | ((level == cut) & inside)
+    return (flagged.withColumn("is_test", (F.col("__quota") > 0) & inside)
             .select(*rows.columns, "is_test"))
 
 
 def _refine(keyed, label, fixed, level, cuts, test_share):
-    """Boundaries per class, extended by the one of ``level``."""
+    """Boundaries per class with that of ``level``, and whether they settle the quotas."""
     open_rows = keyed.select(label, *fixed, level)
+    fixed_cuts = [f"__cut_{i}" for i in range(len(fixed))]
+    carried = []
     if cuts is not None:
-        open_rows = _with_cuts(open_rows, label, cuts, len(fixed))
-        for i, name in enumerate(fixed):
-            open_rows = open_rows.where(F.col(name) == F.col(f"__cut_{i}"))
+        carried = ["__quota", "__need", *fixed_cuts]
+        open_rows = _with_cuts(open_rows, label, cuts)
+        for name, cut in zip(fixed, fixed_cuts):
+            open_rows = open_rows.where(F.col(name) == F.col(cut))
 
-    fixed_cuts = [f"__cut_{i}" for i in range(len(fixed))]
-    carried = [] if cuts is None else ["__quota", "__need", *fixed_cuts]
-    counts = open_rows.groupBy(label, *carried, level).agg(F.count(F.lit(1)).alias("n"))
+    counts = open_rows.groupBy(label, *carried, level).agg(F.count(F.lit(1)).alias("__size"))
     in_class = Window.partitionBy(label)
-    running = counts.withColumn("upto", F.sum("n").over(
+    running = counts.withColumn("upto", F.sum("__size").over(
         in_class.orderBy(level).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     if cuts is None:
-        total = F.sum("n").over(in_class)
+        total = F.sum("__size").over(in_class)
         running = running.withColumn("__quota", F.round(total * F.lit(test_share)).cast("long"))
         running = running.withColumn("__need", F.greatest("__quota", F.lit(1)))
 
-    reached = running.where("upto >= __need AND upto - n < __need")
-    found = reached.select(
-        label, "__quota", (F.col("__need") - (F.col("upto") - F.col("n"))).alias("__need"),
+    before = F.col("upto") - F.col("__size")
+    found = running.where((F.col("upto") >= F.col("__need")) & (before < F.col("__need"))).select(
+        label, "__quota", (F.col("__need") - before).alias("__need"), "__size",
         *fixed_cuts, F.col(level).cast("long").alias(f"__cut_{len(fixed)}"))
     classes = found.limit(MAX_CLASSES + 1).collect()
     if len(classes) > MAX_CLASSES:
         raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in found.schema.fields])
-    return keyed.sparkSession.createDataFrame(classes, schema)
+    settled = all(c["__quota"] == 0 or c["__need"] == c["__size"] for c in classes)
+    return keyed.sparkSession.createDataFrame(classes, found.schema).drop("__size"), settled
 
 
-def _with_cuts(df, label, cuts, depth):
+def _with_cuts(df, label, cuts):
     wanted = cuts.withColumnRenamed(label, "__class")
     return df.join(F.broadcast(wanted), F.col(label).eqNullSafe(F.col("__class"))).drop("__class")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.operators.staging import absent_by_key, new_rows, star_target, transformed_source
 from millrace.schemas import STAGING_TABLES
@@ -14,22 +16,34 @@ MODES = ("append_new", "replace")
 
 
 class FolderStaging:
-    """Staging tables as Parquet folders, one sub-folder per run."""
+    """Staging tables as Parquet folders, one sub-folder per run.
+
+    Run names must sort in time order. A run may be repeated: it never compares
+    with its own earlier output, and replaces it.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def read(self, table: str, schema) -> DataFrame:
-        if not path_exists(self.spark, f"{self.root}/{table}"):
-            return empty_relation(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/run=*")
-
-    def write(self, rows: DataFrame, table: str, run: str, mode: str) -> None:
+    def read(self, table: str, schema, mode: str = "append_new", without: str | None = None) -> DataFrame:
+        """All staged rows; in ``replace`` mode those of the last run that had any."""
         target = f"{self.root}/{table}"
+        if not path_exists(self.spark, target):
+            return empty_relation(self.spark, schema)
+        runs = (self.spark.read.schema(StructType([*schema.fields, StructField("run", StringType())]))
+                .parquet(target))
+        if without is not None:
+            runs = runs.where(F.col("run") != without)
         if mode == "replace":
-            rows.write.mode("overwrite").parquet(f"{target}/run=current")
-        else:
-            rows.write.mode("overwrite").parquet(f"{target}/run={run}")
+            last = runs.agg(F.max("run")).first()[0]
+            runs = runs.where(F.col("run") == F.lit(last))
+        return runs.drop("run")
+
+    def stage(self, raw: DataFrame, table: str, run: str, mode: str) -> DataFrame:
+        target = f"{self.root}/{table}/run={run}"
+        staged = self.read(table, raw.schema, mode, without=run)
+        new_rows(raw, staged).write.mode("overwrite").parquet(target)
+        return self.spark.read.schema(raw.schema).parquet(target)
 
 
 class JdbcStaging:
@@ -41,23 +55,24 @@ class JdbcStaging:
     def read(self, table: str, schema) -> DataFrame:
         return select_schema(read_jdbc(self.spark, self.database, table), schema)
 
-    def write(self, rows: DataFrame, table: str, run: str, mode: str) -> None:
-        write_jdbc(rows, self.database, table, "append" if mode == "append_new" else "overwrite")
+    def stage(self, raw: DataFrame, table: str, run: str, mode: str) -> DataFrame:
+        """The difference is settled before the table it was taken from is written."""
+        fresh = settle(new_rows(raw, self.read(table, raw.schema)))
+        if not fresh.isEmpty():
+            write_jdbc(fresh, self.database, table,
+                       "append" if mode == "append_new" else "overwrite")
+        return fresh
 
 
 def stage(raw: DataFrame, staging, table: str, run: str, mode: str = "append_new") -> DataFrame:
-    """Stage the rows of ``raw`` not staged yet and return them.
+    """Stage the rows of ``raw`` not staged yet and return them as stored.
 
-    They are settled before anything is written, so writing over the staging
-    table cannot change what counts as new. ``append_new`` adds them,
-    ``replace`` leaves only them; nothing new leaves the table as it is.
+    ``append_new`` adds them, ``replace`` leaves only them; without any new row
+    the table stays as it is.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    fresh = settle(new_rows(raw, staging.read(table, raw.schema)))
-    if not fresh.isEmpty():
-        staging.write(fresh, table, run, mode)
-    return fresh
+    return staging.stage(raw, table, run, mode)
 
 
 def stage_csv(spark: SparkSession, folder: str, staging, run: str,

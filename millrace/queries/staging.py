@@ -44,7 +44,7 @@ def staging_replace(spark, folder):
     raw = _clicks(spark, folder)
     for run, rows in enumerate((_staged_clicks(spark, folder), raw)):
         stage(rows, store, "clickstream", str(run), mode="replace")
-    return store.read("clickstream", raw.schema)
+    return store.read("clickstream", raw.schema, "replace")
 
 
 def _sources(spark, folder):

@@ -153,8 +153,11 @@ def _stream_messages(spark, folder):
     return lookup_join(events, users, "user_id", "state_of")
 
 
-def stream_run(spark, folder, on_batch=None) -> ActiveTable:
-    """Land the events week by week and let the stream take each landing as a batch."""
+def stream_run(spark, folder, on_progress=None) -> ActiveTable:
+    """Land the events week by week and let the stream take each landing as a batch.
+
+    ``on_progress`` receives the seconds each batch took.
+    """
     root = scratch_path(spark, "app-events")
     events = _stream_messages(spark, folder)
     lookups = Lookups.load(
@@ -170,8 +173,11 @@ def stream_run(spark, folder, on_batch=None) -> ActiveTable:
         publish(week, f"{root}/messages")
         query = start_app_events(folder_stream(spark, f"{root}/messages"), lookups, active,
                                  f"{root}/checkpoint", {"availableNow": True},
-                                 compact_every=2, on_batch=on_batch)
+                                 compact_every=2)
         query.awaitTermination()
+        if on_progress:
+            for progress in query.recentProgress:
+                on_progress(progress["durationMs"]["triggerExecution"] / 1000)
         day = until
     return active
 

@@ -30,7 +30,7 @@ def numbered(files: DataFrame, path: str = "path") -> DataFrame:
 def read_processed(spark: SparkSession, location: str) -> DataFrame:
     if not path_exists(spark, location):
         return spark.createDataFrame([], PROCESSED)
-    return spark.read.schema(PROCESSED).parquet(location)
+    return spark.read.schema(PROCESSED).parquet(location).select("batch_id", "status")
 
 
 def mark_processed(spark: SparkSession, location: str, batch_id: int, status: str) -> None:
