@@ -73,6 +73,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder of control data, such as one sub-folder per batch."""
+    if not path_exists(spark, path):
+        return []
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

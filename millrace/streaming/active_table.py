@@ -15,7 +15,7 @@ from pyspark.sql.observation import Observation
 from millrace.functions import TERMINAL_EVENTS, is_terminal
 from millrace.operators.joins import lookup_join
 from millrace.schemas import ACTIVE_EVENT, LONG, STRING, struct
-from millrace.session import delete_path, path_exists, settle
+from millrace.session import child_names, delete_path, path_exists, settle
 
 LIVE, ENDED = "live", "ended"
 
@@ -122,13 +122,16 @@ class ActiveTable:
         self._mark_base(upto)
         return upto
 
-    def vacuum(self) -> int:
-        """Delete batches the base already covers; readers of older bases must be done."""
-        upto = self._base()
-        covered = (self._batches().where(F.col("batch_id") <= upto)
-                   .select("batch_id").distinct().toLocalIterator())
-        return sum(delete_path(self.spark, f"{self.root}/batches/batch_id={row[0]}")
-                   for row in covered)
+    def vacuum(self, keep_bases: int = 2) -> int:
+        """Delete what only readers of older bases than the last ``keep_bases`` need."""
+        numbered = [(kind, name, int(name.split("=")[1]))
+                    for kind in ("batches", "base")
+                    for name in child_names(self.spark, f"{self.root}/{kind}") if "=" in name]
+        kept = sorted(n for kind, _, n in numbered if kind == "base" and n <= self._base())
+        oldest = kept[-keep_bases:][0]
+        gone = [f"{kind}/{name}" for kind, name, n in numbered
+                if n < oldest or (kind == "batches" and n == oldest)]
+        return sum(delete_path(self.spark, f"{self.root}/{path}") for path in gone)
 
     def last_batch(self) -> int:
         stored = -1

@@ -33,6 +33,7 @@ def start_app_events(messages: DataFrame, lookups: Lookups, table: ActiveTable,
     """Start the stream. ``trigger`` as for ``DataStreamWriter.trigger``.
 
     Enrichment runs inside the batch, in one plan with the split and the write.
+    Lookups too large to broadcast need several passes, so the batch is kept then.
     ``on_batch(batch_id, counts)`` receives the row counts of each batch.
     """
     if not table.exists():
@@ -40,12 +41,16 @@ def start_app_events(messages: DataFrame, lookups: Lookups, table: ActiveTable,
     first = table.attach(checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        if not lookups.broadcast:
+            batch.persist()
         named = enrich(batch, lookups.events, lookups.devices, broadcast=lookups.broadcast)
         counts = table.append_batch(named, first + batch_id)
+        batch.unpersist()
         if on_batch:
             on_batch(batch_id, counts)
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
+            table.vacuum()
 
     writer = clean_events(parse_events(messages)).writeStream.foreachBatch(store)
     if trigger:
