@@ -12,7 +12,8 @@ from millrace.operators import model as M
 from millrace.operators.split import hashed_order, stratified_split
 from millrace.schemas import TRANSACTION_LABEL
 from millrace.session import path_exists
-from millrace.sources.batches import list_batches, mark_processed, next_batch, read_processed
+from millrace.sources.batches import (list_batches, mark_processed, next_batch, read_processed,
+                                      retire_batches)
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 _PROMOTION = "run string, auc double, path string, at timestamp"
@@ -61,8 +62,14 @@ class ModelStore:
         paths = [f"{self.split_path(row['run'])}/is_test=false" for row in runs.toLocalIterator()]
         return self.spark.read.parquet(*paths)
 
-    def save_metrics(self, run: str, report: DataFrame) -> None:
-        report.write.mode("overwrite").parquet(f"{self.root}/metrics/run={run}")
+    def save_metrics(self, run: str, report: DataFrame, auc: float | None) -> None:
+        """The report as a table and as text; it has one row per class and three more."""
+        rows = report.collect()
+        table = self.spark.createDataFrame(rows, report.schema)
+        (table.withColumn("auc", F.lit(auc).cast("double")).coalesce(1)
+              .write.mode("overwrite").parquet(f"{self.root}/metrics/run={run}"))
+        text = self.spark.createDataFrame([(M.render_report(rows, auc),)], "value string")
+        text.write.mode("overwrite").text(f"{self.root}/reports/{run}")
 
     def promote(self, run: str, auc: float, path: str) -> None:
         row = self.spark.createDataFrame([(run, auc, path)], "run string, auc double, path string")
@@ -97,7 +104,7 @@ def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
     scored = M.predict(model, test).select(label, "predicted", "score").persist()
     report, auc_row = M.validate(scored)
     auc = auc_row.first()["auc"]
-    store.save_metrics(run, report.withColumn("auc", F.lit(auc).cast("double")))
+    store.save_metrics(run, report, auc)
     scored.unpersist()
     promoted = M.passes_gate(auc, gate)
     if promoted:
@@ -106,15 +113,21 @@ def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
 
 
 def train_next(spark: SparkSession, folder: str, processed: str, store: ModelStore,
-               params: M.BoostingParams = M.BoostingParams(),
-               gate: float = M.PROMOTION_AUC) -> Outcome | None:
-    """Train on the next unused batch; ``None`` when all were used."""
-    done = read_processed(spark, processed)
-    found = next_batch(list_batches(spark, folder), done).first()
+               params: M.BoostingParams = M.BoostingParams(), gate: float = M.PROMOTION_AUC,
+               archive: str | None = None) -> Outcome | None:
+    """Train on the next unused batch.
+
+    When all were used the result is ``None``, and with ``archive`` the used
+    batches are moved there so that their numbers can come again.
+    """
+    found = next_batch(list_batches(spark, folder), read_processed(spark, processed)).first()
     if found is None:
+        if archive:
+            retire_batches(spark, folder, processed, archive)
         return None
-    outcome = train_and_promote(spark.read.parquet(found["path"]), store,
-                                f"batch-{found['batch_id']}", params=params, gate=gate)
-    mark_processed(spark, processed, found["batch_id"],
+    run = f"batch-{found['batch_id']}-{found['modified']:%Y%m%dT%H%M%S}"
+    outcome = train_and_promote(spark.read.parquet(found["path"]), store, run,
+                                params=params, gate=gate)
+    mark_processed(spark, processed, found["batch_id"], found["modified"],
                    ACCEPTED if outcome.promoted else REJECTED)
     return outcome

@@ -95,7 +95,7 @@ def next_training_batch(spark, folder):
         F.concat(F.lit("/data/Training_data_"), year - 1990, F.lit(".parquet")).alias("path"),
         (year <= 1997).alias("used"))
     used = numbered(files.where("used")).select("batch_id", F.lit("accepted").alias("status"))
-    return next_batch(numbered(files), used)
+    return next_batch(numbered(files), used, keys=["batch_id"])
 
 
 def train_validate(spark, folder):

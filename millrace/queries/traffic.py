@@ -11,7 +11,8 @@ from millrace.functions import row_json
 from millrace.operators.events import (clean_events, enrich, live_events, normalise_payloads,
                                        parse_events, terminal_users)
 from millrace.operators.joins import lookup_join
-from millrace.operators.traffic import fill_regions, scale_domain, traffic_by_user_state
+from millrace.operators.traffic import (fill_regions, scale_domain, traffic_by_user_state,
+                                        unmatched_states)
 from millrace.queries import table
 from millrace.schemas import INT, LONG, STRING, struct
 from millrace.session import scratch_path, settle
@@ -58,6 +59,13 @@ def traffic_scale_domain(spark, folder):
     return scale_domain(traffic_region_fill(spark, folder))
 
 
+def traffic_unmatched(spark, folder):
+    """Traffic of the states a smaller map does not show."""
+    shown = (table(spark, folder, "nation").where("n_regionkey < 3")
+             .select(F.col("n_name").alias("NAME_1")))
+    return unmatched_states(shown, traffic_by_state(spark, folder))
+
+
 def parse_event_json(spark, folder):
     event = F.struct("user_id", F.col("event_type").alias("state"), "event_id",
                      _props_k().alias("device_id"))
@@ -204,6 +212,7 @@ QUERIES = {
     "traffic_by_state": traffic_by_state,
     "traffic_region_fill": traffic_region_fill,
     "traffic_scale_domain": traffic_scale_domain,
+    "traffic_unmatched": traffic_unmatched,
     "parse_event_json": parse_event_json,
     "clean_state": clean_state,
     "enrich_left_join": enrich_left_join,
@@ -240,6 +249,9 @@ ORACLE = {
     "traffic_region_fill": _FILLED,
     "traffic_scale_domain":
         f"SELECT min(app_traffic) AS low, max(app_traffic) AS high FROM ({_FILLED}) filled",
+    "traffic_unmatched": f"""
+        SELECT * FROM ({_TRAFFIC}) traffic
+        WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_regionkey < 3 AND n_name = state)""",
     "parse_event_json": f"""
         SELECT user_id, event_type AS state, event_id, {_K} AS device_id
         FROM events WHERE event_type <> 'error'

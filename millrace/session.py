@@ -82,6 +82,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
 
 
+def move_path(spark: SparkSession, path: str, target: str) -> bool:
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    file_system = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(make(target).getParent())
+    return file_system.rename(make(path), make(target))
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -16,6 +16,7 @@ from millrace.functions import TERMINAL_EVENTS, is_terminal
 from millrace.operators.joins import lookup_join
 from millrace.schemas import ACTIVE_EVENT, LONG, STRING, struct
 from millrace.session import child_names, delete_path, path_exists, settle
+from millrace.sources.tables import select_schema
 
 LIVE, ENDED = "live", "ended"
 
@@ -85,7 +86,7 @@ class ActiveTable:
         """Store one batch with a single pass over it; returns row counts by fate."""
         seen = Observation(f"batch {batch_id}")
         terminal = is_terminal(F.col("event"), self.terminal)
-        observed = events.select(*self.schema.names).observe(
+        observed = select_schema(events, self.schema).observe(
             seen,
             F.count(F.when(~terminal, 1)).alias("live"),
             F.count(F.when(terminal, 1)).alias("ended"),

@@ -12,6 +12,9 @@ from millrace.functions import transaction_id
 from millrace.operators.model import drop_identifiers
 from millrace.sources.messages import parse_rows
 
+# Fixed value: the text of an alert, before the transaction id.
+ALERT_TEXT = "ALERT: Fraudulent transaction detected | Transaction_id : "
+
 
 def with_transaction_id(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("transaction_id", transaction_id(
@@ -25,8 +28,7 @@ def fraud_alerts(transactions: DataFrame, model: PipelineModel) -> DataFrame:
     """
     known = with_transaction_id(transactions).where("transaction_id IS NOT NULL")
     scored = model.transform(drop_identifiers(known))
-    message = F.concat(
-        F.lit("ALERT: Fraudulent transaction detected | Transaction_id : "), "transaction_id")
+    message = F.concat(F.lit(ALERT_TEXT), "transaction_id")
     return (scored.where(F.col("prediction").cast("int") == 1)
             .select("transaction_id", message.alias("alert")))
 

@@ -134,6 +134,18 @@ def message(user, event_id, state="West Bengal"):
     return f'{{"user_id":{user},"state":"{state}","event_id":{event_id},"device_id":1}}'
 
 
+def test_lookups_too_large_to_broadcast(spark, tmp_path):
+    names = spark.createDataFrame([(0, "session_ended"), (1, "login")], "Event_ID int, event string")
+    devices = spark.createDataFrame([(1, "Computer")], "Device_ID int, device string")
+    values(spark, [message(u, 1) for u in range(30)] + [message(3, 9)]).write.text(str(tmp_path / "in"))
+    active = ActiveTable(spark, str(tmp_path / "active"))
+    query = start_app_events(folder_stream(spark, str(tmp_path / "in")),
+                             Lookups(names, devices, broadcast=False), active,
+                             str(tmp_path / "checkpoint"), {"availableNow": True})
+    assert await_or_stop(query, 120)
+    assert pairs(active.read()) == sorted(((u, "login") for u in range(30)), key=repr)
+
+
 def test_stream_end_to_end(spark, tmp_path):
     lookups = Lookups.load(
         spark.createDataFrame([(0, "session_ended"), (1, "login")], "Event_ID int, event string"),

@@ -183,6 +183,8 @@ def test_train_validate_promote(spark, tmp_path, stored):
     assert store.production_path().endswith("r1")
     metrics = spark.read.parquet(f"{store.root}/metrics/run=r1")
     assert metrics.where("class = 'accuracy'").first()["support"] == 120
+    report = "\n".join(r[0] for r in spark.read.text(f"{store.root}/reports/r1").collect())
+    assert "weighted avg" in report and "ROC-AUC" in report
     train = store.promoted_training_rows()
     assert train.count() == 480
 
@@ -200,10 +202,17 @@ def test_batches_are_used_once_in_order(spark, tmp_path):
     for number in (10, 2):
         transactions(spark, 300, number * 1000).coalesce(1).write.parquet(
             f"{folder}/Training_data_{number}.parquet")
-    assert train_next(spark, folder, done, store, SMALL, gate=1.1).run == "batch-2"
-    assert train_next(spark, folder, done, store, SMALL, gate=0.5).run == "batch-10"
-    assert train_next(spark, folder, done, store, SMALL) is None
-    assert rows(read_processed(spark, done)) == [(10, "accepted"), (2, "rejected")]
+    used = str(tmp_path / "used")
+    assert train_next(spark, folder, done, store, SMALL, gate=1.1).run.startswith("batch-2-")
+    assert train_next(spark, folder, done, store, SMALL, gate=0.5).run.startswith("batch-10-")
+    assert train_next(spark, folder, done, store, SMALL, archive=used) is None
+    assert rows(read_processed(spark, done).select("batch_id", "status")) == [
+        (10, "accepted"), (2, "rejected")]
+
+    # All were used: they moved away, and a number may come again.
+    assert len(list((tmp_path / "used").glob("*.parquet"))) == 2
+    transactions(spark, 300, 5000).coalesce(1).write.parquet(f"{folder}/Training_data_2.parquet")
+    assert train_next(spark, folder, done, store, SMALL, gate=0.5).run.startswith("batch-2-")
 
 
 def test_new_files_start_training_once(spark, tmp_path):

@@ -1,0 +1,73 @@
+"""The shape of the plans that matter at scale."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from millrace.operators.orders import clean_orders
+from millrace.queries import fraud, orders, staging, traffic
+from millrace.sources.regions import read_landing
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def exchanges(df):
+    return re.findall(r"Arguments: ((?:hash|range)partitioning|SinglePartition)", plan(df))
+
+
+def read_schemas(df):
+    return re.findall(r"ReadSchema: struct<(.*)>", plan(df))
+
+
+def test_traffic_reads_two_columns_and_counts_before_it_joins(spark):
+    df = traffic.traffic_by_state(spark, FOLDER)
+    assert "user_id:bigint,event_type:string" in read_schemas(df)
+    tree = plan(df).split("\n\n")[0]
+    assert tree.index("Join") < tree.rindex("HashAggregate")
+
+
+def test_set_difference_is_one_shuffle(spark):
+    assert exchanges(staging.staging_new_rows(spark, FOLDER)) == ["hashpartitioning"]
+
+
+def test_split_moves_no_row(spark):
+    assert exchanges(fraud.stratified_split_query(spark, FOLDER)) == []
+
+
+def test_auc_collapses_scores_before_it_ranks(spark):
+    found = exchanges(fraud.roc_auc(spark, FOLDER))
+    assert found == ["hashpartitioning", "rangepartitioning", "hashpartitioning", "SinglePartition"]
+    single = plan(fraud.roc_auc(spark, FOLDER)).split("SinglePartition")[0]
+    assert single.rstrip().splitlines()[-1].startswith("Arguments") and "range#" in single
+
+
+def test_all_regions_are_one_scan(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("a", "b", "c")]
+    for path in paths:
+        orders.landed_orders(spark, FOLDER).write.json(path)
+    df = clean_orders(read_landing(spark, paths))
+    assert plan(df).count("Scan json") == 2  # once in the tree, once in the details
+    assert exchanges(df) == []
+
+
+@pytest.mark.parametrize("name", ["clean_orders", "orders_rejects", "envelope_extract"])
+def test_row_wise_orders_do_not_shuffle(spark, name):
+    assert exchanges(orders.QUERIES[name](spark, FOLDER)) == []
+
+
+def test_filters_reach_the_scan(spark):
+    text = plan(staging.hourly_clicks(spark, FOLDER))
+    assert "EqualTo(event_type,click)" in text
+    assert "ts:timestamp_ntz,event_type:string" in text
+
+
+def test_no_python_in_any_plan(spark):
+    for df in (traffic.parse_event_json(spark, FOLDER), traffic.merge_delete(spark, FOLDER),
+               orders.clean_orders(spark, FOLDER), fraud.one_hot_features(spark, FOLDER)):
+        assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas", plan(df))

@@ -90,7 +90,8 @@ def test_next_batch(spark, tmp_path):
     for number in (2, 3, 10):
         assert following() == (number, f"Training_data_{number}.parquet")
         assert following() == (number, f"Training_data_{number}.parquet")
-        mark_processed(spark, done, number, "accepted")
+        found = next_batch(list_batches(spark, folder), read_processed(spark, done)).first()
+        mark_processed(spark, done, number, found["modified"], "accepted")
     assert following() is None
     spark.range(1).write.parquet(f"{folder}/Training_data_11.parquet")
     assert following() == (11, "Training_data_11.parquet")
