@@ -1,8 +1,9 @@
 """The active-event table: appended batches, and terminal events that end earlier rows.
 
-A batch is written once, as two partitions: its live rows and the users it ended.
+A batch is written once, as two partitions: its live rows and the rows that end a user.
 Nothing stored is rewritten by a batch, and writing a batch again replaces it.
 Reading resolves the two: a row lives unless its user was ended in a later batch.
+Several batches can be merged into one of the same form, numbered as their last.
 """
 
 from __future__ import annotations
@@ -51,6 +52,11 @@ def matched_rows(target: DataFrame, users: DataFrame, user: str = "user_id") ->
 
 
 class ActiveTable:
+    """Folders: ``base`` (resolved rows), ``merged`` (several batches as one), ``batches``.
+
+    ``marks`` lists the bases and merged parts that are complete; nothing else is read.
+    """
+
     def __init__(self, spark: SparkSession, root: str,
                  schema: T.StructType = ACTIVE_EVENT, terminal=TERMINAL_EVENTS):
         self.spark = spark
@@ -62,10 +68,10 @@ class ActiveTable:
         """Empty typed table; fails if there is one already."""
         empty = self.spark.createDataFrame([], self.schema)
         empty.write.mode("errorifexists").parquet(f"{self.root}/base/upto=-1")
-        self._mark_base(-1)
+        self._mark(-1, full=True)
 
     def exists(self) -> bool:
-        return path_exists(self.spark, f"{self.root}/bases")
+        return path_exists(self.spark, f"{self.root}/marks")
 
     def attach(self, checkpoint: str) -> int:
         """First batch number for a stream. A fresh checkpoint counts on after all others."""
@@ -91,66 +97,102 @@ class ActiveTable:
             F.count(F.when(~terminal, 1)).alias("live"),
             F.count(F.when(terminal, 1)).alias("ended"),
             F.count(F.when(F.col("event").isNull(), 1)).alias("unknown_event"))
-        (split_kinds(observed, self.terminal).write.mode("overwrite").partitionBy("kind")
+        (split_kinds(observed, self.terminal).write.mode("overwrite")
+            .option("partitionOverwriteMode", "static").partitionBy("kind")
             .parquet(f"{self.root}/batches/batch_id={batch_id}"))
         return seen.get
 
     def read(self, max_rows: int | None = None) -> DataFrame:
         """The rows alive now."""
-        return self.resolved(max_rows).select(*self.schema.names)
-
-    def resolved(self, max_rows: int | None = None) -> DataFrame:
-        """The rows alive now and the batch each of them came with."""
-        upto = self._base()
-        base = (self.spark.read.schema(self.schema).parquet(f"{self.root}/base/upto={upto}")
-                .withColumn("batch_id", F.lit(upto).cast("long")))
-        if not path_exists(self.spark, f"{self.root}/batches"):
-            return base
-        since = self._batches().where(F.col("batch_id") > upto)
-        live = since.where(F.col("kind") == LIVE).drop("kind").unionByName(base)
-        return resolve(live, since.where(F.col("kind") == ENDED), max_rows=max_rows)
+        upto, merged = self._complete()
+        later = self._since(merged[-1] if merged else upto)
+        if merged:
+            later = self._merged(merged).unionByName(later)
+        live = later.where(F.col("kind") == LIVE).drop("kind").unionByName(self._base(upto))
+        alive = resolve(live, later.where(F.col("kind") == ENDED), max_rows=max_rows)
+        return alive.select(*self.schema.names)
 
     def compact(self) -> int:
-        """Store the rows alive now as the new base. Call it between batches.
+        """Merge the batches since the last time into one. Call it between batches.
 
-        Rows are spread evenly over the files, however many belong to one user.
+        Once the parts after the base hold as many rows as the base, all is resolved
+        into a new base instead, so that a row is rewritten a few times only. Rows are
+        spread evenly over the files, however many belong to one user.
         """
-        upto = self.last_batch()
-        if upto == self._base():
+        upto, (base, merged) = self.last_batch(), self._complete()
+        last = merged[-1] if merged else base
+        if upto == last:
             return upto
-        (self.read().hint("rebalance").write.mode("overwrite")
-             .parquet(f"{self.root}/base/upto={upto}"))
-        self._mark_base(upto)
+        since = self._since(last)
+        later = self._merged(merged).unionByName(since) if merged else since
+        full = later.where(F.col("kind") == LIVE).count() >= self._base(base).count()
+        if full:
+            (self.read().hint("rebalance").write.mode("overwrite")
+                 .parquet(f"{self.root}/base/upto={upto}"))
+        else:
+            (self._as_one(since).hint("rebalance").write.mode("overwrite").partitionBy("kind")
+                 .parquet(f"{self.root}/merged/upto={upto}"))
+        self._mark(upto, full)
         return upto
 
-    def vacuum(self, keep_bases: int = 2) -> int:
-        """Delete what only readers of older bases than the last ``keep_bases`` need."""
-        numbered = [(kind, name, int(name.split("=")[1]))
-                    for kind in ("batches", "base")
-                    for name in child_names(self.spark, f"{self.root}/{kind}") if "=" in name]
-        kept = sorted(n for kind, _, n in numbered if kind == "base" and n <= self._base())
-        oldest = kept[-keep_bases:][0]
-        gone = [f"{kind}/{name}" for kind, name, n in numbered
-                if n < oldest or (kind == "batches" and n == oldest)]
-        return sum(delete_path(self.spark, f"{self.root}/{path}") for path in gone)
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete what only readers from before the last ``keep`` compactions need."""
+        marks = self._marks()
+        covered = sorted({upto for upto, _ in marks})[-keep:][0]
+        oldest_base = sorted(upto for upto, full in marks if full)[-keep:][0]
+        limits = {"batches": covered + 1, "merged": oldest_base + 1, "base": oldest_base}
+        gone = [f"{self.root}/{kind}/{name}" for kind, limit in limits.items()
+                for name in child_names(self.spark, f"{self.root}/{kind}")
+                if "=" in name and int(name.split("=")[1]) < limit]
+        return sum(delete_path(self.spark, path) for path in gone)
 
     def last_batch(self) -> int:
-        stored = -1
-        if path_exists(self.spark, f"{self.root}/batches"):
-            stored = self._batches().agg(F.max("batch_id")).first()[0]
-        return max(self._base(), -1 if stored is None else stored)
-
-    def _batches(self):
-        return (self.spark.read.schema(self._stored(batch_id=LONG, kind=STRING))
-                .parquet(f"{self.root}/batches"))
+        base, merged = self._complete()
+        stored = [int(name.split("=")[1])
+                  for name in child_names(self.spark, f"{self.root}/batches") if "=" in name]
+        return max([base, *merged, *stored])
+
+    def _since(self, batch_id):
+        """Stored batches after ``batch_id`` with columns ``batch_id`` and ``kind``."""
+        schema = self._stored(batch_id=LONG, kind=STRING)
+        if not path_exists(self.spark, f"{self.root}/batches"):
+            return self.spark.createDataFrame([], schema)
+        batches = self.spark.read.schema(schema).parquet(f"{self.root}/batches")
+        return batches.where(F.col("batch_id") > batch_id)
+
+    def _as_one(self, batches):
+        """Several batches in the form of one: rows alive after them, users ended in them."""
+        ended = batches.where(F.col("kind") == ENDED)
+        live = resolve(batches.where(F.col("kind") == LIVE), ended).drop("batch_id")
+        others = {f.name: F.lit(None).cast(f.dataType)
+                  for f in self.schema.fields if f.name != "user_id"}
+        users = ended.select("user_id").distinct().withColumns(others)
+        return live.unionByName(users.withColumn("kind", F.lit(ENDED)))
+
+    def _merged(self, numbers):
+        paths = [f"{self.root}/merged/upto={number}" for number in numbers]
+        return (self.spark.read.schema(self._stored(upto=LONG, kind=STRING))
+                .option("basePath", f"{self.root}/merged").parquet(*paths)
+                .withColumnRenamed("upto", "batch_id"))
+
+    def _base(self, upto):
+        return (self.spark.read.schema(self.schema).parquet(f"{self.root}/base/upto={upto}")
+                .withColumn("batch_id", F.lit(upto).cast("long")))
 
     def _stored(self, **partitions):
         return T.StructType(self.schema.fields + struct(**partitions).fields)
 
-    def _base(self):
-        marks = self.spark.read.schema("upto long").parquet(f"{self.root}/bases")
-        return marks.agg(F.max("upto")).first()[0]
+    def _marks(self):
+        """(upto, full) of every completed compaction: control data, one row each."""
+        marks = self.spark.read.schema("upto long, full boolean").parquet(f"{self.root}/marks")
+        return sorted({tuple(row) for row in marks.collect()})
+
+    def _complete(self):
+        """The last base, and the merged parts after it in order."""
+        marks = self._marks()
+        base = max(upto for upto, full in marks if full)
+        return base, sorted(upto for upto, full in marks if not full and upto > base)
 
-    def _mark_base(self, upto):
-        (self.spark.createDataFrame([(upto,)], "upto long").coalesce(1)
-             .write.mode("append").parquet(f"{self.root}/bases"))
+    def _mark(self, upto, full):
+        (self.spark.createDataFrame([(upto, full)], "upto long, full boolean").coalesce(1)
+             .write.mode("append").parquet(f"{self.root}/marks"))

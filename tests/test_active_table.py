@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -71,12 +72,42 @@ def test_compaction_keeps_the_rows(spark, table):
         assert table.compact() == number
         assert pairs(table.read()) == expected
     table.append_batch(batch(spark, [(9, "login")]), 3)
-    # Bases -1, 0, 1 and 2 were written; the last two and what follows them stay.
-    assert table.vacuum() == 4
-    assert table.vacuum() == 0
-    assert table.vacuum(keep_bases=1) == 2
-    assert pairs(table.read()) == [(1, "login"), (3, "login"), (9, "login")]
+    for keep in (2, 2, 1):
+        table.vacuum(keep)
+        assert pairs(table.read()) == [(1, "login"), (3, "login"), (9, "login")]
     assert table.last_batch() == 3
+    assert sorted(p.name for p in Path(table.root, "batches").glob("b*")) == ["batch_id=3"]
+
+
+def test_large_base_is_not_rewritten(spark, table):
+    table.append_batch(batch(spark, [(u, "login") for u in range(100)]), 0)
+    table.compact()
+    bases = lambda: sorted(p.name for p in Path(table.root, "base").iterdir())
+    assert bases() == ["upto=-1", "upto=0"]
+    for number in (1, 2, 3):
+        table.append_batch(batch(spark, [(number, "session_ended"), (500 + number, "login")]), number)
+        table.compact()
+    table.append_batch(batch(spark, [(502, "session_ended"), (50, "session_ended")]), 4)
+    assert bases() == ["upto=-1", "upto=0"]
+    expected = sorted(((u, "login") for u in [*range(100), 501, 503] if u not in (1, 2, 3, 50)), key=repr)
+    assert pairs(table.read()) == expected
+    table.vacuum()
+    assert pairs(table.read()) == expected
+    table.append_batch(batch(spark, [(u, "login") for u in range(1000, 1100)]), 5)
+    table.compact()
+    assert "upto=5" in bases()
+    assert len(pairs(table.read())) == len(expected) + 100
+
+
+def test_unmarked_leftovers_are_not_read(spark, table):
+    """What a compaction that died left behind."""
+    table.append_batch(batch(spark, [(1, "login")]), 0)
+    batch(spark, [(7, "login")]).write.parquet(f"{table.root}/merged/upto=0/kind=live")
+    batch(spark, [(8, "login")]).write.parquet(f"{table.root}/base/upto=0")
+    assert pairs(table.read()) == [(1, "login")]
+    table.append_batch(batch(spark, [(2, "login")]), 1)
+    table.compact()
+    assert pairs(table.read()) == [(1, "login"), (2, "login")]
 
 
 def test_null_users_never_match(spark, table):
@@ -102,15 +133,17 @@ def brute_force(stored):
     return sorted(alive, key=repr)
 
 
-def test_random_batches_with_one_hot_user(spark, table):
+@pytest.mark.parametrize("compact_after", [(), (3,), (0, 1, 2, 4)])
+def test_random_batches_with_one_hot_user(spark, table, compact_after):
     rng = random.Random(3)
     events = ["login", "in_app_purchase", "session_started", "session_ended", None]
     stored = [(7 if rng.random() < 0.35 else rng.choice([None, *range(25)]),
                rng.choices(events, [5, 5, 5, 1, 1])[0], rng.randrange(6)) for _ in range(1500)]
     for number in range(6):
         table.append_batch(batch(spark, [(u, e) for u, e, b in stored if b == number]), number)
-        if number == 3:
+        if number in compact_after:
             table.compact()
+            table.vacuum()
     assert pairs(table.read()) == brute_force(stored)
     assert pairs(table.read(max_rows=0)) == brute_force(stored)
 
