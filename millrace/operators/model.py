@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.metrics import classification_report, imbalance_ratio, roc_auc
 from millrace.schemas import TRANSACTION_CATEGORY, TRANSACTION_IDS, TRANSACTION_LABEL
+from millrace.session import shared_dir
 
 MAX_CATEGORIES = 10_000
 # Fixed value: lowest ROC-AUC a model may have to be promoted (inclusive).
@@ -86,14 +87,18 @@ def train_model(train: DataFrame, numeric: list[str], encoder: PipelineModel | N
                 params: BoostingParams = BoostingParams(),
                 category: str = TRANSACTION_CATEGORY,
                 label: str = TRANSACTION_LABEL) -> PipelineModel:
-    """Fit boosted trees on ``train``, reusing ``encoder`` when one is given."""
+    """Fit boosted trees on ``train``, reusing ``encoder`` when one is given.
+
+    Every ten rounds the state is checkpointed into the shared folder.
+    """
+    shared_dir(train.sparkSession)
     train = spread(train)
     encoder = encoder or fit_encoder(train, category)
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, weightCol="weight", lossType="logistic",
         maxIter=params.rounds, stepSize=params.learning_rate, maxDepth=params.depth,
         subsamplingRate=params.row_share, featureSubsetStrategy=str(params.column_share),
-        seed=params.seed)
+        checkpointInterval=10, seed=params.seed)
     stages = [*encoder.stages, assembler(numeric, category), trees]
     return Pipeline(stages=stages).fit(weighted(train, label))
 

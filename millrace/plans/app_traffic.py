@@ -30,5 +30,10 @@ def region_traffic(spark: SparkSession, *, table: str, boundaries: str) -> DataF
     return fill_regions(read_boundaries(spark, boundaries), traffic)
 
 
+def preview(rows: DataFrame, count: int = 5) -> DataFrame:
+    """Any few rows, for a look."""
+    return rows.limit(count)
+
+
 def region_scale(filled: DataFrame) -> DataFrame:
     return scale_domain(filled)

@@ -161,7 +161,7 @@ def _stream_messages(spark, folder):
     return lookup_join(events, users, "user_id", "state_of")
 
 
-def stream_run(spark, folder, on_progress=None) -> ActiveTable:
+def stream_run(spark, folder, on_progress=None, compact_every=2) -> ActiveTable:
     """Land the events week by week and let the stream take each landing as a batch.
 
     ``on_progress`` receives the seconds each batch took.
@@ -181,7 +181,7 @@ def stream_run(spark, folder, on_progress=None) -> ActiveTable:
         publish(week, f"{root}/messages")
         query = start_app_events(folder_stream(spark, f"{root}/messages"), lookups, active,
                                  f"{root}/checkpoint", {"availableNow": True},
-                                 compact_every=2)
+                                 compact_every=compact_every)
         query.awaitTermination()
         if on_progress:
             for progress in query.recentProgress:
