@@ -1,4 +1,8 @@
-"""App events: decode, parse, clean and enrich."""
+"""App events: decode, parse, clean and enrich.
+
+JSON is parsed inside the generator, not in a column before it: the optimizer would
+copy such a column into the filters it derives and parse every message several times.
+"""
 
 from __future__ import annotations
 
@@ -13,14 +17,14 @@ from millrace.sources.messages import decode
 
 def parse_events(messages: DataFrame, schema=APP_EVENTS) -> DataFrame:
     """Rows of the JSON array (or single object) in each message ``value``."""
-    events = decode(messages).select(F.from_json("json_str", schema).alias("events"))
-    return events.select(F.explode("events").alias("event")).select("event.*")
+    events = decode(messages).select(F.explode(F.from_json("json_str", schema)).alias("event"))
+    return events.select("event.*")
 
 
 def normalise_payloads(payloads: DataFrame) -> DataFrame:
     """First event of each raw API payload in ``value``, its digits turned into ids."""
-    parsed = F.from_json(F.col("value"), RAW_APP_EVENT_PAYLOAD)
-    first = payloads.select(F.get(parsed["data"], F.lit(0)).alias("raw")).where("raw IS NOT NULL")
+    data = F.from_json(F.col("value"), RAW_APP_EVENT_PAYLOAD)["data"]
+    first = payloads.select(F.explode(F.slice(data, 1, 1)).alias("raw")).where("raw IS NOT NULL")
     return first.select(
         leading_int(F.col("raw.user_id"), 3).alias("user_id"),
         F.col("raw.state").alias("state"),

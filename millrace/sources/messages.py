@@ -36,9 +36,11 @@ def decode(messages: DataFrame) -> DataFrame:
 
 
 def parse_rows(messages: DataFrame, schema) -> DataFrame:
-    """One JSON object per message. Bad JSON gives a row of NULLs, not an error."""
-    parsed = decode(messages).select(F.from_json("json_str", schema).alias("row"))
-    return parsed.select("row.*")
+    """One JSON object per message. Bad JSON gives a row of NULLs, not an error.
+
+    The generator keeps later filters from being pushed into a second parse.
+    """
+    return decode(messages).select(F.inline(F.array(F.from_json("json_str", schema))))
 
 
 def to_messages(rows: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def test_normalise_payloads(spark):
         '{"data":[{"user_id":"1034567890123","state":"Goa","event_id":"845","device_id":1}]}',
         '{"data":[{"user_id":"9990","state":"Goa","event_id":"5","device_id":0},'
         '{"user_id":"1110","state":"Goa","event_id":"1","device_id":0}]}',
-        '{"data":[]}', '{"status":"OK"}', "garbage", None])
+        '{"data":[]}', '{"data":[null]}', '{"status":"OK"}', "garbage", None])
     assert rows(normalise_payloads(payloads)) == [(103, "Goa", 3, 1), (999, "Goa", 5, 0)]
 
 

@@ -6,9 +6,12 @@ import re
 
 import pytest
 
+from millrace.operators.events import normalise_payloads, parse_events
 from millrace.operators.orders import clean_orders
 from millrace.queries import fraud, orders, staging, traffic
-from millrace.sources.regions import read_landing
+from millrace.schemas import STAGING_TABLES
+from millrace.sources.messages import parse_rows
+from millrace.sources.regions import extract_envelope, read_landing
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -71,3 +74,14 @@ def test_no_python_in_any_plan(spark):
     for df in (traffic.parse_event_json(spark, FOLDER), traffic.merge_delete(spark, FOLDER),
                orders.clean_orders(spark, FOLDER), fraud.one_hot_features(spark, FOLDER)):
         assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas", plan(df))
+
+
+def test_json_is_parsed_once(spark, tmp_path):
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+    messages = orders.order_json(spark, FOLDER)
+    assert parses(parse_events(messages).where("event_id > 3 AND state IS NOT NULL")) == 1
+    assert parses(normalise_payloads(messages).where("user_id > 3")) == 1
+    assert parses(parse_rows(messages, STAGING_TABLES["users"]).where("email IS NOT NULL")) == 1
+    assert parses(extract_envelope(messages, "data", "a: string").where("a = 'x'")) == 1
