@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from millrace.operators.staging import absent_by_key, new_rows, star_target, transformed_source
 from millrace.schemas import STAGING_TABLES
 from millrace.session import path_exists, settle
-from millrace.sources.jdbc import Database, read_jdbc, write_jdbc
+from millrace.sources.jdbc import Database, ReadSplit, read_jdbc, write_jdbc
 from millrace.sources.tables import empty_relation, read_csv, select_schema
 
 MODES = ("append_new", "replace")
@@ -47,13 +47,15 @@ class FolderStaging:
 
 
 class JdbcStaging:
-    """Staging tables in a database."""
+    """Staging tables in a database. ``splits`` names the range each table is read by."""
 
-    def __init__(self, spark: SparkSession, database: Database):
-        self.spark, self.database = spark, database
+    def __init__(self, spark: SparkSession, database: Database,
+                 splits: dict[str, ReadSplit] | None = None):
+        self.spark, self.database, self.splits = spark, database, splits or {}
 
     def read(self, table: str, schema) -> DataFrame:
-        return select_schema(read_jdbc(self.spark, self.database, table), schema)
+        stored = read_jdbc(self.spark, self.database, table, self.splits.get(table))
+        return select_schema(stored, schema)
 
     def stage(self, raw: DataFrame, table: str, run: str, mode: str) -> DataFrame:
         """The difference is settled before the table it was taken from is written."""

@@ -40,6 +40,11 @@ def read_jdbc(spark: SparkSession, database: Database, table: str,
     return spark.read.format("jdbc").options(**options).load()
 
 
+def warehouse_writer(database: Database, mode: str = "append", **settings):
+    """``write(rows, table)`` for the load jobs."""
+    return lambda rows, table: write_jdbc(rows, database, table, mode, **settings)
+
+
 def write_jdbc(df: DataFrame, database: Database, table: str, mode: str = "append",
                connections: int = 64, batch_size: int = 10_000) -> None:
     """``connections`` bounds the parallel writers so the database survives the load."""

@@ -10,6 +10,7 @@ from millrace.plans.app_traffic import log_events, preview, region_scale, region
 from millrace.session import object_store_options, scratch_path, settle, shared_dir
 from millrace.sources.batches import (list_batches, mark_processed, next_batch, numbered,
                                       read_processed)
+from millrace.sources import jdbc
 from millrace.sources.jdbc import Database, ReadSplit
 from millrace.sources.messages import parse_rows, publish, to_messages
 from millrace.sources.tables import (empty_relation, read_boundaries, read_table, select_schema,
@@ -112,6 +113,14 @@ def test_jdbc_options():
         "partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
 
 
+def test_jdbc_writer_and_split_reader_pass_their_options(monkeypatch):
+    calls = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda *a, **k: calls.append((a, k)))
+    database = Database("jdbc:x://h/db", "x.Driver", "me", "hidden")
+    jdbc.warehouse_writer(database, connections=8)("rows", "fact_orders")
+    assert calls == [(("rows", database, "fact_orders", "append"), {"connections": 8})]
+
+
 def test_object_store_options():
     options = object_store_options("http://store:9000", "a", "b")
     assert options["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
