@@ -107,7 +107,7 @@ def test_dense_group_gives_a_forest(spark):
     rng = random.Random(2)
     bits = {0}
     while len(bits) < 1500:
-        bits.add(sum(1 << rng.randrange(40) for _ in range(2)) % (1 << 40))
+        bits.add(sum(1 << rng.randrange(40) for _ in range(3)) % (1 << 40))
     points = spark.createDataFrame([(i, b) for i, b in enumerate(sorted(bits))],
                                    "node bigint, bits bigint").repartition(3)
     links = simhash.near_links(points)
