@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash, substring_dedup
+import corpus_pipeline
+from millrace.llm import decontaminate, language_id, merge_dropout, simhash, substring_dedup
 from millrace.llm.common import table
 
+#: Rows that classifiers learn from: those whose remainder is not 1.
+HELD_OUT = "crc32(cast(doc_id AS string)) % 3 = 1"
+
+
+def op1_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    return merge_dropout.encode(table(spark, folder, "documents"),
+                                public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.fit(docs.where(f"NOT ({HELD_OUT})"))
+    return language_id.identify(docs, model).select(
+        "doc_id", F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"),
+        "lang_pred", "score", "ambiguous")
+
+
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"),
+                                      table(spark, folder, "benchmark"))
+
 
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -19,9 +42,17 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
+    "op1_merge_dropout": op1_merge_dropout,
+    "op2_language_id": op2_language_id,
+    "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": pipeline,
 }
 
 ORACLE = {

@@ -16,8 +16,6 @@ at the ends of repeats, are verified one by one, by a 128-bit hash of their word
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -300,9 +298,11 @@ def kept_words(text: str | None, spans, firsts, window: int) -> tuple[list[bytes
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    window: int = WINDOW) -> DataFrame:
+                    window: int = WINDOW, carry: bool = False) -> DataFrame:
     """One row (doc_id, n_words, n_removed, kept) per row of ``docs``.
 
+    With ``carry`` a further column ``row`` holds all columns of the input row.
+
     Words are stretches without space or 0x09-0x0D. A word is removed if a window of
     ``window`` words over it, within its document, also starts at an earlier place of the
     corpus (smaller id, or the same id and an earlier word). All windows are judged on
@@ -324,10 +324,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .groupBy("h1", "h2").agg(F.min("place").alias("place")), bits, mark="0")
     spans = (found.where("kind = 0").select("key", F.col("h1").alias("digest"), "spans")
              .dropDuplicates(["key", "digest"]))
-    rows = (source.select(F.col("key").cast("bigint").alias("doc_id"), "text",
+    if carry:
+        source = docs.select(F.col(f"`{id_col}`").alias("key"), F.col(f"`{text_col}`").alias("text"),
+                             F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rest = ["row"] if carry else []
+    rows = (source.select(F.col("key").cast("bigint").alias("doc_id"), "text", *rest,
                           F.coalesce(F.col("key").cast("bigint"), F.lit(-1 << 63)).alias("key"), _digest())
             .join(spans, ["key", "digest"], "left").join(firsts, "key", "left")
-            .select("doc_id", "text", "spans", "marks"))
+            .select("doc_id", "text", "spans", "marks", *rest))
 
     def work(batch):
         kept, total, removed = [], [], []
@@ -339,11 +343,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             removed.append(n - len(words))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
-
-    return map_slices(rows, "text", "doc_id bigint, n_words bigint, n_removed bigint, kept string",
-                      work)
-
+             pa.array(kept, pa.string()), *batch.columns[4:]],
+            ["doc_id", "n_words", "n_removed", "kept", *rest])
 
-def digest(kept: str) -> str:
-    return hashlib.sha256(kept.encode()).hexdigest()
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    if carry:
+        schema += f", row {rows.schema['row'].dataType.simpleString()}"
+    return map_slices(rows, "text", schema, work)
