@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import settle
+from millrace.session import scratch_path
+
 
 #: Text a task works on at a time; a single longer text is a slice of its own.
 SLICE_BYTES = 3_000_000
@@ -29,15 +31,25 @@ def renamed(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``settle``, then let Spark drop the shuffle files that led to the result.
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that are no longer referred to.
+
+    They go when the driver's collector finds the plan unused; on a driver with little
+    to do that may be long after a query has filled the disks. Call it where the frames
+    that led to a settled one have gone out of scope.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read from there, and its path.
 
-    Shuffle files go when the driver's collector finds their plan unused; on a driver
-    with little to do that may be long after the query has filled the disks.
+    Columns take a fraction of what the rows of a checkpoint take.
     """
-    result = settle(df)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return result
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str,

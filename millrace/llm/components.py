@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import settled
+from millrace.llm.common import release
+from millrace.session import settle
 
 
 class Forest:
@@ -57,16 +58,17 @@ def components(links: DataFrame) -> DataFrame:
     grows; each is checkpointed, so a lost executor costs a round at most. Nodes with
     NULL ends are ignored; no links give no rows.
     """
-    edges = settled(links.toDF("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    edges = settle(links.toDF("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
                     .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .distinct())
     state = _state(edges)
     while state[0]:
-        edges = settled(_small_star(_large_star(edges)))
+        edges = settle(_small_star(_large_star(edges)))
         now = _state(edges)
         if now == state:
             break
         state = now
+        release(links.sparkSession)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 

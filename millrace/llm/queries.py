@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import decontaminate, language_id, merge_dropout, simhash, substring_dedup
+from millrace.llm import (ctph, decontaminate, language_id, merge_dropout, simhash,
+                          substring_dedup, token_file, toxicity)
 from millrace.llm.common import table
 
 #: Rows that classifiers learn from: those whose remainder is not 1.
@@ -27,6 +28,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "lang_pred", "score", "ambiguous")
 
 
+def op5_ctph(spark: SparkSession, folder: str) -> DataFrame:
+    return ctph.likeness_to_edits(table(spark, folder, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"),
                                       table(spark, folder, "benchmark"))
@@ -36,6 +41,21 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    files = token_file.write(table(spark, folder, "documents"),
+                             public_tokenizers.path("word_bpe_49k.json"))
+    return token_file.digests(files)
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    labelled = docs.where(f"NOT ({HELD_OUT})").select("doc_id", "text").join(labels, "doc_id")
+    model = toxicity.fit(labelled)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.without_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed",
@@ -49,8 +69,11 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_merge_dropout": op1_merge_dropout,
     "op2_language_id": op2_language_id,
+    "op5_ctph": op5_ctph,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
+    "op8_token_file": op8_token_file,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
     "pipeline": pipeline,
 }

@@ -20,8 +20,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_slices, renamed, settled
+from millrace.llm.common import map_slices, renamed
 from millrace.llm.components import Forest, components, forest
+from millrace.session import settle
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -232,8 +233,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if not 0 <= max_bits < 3 * len(SEGMENTS):
         raise ValueError("max_bits must be from 0 to 8")
-    prints = settled(fingerprints(docs, id_col, text_col, shingle))
-    points = settled(prints.where("key IS NOT NULL").groupBy("bits")
+    prints = settle(fingerprints(docs, id_col, text_col, shingle))
+    points = settle(prints.where("key IS NOT NULL").groupBy("bits")
                      .agg(F.min("key").alias("node")))
     found = components(forest(near_links(points, max_bits)))
     of_bits = (points.join(found, "node", "left")
