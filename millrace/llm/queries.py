@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import (ctph, decontaminate, language_id, merge_dropout, simhash,
-                          substring_dedup, token_file, toxicity)
+                          substring_dedup, template_text, token_file, toxicity, warc)
 from millrace.llm.common import table
 
 #: Rows that classifiers learn from: those whose remainder is not 1.
@@ -28,6 +28,15 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "lang_pred", "score", "ambiguous")
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return template_text.extract(table(spark, folder, "pages"))
+
+
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_ctph(spark: SparkSession, folder: str) -> DataFrame:
     return ctph.likeness_to_edits(table(spark, folder, "documents"))
 
@@ -69,6 +78,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_merge_dropout": op1_merge_dropout,
     "op2_language_id": op2_language_id,
+    "op3_main_text": op3_main_text,
+    "op4_warc": op4_warc,
     "op5_ctph": op5_ctph,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
@@ -79,6 +90,18 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+           (('0x' || substr(hex, (5 * i // 4 + 1)::INT, 2))::INT >> (3 - 5 * i % 4)::INT) & 31)), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p""",
     "op10_substring_dedup": r"""
 WITH w AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
