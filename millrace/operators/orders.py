@@ -54,8 +54,13 @@ def union_regions(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def regions_complete(orders: DataFrame, region: str, expected: int) -> DataFrame:
-    """One row telling whether every configured region delivered rows."""
-    present = F.count_distinct(F.col(region))
-    return orders.agg(present.alias("present"), F.lit(expected).alias("expected"),
-                      (present == expected).alias("complete"))
+def regions_complete(orders: DataFrame, region: str, expected: list[str]) -> DataFrame:
+    """One row: how many expected regions delivered rows, the names of those that did not,
+    how many others turned up, and whether none is missing."""
+    wanted = F.array(*[F.lit(name) for name in sorted(set(expected))]).cast("array<string>")
+    known = F.array_contains(wanted, F.col(region))
+    found = orders.agg(F.collect_set(F.when(known, F.col(region))).alias("found"),
+                       F.count_distinct(F.when(~known, F.col(region))).alias("unexpected"))
+    missing = F.array_except(wanted, F.col("found"))
+    return found.select(F.size("found").alias("present"), F.array_join(missing, ",").alias("missing"),
+                        "unexpected", (F.size(missing) == 0).alias("complete"))

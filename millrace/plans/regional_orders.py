@@ -7,31 +7,40 @@ from itertools import groupby
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.orders import clean_orders, union_regions
-from millrace.schemas import LANDED_ORDER
-from millrace.sources.regions import (Region, archive, extract_envelope, land, read_landing)
-
-ORDER_FIELDS = ", ".join(f"`{f.name}`: string" for f in LANDED_ORDER.fields)
+from millrace.operators.orders import clean_orders, regions_complete
+from millrace.session import path_exists
+from millrace.sources.regions import (Region, archive, envelope_items, land, read_landing,
+                                      read_raw, region_of)
 
 
 def land_payloads(payloads: dict[str, DataFrame], regions: list[Region], store: str) -> None:
-    """Land each region's rows; ``payloads`` holds its JSON responses in ``value``."""
+    """Land each region's raw orders; ``payloads`` holds its JSON responses in ``value``."""
     for region in regions:
-        rows = extract_envelope(payloads[region.datakey], region.datakey, ORDER_FIELDS)
-        land(rows, region.landing(store))
+        land(envelope_items(payloads[region.datakey], region.datakey), region.landing(store))
+
+
+def _raw(spark: SparkSession, regions: list[Region], store: str) -> DataFrame:
+    """Raw orders (value, datakey) of the regions that landed, in one scan."""
+    found = [r.landing(store) for r in regions if path_exists(spark, r.landing(store))]
+    if not found:
+        return spark.createDataFrame([], "value string, datakey string")
+    return read_raw(spark, found).select("value", region_of(F.col("path"), regions).alias("datakey"))
 
 
 def archive_landing(spark: SparkSession, regions: list[Region], store: str, run_ts: str) -> None:
-    """Copy the landing files of all regions of a bucket into this run's snapshot."""
+    """Copy the raw orders of all regions of a bucket into this run's snapshot, every field kept."""
     for _, group in _grouped(regions, lambda r: r.bucket):
-        frames = [read_landing(spark, [r.landing(store)])
-                  .withColumn("datakey", F.lit(r.datakey)) for r in group]
-        archive(union_regions(frames).withColumn("run_ts", F.lit(run_ts)), group[0].archive(store))
+        archive(_raw(spark, group, store).withColumn("run_ts", F.lit(run_ts)), group[0].archive(store))
+
+
+def landing_status(spark: SparkSession, regions: list[Region], store: str) -> DataFrame:
+    """Which regions delivered and which are missing, from one scan over all of them."""
+    return regions_complete(_raw(spark, regions, store), "datakey", [r.datakey for r in regions])
 
 
 def check_landing(spark: SparkSession, regions: list[Region], store: str) -> bool:
     """Whether every region delivered; no region is loaded otherwise."""
-    return all(not read_landing(spark, [r.landing(store)]).isEmpty() for r in regions)
+    return landing_status(spark, regions, store).first()["complete"]
 
 
 def transform(spark: SparkSession, regions: list[Region], store: str,

@@ -6,14 +6,16 @@ from pyspark.sql import functions as F
 
 from millrace.functions import row_json
 from millrace.operators import orders as operators
+from millrace.plans import regional_orders
 from millrace.queries import table
 from millrace.schemas import CURATED_ORDER
-from millrace.session import scratch_path
+from millrace.session import child_names, scratch_path
 from millrace.sources.messages import parse_rows, to_messages
-from millrace.sources.regions import archive, extract_envelope, read_archive, read_landing
+from millrace.sources.regions import (Region, archive, extract_envelope, parse_items, read_archive,
+                                      read_landing)
 
-# The order priorities of the given tables, one per region.
-REGION_KEYS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+# Regions that are expected: one does not deliver, and others deliver that are not.
+EXPECTED = ["1-URGENT", "3-MEDIUM", "5-LOW", "6-NEVER"]
 
 
 def landed_orders(spark, folder):
@@ -59,13 +61,13 @@ def union_regions(spark, folder):
     landing = scratch_path(spark, "landing")
     (landed_orders(spark, folder).withColumn("region", F.col("product"))
         .write.partitionBy("region").json(landing))
-    regions = [operators.clean_orders(read_landing(spark, [f"{landing}/region={key}"]))
-               for key in REGION_KEYS]
+    regions = [operators.clean_orders(read_landing(spark, [f"{landing}/{name}"]))
+               for name in child_names(spark, landing) if name.startswith("region=")]
     return _comparable(operators.union_regions(regions))
 
 
 def regions_complete(spark, folder):
-    return operators.regions_complete(landed_orders(spark, folder), "product", len(REGION_KEYS))
+    return operators.regions_complete(landed_orders(spark, folder), "product", EXPECTED)
 
 
 def archive_roundtrip(spark, folder):
@@ -77,18 +79,43 @@ def archive_roundtrip(spark, folder):
     return read_archive(spark, target, "20251205T020500")
 
 
+def regional_archive(spark, folder):
+    """Land, check and archive by the job's functions; read back fields nobody declared."""
+    store = scratch_path(spark, "store")
+    regions = [Region("/x", status, "shop", f"orders-{status}.json", "dw", "orders")
+               for status in ("F", "O", "P")]
+    coupon = F.struct(F.concat(F.lit("c"), "o_custkey").alias("code"),
+                      F.array(F.col("o_orderkey"), F.lit(1)).alias("uses"))
+    item = F.struct(F.col("o_orderkey").cast("string").alias("order-id"), coupon.alias("coupon"))
+    payloads = {}
+    for region in regions:
+        own = table(spark, folder, "orders").where(F.col("o_orderstatus") == region.datakey)
+        payloads[region.datakey] = own.select(F.to_json(F.struct(
+            F.lit(1).alias("total"), F.array(item).alias(region.datakey),
+            F.struct(F.lit("ok").alias("state")).alias("status"))).alias("value"))
+    regional_orders.land_payloads(payloads, regions, store)
+    assert regional_orders.check_landing(spark, regions, store)
+    regional_orders.archive_landing(spark, regions, store, "20251205T020000")
+    stored = read_archive(spark, regions[0].archive(store), "20251205T020000")
+    parsed = parse_items(stored, "`order-id`: string, coupon: struct<code: string, uses: array<bigint>>")
+    return parsed.select("`order-id`", "coupon.code", F.element_at("coupon.uses", 1).alias("first_use"),
+                         "datakey")
+
+
 def envelope_extract(spark, folder):
-    """Payloads of none, one or two orders under a key that differs by region."""
+    """Payloads of none, one or two orders under a key that differs by region, beside
+    keys that hold a number, a text and an object."""
     first = F.struct(F.col("o_orderkey").cast("string").alias("order-id"),
                      F.col("o_orderpriority").alias("product"))
     second = F.struct(F.concat(F.lit("gift "), F.col("o_orderkey")).alias("order-id"),
                       F.col("o_orderstatus").alias("product"))
     count = (F.when(F.col("o_orderstatus") == "P", 0)
              .when(F.col("o_orderstatus") == "O", 1).otherwise(2))
-    items = F.slice(F.array(first, second), F.lit(1), count)
+    items = F.to_json(F.slice(F.array(first, second), F.lit(1), count))
     key = F.concat("o_orderpriority", F.lit("-orders"))
-    payloads = table(spark, folder, "orders").select(
-        key.alias("datakey"), F.to_json(F.create_map(key, items)).alias("value"))
+    value = F.concat(F.lit('{"total":'), F.col("o_custkey"), F.lit(',"note":"[x]","'), key, F.lit('":'),
+                     items, F.lit(',"page":{"next":[1,2]}}'))
+    payloads = table(spark, folder, "orders").select(key.alias("datakey"), value.alias("value"))
     return extract_envelope(payloads, F.col("datakey"), "`order-id`: string, product: string")
 
 
@@ -111,6 +138,7 @@ QUERIES = {
     "union_regions": union_regions,
     "regions_complete": regions_complete,
     "archive_roundtrip": archive_roundtrip,
+    "regional_archive": regional_archive,
     "publish_json": publish_json,
     "order_json": order_json,
 }
@@ -162,9 +190,19 @@ ORACLE = {
             FROM ({_CURATED}) curated) flagged
         WHERE faults <> ''""",
     "union_regions": _CLEAN,
-    "regions_complete": f"""
-        SELECT count(DISTINCT o_orderpriority) AS present, {len(REGION_KEYS)} AS expected,
-               count(DISTINCT o_orderpriority) = {len(REGION_KEYS)} AS complete
+    "regions_complete": """
+        WITH wanted(name) AS (VALUES ('1-URGENT'), ('3-MEDIUM'), ('5-LOW'), ('6-NEVER'))
+        SELECT count(DISTINCT o_orderpriority) FILTER (o_orderpriority IN (SELECT name FROM wanted))
+                 AS present,
+               (SELECT string_agg(name, ',' ORDER BY name) FROM wanted
+                WHERE name NOT IN (SELECT o_orderpriority FROM orders)) AS missing,
+               count(DISTINCT o_orderpriority) FILTER (o_orderpriority NOT IN (SELECT name FROM wanted))
+                 AS unexpected,
+               false AS complete
+        FROM orders""",
+    "regional_archive": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS "order-id", 'c' || o_custkey AS code,
+               o_orderkey AS first_use, o_orderstatus AS datakey
         FROM orders""",
     "archive_roundtrip": f"""
         SELECT *, "payment method" AS datakey FROM ({_LANDED}) landed""",

@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.schemas import LANDED_ORDER
 
@@ -41,33 +42,74 @@ def load_regions(folder: str) -> list[Region]:
             for path in sorted(Path(folder).glob("*.yaml"))]
 
 
-def extract_envelope(payloads: DataFrame, datakey, item_schema: str) -> DataFrame:
-    """Rows under key ``datakey`` of each JSON payload in ``value``.
+def envelope_items(payloads: DataFrame, datakey) -> DataFrame:
+    """The raw JSON text of each row under key ``datakey`` of the payloads in ``value``.
 
-    ``datakey`` is a name or a column, so one plan serves every region.
+    ``datakey`` is a name or a column, so one plan serves every region. Keys beside it may
+    hold anything; the items keep every field, nested ones too.
     """
     key = F.lit(datakey) if isinstance(datakey, str) else datakey
-    parsed = F.from_json(F.col("value"), f"map<string, array<struct<{item_schema}>>>")
-    return (payloads.select(F.explode(F.try_element_at(parsed, key)).alias("item"))
-            .select("item.*"))
+    held = F.try_element_at(F.from_json("value", "map<string, string>"), key)
+    return payloads.select(F.explode(F.from_json(held, "array<string>")).alias("value"))
+
+
+def extract_envelope(payloads: DataFrame, datakey, item_schema: str) -> DataFrame:
+    """Rows under key ``datakey`` of each JSON payload in ``value``, as columns."""
+    return parse_items(envelope_items(payloads, datakey), item_schema)
+
+
+def parse_items(items: DataFrame, item_schema) -> DataFrame:
+    """Declared fields of raw JSON items; further columns are kept.
+
+    The parse is inside a generator: as a plain column it would be repeated per use.
+    """
+    parsed = F.from_json("value", f"struct<{item_schema}>" if isinstance(item_schema, str)
+                         else item_schema)
+    rest = [c for c in items.columns if c != "value"]
+    return items.select(*rest, F.explode(F.array(parsed)).alias("__item")).select("__item.*", *rest)
+
 
+def land(items: DataFrame, location: str) -> None:
+    """Replace the landing folder with the raw items, one JSON text per line."""
+    items.select("value").write.mode("overwrite").text(location)
 
-def land(rows: DataFrame, location: str) -> None:
-    """Replace the landing folder with ``rows``, one JSON object per line."""
-    rows.write.mode("overwrite").json(location)
+
+def read_raw(spark: SparkSession, locations: list[str]) -> DataFrame:
+    """The raw items of all landing files in one scan (JSON lines or one array a line),
+    with the file's path."""
+    lines = spark.read.text(locations).select("value", F.col("_metadata.file_path").alias("path"))
+    items = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+    return (lines.where(F.trim("value") != "").select("path", F.explode(items).alias("value"))
+            .select("value", "path"))
 
 
 def read_landing(spark: SparkSession, locations: list[str]) -> DataFrame:
-    """One scan over the landing files of all regions (JSON lines or one array)."""
-    return spark.read.schema(LANDED_ORDER).json(locations)
+    """One scan over the landing files of all regions, with the declared fields."""
+    return parse_items(read_raw(spark, locations).select("value"), LANDED_ORDER)
+
+
+def region_of(path, regions: list[Region]):
+    """The data key of the region in whose landing folder a file lies."""
+    found = F.lit(None).cast("string")
+    for region in regions:
+        inside = path.contains(region.landing("") + "/") | path.endswith(region.landing(""))
+        found = F.when(inside, F.lit(region.datakey)).otherwise(found)
+    return found
 
 
 def archive(rows: DataFrame, location: str) -> None:
-    """Write ``run_ts``/``datakey`` partitions, replacing those of the same key only."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Write ``run_ts``/``datakey`` partitions, replacing those of the same key only.
+
+    Rows are brought together by partition, a large one in several files.
+    """
+    (rows.hint("rebalance", "run_ts", "datakey").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_ts", "datakey").parquet(location))
 
 
 def read_archive(spark: SparkSession, location: str, run_ts: str) -> DataFrame:
-    return (spark.read.option("basePath", location)
-            .parquet(f"{location}/run_ts={run_ts}").drop("run_ts"))
+    """The rows of one run. Keys are strings, whatever they look like."""
+    path = f"{location}/run_ts={run_ts}"
+    stored = spark.read.option("basePath", path).parquet(path).drop("datakey").schema
+    return (spark.read.schema(StructType([*stored.fields, StructField("datakey", StringType())]))
+            .option("basePath", path).parquet(path))

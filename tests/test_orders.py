@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from millrace.operators.orders import clean_orders, order_rejects, regions_complete, union_regions
 from millrace.plans import regional_orders
 from millrace.schemas import CURATED_ORDER, LANDED_ORDER
-from millrace.sources.regions import (Region, archive, extract_envelope, land, load_regions,
-                                      read_archive, read_landing)
+from millrace.sources.regions import (Region, archive, envelope_items, extract_envelope, land,
+                                      load_regions, read_archive, read_landing)
 from millrace.sources.tables import empty_relation
 from tests.helpers import rows, values
 
@@ -70,9 +70,12 @@ def test_union_starts_from_an_empty_frame(spark):
 
 
 def test_regions_complete(spark):
-    orders = spark.createDataFrame([("usa",), ("usa",), ("india",)], "region string")
-    assert regions_complete(orders, "region", 2).first() == (2, 2, True)
-    assert regions_complete(orders, "region", 3).first() == (2, 3, False)
+    orders = spark.createDataFrame([("usa",), ("usa",), ("india",), (None,)], "region string")
+    assert regions_complete(orders, "region", ["usa", "india"]).first() == (2, "", 0, True)
+    assert regions_complete(orders, "region", ["usa"]).first() == (1, "", 1, True)
+    assert regions_complete(orders, "region", ["usa", "mars", "eire"]).first() == (1, "eire,mars", 1, False)
+    assert regions_complete(orders.where("false"), "region", ["usa"]).first() == (0, "usa", 0, False)
+    assert regions_complete(orders, "region", []).first() == (0, "", 2, True)
 
 
 def test_envelope(spark):
@@ -81,6 +84,17 @@ def test_envelope(spark):
     assert rows(extract_envelope(payloads, "usa-orders", "a: string")) == [("1",), ("2",)]
 
 
+@pytest.mark.parametrize("sibling", ["3", "null", '"text"', "true", '{"usa-orders":[{"a":"no"}]}',
+                                     "[1,2]", "[[]]", '[{"a":{"b":1}}]'])
+def test_envelope_with_siblings_of_any_type(spark, sibling):
+    items = '"usa-orders":[{"a":"1","n":{"x":[1,{"y":2}]}},{"a":"2"}]'
+    payloads = values(spark, [f'{{"s":{sibling},{items}}}', f'{{{items},"s":{sibling}}}'])
+    assert rows(extract_envelope(payloads, "usa-orders", "a: string")) == [
+        ("1",), ("1",), ("2",), ("2",)]
+    assert [json.loads(r[0]) for r in rows(envelope_items(payloads, "usa-orders"))][0] == {
+        "a": "1", "n": {"x": [1, {"y": 2}]}}
+
+
 def test_landing_reads_an_array_on_one_line(spark, tmp_path):
     path = tmp_path / "orders.json"
     path.write_text(json.dumps([dict(zip(LANDED_ORDER.names, GOOD))] * 3))
@@ -157,7 +171,30 @@ def test_missing_region_stops_the_load(spark, tmp_path, regions):
 
 
 def test_land_replaces(spark, tmp_path):
-    target = str(tmp_path / "landing")
-    land(landed(spark, {}, {}), target)
-    land(landed(spark, {}), target)
+    target, raw = str(tmp_path / "landing"), F.to_json(F.struct("*")).alias("value")
+    land(landed(spark, {}, {}).select(raw), target)
+    land(landed(spark, {}).select(raw), target)
     assert read_landing(spark, [target]).count() == 1
+
+
+def test_absent_landing_folder_is_a_missing_region(spark, tmp_path, regions):
+    store = str(tmp_path / "store")
+    assert not regional_orders.check_landing(spark, regions, store)
+    regional_orders.land_payloads({regions[0].datakey: payload(spark, regions[0].datakey, 2)},
+                                  regions[:1], store)
+    assert regional_orders.landing_status(spark, regions, store).first() == (
+        1, "india-orders,usa-orders", 0, False)
+    assert regional_orders.check_landing(spark, regions[:1], store)
+
+
+def test_archive_keeps_every_field_and_the_keys_as_text(spark, tmp_path):
+    regions = [Region("/x", str(n), "shop", f"{n}.json", "dw", "orders") for n in range(2)]
+    payloads = {r.datakey: values(spark, [json.dumps({"total": 3, r.datakey: [
+        {"order-id": "o1", "coupon": "c", "seller": {"id": 7}}]})]) for r in regions}
+    store = str(tmp_path)
+    regional_orders.land_payloads(payloads, regions, store)
+    regional_orders.archive_landing(spark, regions, store, "t1")
+    stored = read_archive(spark, regions[0].archive(store), "t1")
+    assert stored.dtypes == [("value", "string"), ("datakey", "string")]
+    assert [(json.loads(v), k) for v, k in rows(stored.orderBy("datakey"))] == [
+        ({"order-id": "o1", "coupon": "c", "seller": {"id": 7}}, k) for k in ("0", "1")]
