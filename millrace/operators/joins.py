@@ -1,4 +1,4 @@
-"""Joins of a large, possibly skewed side with a lookup that has one row per key."""
+"""Joins of a large, possibly skewed side with a lookup."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 256
-HOT_SAMPLE = 0.01
+JOINS = ("left", "inner", "left_semi", "left_anti")
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
@@ -28,36 +27,23 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
-def hot_keys(fact: DataFrame, key: str, count: int = HOT_KEYS,
-             fraction: float = HOT_SAMPLE) -> list:
-    """At most ``count`` frequent keys. A wrong guess costs time, never rows."""
-    sample = fact.select(key).where(F.col(key).isNotNull()).sample(fraction, seed=7)
-    top = sample.groupBy(key).count().where("count > 1").orderBy(F.desc("count"), key)
-    return [row[0] for row in top.limit(count).collect()]
-
-
 def lookup_join(fact: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str,
                 how: str = "left", broadcast: bool | None = None,
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Equi-join ``fact`` with ``lookup`` (unique ``lookup_key``), dropping ``lookup_key``.
+    """Equi-join ``fact`` with ``lookup``, dropping ``lookup_key``.
 
     ``lookup`` is read twice, to measure and to join: pass a scan or a settled frame.
-    A lookup measured to fit is broadcast. A larger one is shuffled, after the
-    frequent and the NULL keys of ``fact`` are set apart: their rows stay where
-    they are and meet the few lookup rows they need by broadcast. ``broadcast``
-    states the outcome of a measurement made before.
+    A lookup measured to fit is broadcast. For a larger one both sides are shuffled, after
+    one scan of each; partitions that a hot or NULL key makes large are split at run time
+    (``spark.sql.adaptive.skewJoin``), as ``fact`` is the outer side of every allowed join.
+    ``broadcast`` states the outcome of a measurement made before.
     """
+    if how not in JOINS:
+        raise ValueError(f"how must be one of {JOINS}")
     if broadcast is None:
         broadcast = fits_broadcast(lookup, max_rows)
-    if broadcast:
-        return _equi_join(fact, F.broadcast(lookup), fact_key, lookup_key, how)
-
-    frequent = hot_keys(fact, fact_key)
-    is_hot = F.col(fact_key).isNull() | F.col(fact_key).isin(frequent)
-    few = lookup.where(F.col(lookup_key).isin(frequent))
-    hot = _equi_join(fact.where(is_hot), F.broadcast(few), fact_key, lookup_key, how)
-    cold = _equi_join(fact.where(~is_hot), lookup, fact_key, lookup_key, how)
-    return hot.unionByName(cold)
+    side = F.broadcast(lookup) if broadcast else lookup.hint("merge")
+    return _equi_join(fact, side, fact_key, lookup_key, how)
 
 
 def _equi_join(fact, lookup, fact_key, lookup_key, how):

@@ -15,7 +15,6 @@ from millrace.operators.metrics import classification_report, imbalance_ratio, r
 from millrace.schemas import TRANSACTION_CATEGORY, TRANSACTION_IDS, TRANSACTION_LABEL
 from millrace.session import shared_dir
 
-MAX_CATEGORIES = 10_000
 # Fixed value: lowest ROC-AUC a model may have to be promoted (inclusive).
 PROMOTION_AUC = 0.95
 
@@ -44,9 +43,6 @@ def numeric_columns(transactions: DataFrame, category: str = TRANSACTION_CATEGOR
 
 def fit_encoder(train: DataFrame, category: str = TRANSACTION_CATEGORY) -> PipelineModel:
     """One-hot slots per category in alphabetical order; unseen ones are all zeros."""
-    values = train.select(category).distinct().limit(MAX_CATEGORIES + 1).count()
-    if values > MAX_CATEGORIES:
-        raise ValueError(f"{category} has more than {MAX_CATEGORIES} values")
     indexer = StringIndexer(inputCol=category, outputCol=f"{category}_index",
                             handleInvalid="keep", stringOrderType="alphabetAsc")
     one_hot = OneHotEncoder(inputCol=f"{category}_index", outputCol=f"{category}_slots",
@@ -77,22 +73,17 @@ def weighted(train: DataFrame, label: str = TRANSACTION_LABEL) -> DataFrame:
         "weight", F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
 
 
-def spread(train: DataFrame) -> DataFrame:
-    """Use all cores for the many passes of training when the input has few files."""
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
-
-
 def train_model(train: DataFrame, numeric: list[str], encoder: PipelineModel | None = None,
                 params: BoostingParams = BoostingParams(),
                 category: str = TRANSACTION_CATEGORY,
-                label: str = TRANSACTION_LABEL) -> PipelineModel:
+                label: str = TRANSACTION_LABEL, partitions: int | None = None) -> PipelineModel:
     """Fit boosted trees on ``train``, reusing ``encoder`` when one is given.
 
+    ``partitions`` spreads the rows when the input has few files for the many passes.
     Every ten rounds the state is checkpointed into the shared folder.
     """
     shared_dir(train.sparkSession)
-    train = spread(train)
+    train = train.repartition(partitions) if partitions else train
     encoder = encoder or fit_encoder(train, category)
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, weightCol="weight", lossType="logistic",

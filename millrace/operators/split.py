@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_CLASSES = 10_000
+from millrace.operators.joins import fits_broadcast
+from millrace.session import settle
 
 
 def hashed_order(*keys: str, seed: int = 42) -> list[Column]:
@@ -71,13 +72,14 @@ def _refine(keyed, label, fixed, level, cuts, test_share):
     found = running.where((F.col("upto") >= F.col("__need")) & (before < F.col("__need"))).select(
         label, "__quota", (F.col("__need") - before).alias("__need"), "__size",
         *fixed_cuts, F.col(level).cast("long").alias(f"__cut_{len(fixed)}"))
-    classes = found.limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    settled = all(c["__quota"] == 0 or c["__need"] == c["__size"] for c in classes)
-    return keyed.sparkSession.createDataFrame(classes, found.schema).drop("__size"), settled
+    found = settle(found)
+    whole = (F.col("__quota") == 0) | (F.col("__need") == F.col("__size"))
+    settled = found.agg(F.coalesce(F.bool_and(whole), F.lit(True))).first()[0]
+    return found.drop("__size"), settled
 
 
 def _with_cuts(df, label, cuts):
+    """Boundaries are one row per class; only if there are very many the rows are shuffled."""
     wanted = cuts.withColumnRenamed(label, "__class")
-    return df.join(F.broadcast(wanted), F.col(label).eqNullSafe(F.col("__class"))).drop("__class")
+    side = F.broadcast(wanted) if fits_broadcast(cuts) else wanted.hint("merge")
+    return df.join(side, F.col(label).eqNullSafe(F.col("__class"))).drop("__class")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import lookup_join
+from millrace.operators.joins import BROADCAST_ROWS, fits_broadcast
+from millrace.session import settle
 
 # Source table -> warehouse table.
 STAR_TARGETS = {
@@ -24,23 +27,31 @@ def transformed_source(table: str) -> str:
     return f"T{table}"
 
 
-def new_rows(raw: DataFrame, staged: DataFrame) -> DataFrame:
+def new_rows(raw: DataFrame, staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Distinct rows of ``raw`` that ``staged`` lacks; NULLs compare equal.
 
-    One grouping of both sides: copies collapse before the shuffle, so neither a
-    repeated row nor a large staging table makes one task heavy.
+    The distinct new side is settled and measured. If it fits, it is broadcast over one scan
+    of ``staged``, whose rows stay where they are. Two large sides are grouped together:
+    copies collapse before the shuffle, so no repeated row makes one task heavy.
     """
     columns = raw.columns
     staged = staged.toDF(*columns)
-    both = raw.withColumn("__staged", F.lit(False)).union(staged.withColumn("__staged", F.lit(True)))
+    fresh = settle(raw.distinct())
+    if fits_broadcast(fresh, max_rows):
+        here, there = fresh.alias("here"), staged.alias("there")
+        same = reduce(lambda a, b: a & b, [
+            F.col(f"there.`{c}`").eqNullSafe(F.col(f"here.`{c}`")) for c in columns])
+        return fresh.subtract(there.join(F.broadcast(here), same, "left_semi"))
+    both = fresh.withColumn("__staged", F.lit(False)).union(staged.withColumn("__staged", F.lit(True)))
     grouped = both.groupBy(*[F.col(f"`{c}`") for c in columns])
     return (grouped.agg(F.max("__staged").alias("__staged"))
             .where("NOT __staged").drop("__staged"))
 
 
-def absent_by_key(rows: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
-    """Rows whose key the target does not hold yet, for loads that may be repeated."""
-    return lookup_join(rows, loaded.select(key).distinct(), key, key, "left_anti", broadcast=False)
+def absent(rows: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Distinct rows that the target does not hold as they are, for loads that may be
+    repeated: a changed row is loaded, NULL keys compare equal."""
+    return new_rows(rows, loaded.select([F.col(f"`{c}`") for c in rows.columns]))
 
 
 def monthly_trend(orders: DataFrame, order_time: str,

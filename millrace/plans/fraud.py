@@ -7,13 +7,18 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from millrace.operators import model as M
+from millrace.operators.joins import lookup_join
 from millrace.operators.split import hashed_order, stratified_split
 from millrace.schemas import TRANSACTION_LABEL
 from millrace.session import path_exists
 from millrace.sources.batches import (list_batches, mark_processed, next_batch, read_processed,
                                       retire_batches)
+from millrace.sources.messages import await_or_stop, folder_stream, topic_stream
+from millrace.streaming.retrain import start_retraining, training_files
+from millrace.streaming.scoring import start_scoring
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 _PROMOTION = "run string, auc double, path string, at timestamp"
@@ -51,16 +56,19 @@ class ModelStore:
         return path
 
     def split_path(self, run: str) -> str:
-        return f"{self.root}/splits/{run}"
+        return f"{self.root}/splits/run={run}"
 
-    def promoted_training_rows(self) -> DataFrame | None:
-        """Training parts of all promoted runs."""
+    def promoted_training_rows(self, schema: StructType) -> DataFrame | None:
+        """Training parts of all promoted runs, in one scan that reads only their folders."""
         location = f"{self.root}/promotions"
         if not path_exists(self.spark, location):
             return None
         runs = self.spark.read.schema(_PROMOTION).parquet(location).select("run").distinct()
-        paths = [f"{self.split_path(row['run'])}/is_test=false" for row in runs.toLocalIterator()]
-        return self.spark.read.parquet(*paths)
+        stored = StructType([*schema.fields, StructField("run", StringType()),
+                             StructField("is_test", BooleanType())])
+        splits = self.spark.read.schema(stored).parquet(f"{self.root}/splits")
+        return (lookup_join(splits.where("NOT is_test"), runs, "run", "run", "left_semi")
+                .select(*schema.names))
 
     def save_metrics(self, run: str, report: DataFrame, auc: float | None) -> None:
         """The report as a table and as text; it has one row per class and three more."""
@@ -79,20 +87,23 @@ class ModelStore:
 
 def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
                       params: M.BoostingParams = M.BoostingParams(),
-                      gate: float = M.PROMOTION_AUC) -> Outcome:
+                      gate: float = M.PROMOTION_AUC, fit_rows: int | None = None) -> Outcome:
     """Train on 80 % of ``batch`` and the training parts of the batches promoted before.
 
     Spark ML cannot continue a fitted ensemble, so rows of earlier batches are
-    trained on again instead. The split is stored once and read from there.
+    trained on again instead. The split is stored once and read from there. ``fit_rows``
+    bounds the labelled rows to fit on, drawn evenly; all test rows are scored.
     """
     spark, label = batch.sparkSession, TRANSACTION_LABEL
-    earlier = store.promoted_training_rows()
+    earlier = store.promoted_training_rows(batch.schema)
     parts = store.split_path(run)
     split = stratified_split(batch, label, order or hashed_order(*batch.columns))
     split.write.mode("overwrite").partitionBy("is_test").parquet(parts)
     train = spark.read.parquet(f"{parts}/is_test=false")
     if earlier is not None:
         train = train.unionByName(earlier)
+    if fit_rows is not None:
+        train = train.sample(min(1.0, fit_rows / max(1, train.count())), seed=params.seed)
     train = M.drop_identifiers(train)
     test = M.drop_identifiers(spark.read.parquet(f"{parts}/is_test=true"))
 
@@ -112,6 +123,37 @@ def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
     return Outcome(run, auc, promoted)
 
 
+def retrain_on_new_batches(spark: SparkSession, folder: str, schema: StructType, store: ModelStore,
+                           checkpoint: str, params: M.BoostingParams = M.BoostingParams(),
+                           gate: float = M.PROMOTION_AUC, archive_to: str | None = None,
+                           timeout: int | None = None) -> list[Outcome]:
+    """Train and promote once for every batch that appeared since the last call."""
+    outcomes: list[Outcome] = []
+
+    def train(rows: DataFrame, number: int) -> None:
+        outcomes.append(train_and_promote(rows, store, f"batch-{number}", params=params, gate=gate))
+
+    files = training_files(spark, folder, schema, archive_to)
+    await_or_stop(start_retraining(files, train, checkpoint), timeout)
+    return outcomes
+
+
+def score_transactions(spark: SparkSession, store: ModelStore, schema: StructType, *, alerts: str,
+                       checkpoint: str, servers: str | None = None,
+                       topic: str = "financial-transactions", folder: str | None = None,
+                       available_now: bool = False, timeout: int | None = None) -> None:
+    """Score the stream of transactions with the production model and keep the alerts.
+
+    Messages come from a broker topic, or from a folder of message files.
+    """
+    model = store.production()
+    if model is None:
+        raise ValueError(f"no model was promoted in {store.root}")
+    messages = folder_stream(spark, folder) if folder else topic_stream(spark, servers, topic)
+    trigger = {"availableNow": True} if available_now else None
+    await_or_stop(start_scoring(messages, schema, model, alerts, checkpoint, trigger), timeout)
+
+
 def train_next(spark: SparkSession, folder: str, processed: str, store: ModelStore,
                params: M.BoostingParams = M.BoostingParams(), gate: float = M.PROMOTION_AUC,
                archive: str | None = None) -> Outcome | None:

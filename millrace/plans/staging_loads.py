@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from millrace.operators.staging import absent_by_key, new_rows, star_target, transformed_source
+from millrace.operators.staging import absent, new_rows, star_target, transformed_source
 from millrace.schemas import STAGING_TABLES
 from millrace.session import path_exists, settle
 from millrace.sources.jdbc import Database, ReadSplit, read_jdbc, write_jdbc
@@ -42,19 +42,25 @@ class FolderStaging:
     def stage(self, raw: DataFrame, table: str, run: str, mode: str) -> DataFrame:
         target = f"{self.root}/{table}/run={run}"
         staged = self.read(table, raw.schema, mode, without=run)
-        new_rows(raw, staged).write.mode("overwrite").parquet(target)
+        fresh = new_rows(raw, staged)
+        if path_exists(self.spark, target) or not fresh.isEmpty():
+            fresh.write.mode("overwrite").parquet(target)
+        else:
+            return empty_relation(self.spark, raw.schema)
         return self.spark.read.schema(raw.schema).parquet(target)
 
 
 class JdbcStaging:
-    """Staging tables in a database. ``splits`` names the range each table is read by."""
+    """Staging tables in a database. ``splits`` names the range each table is read by;
+    a table without one would come through a single task and is refused."""
 
-    def __init__(self, spark: SparkSession, database: Database,
-                 splits: dict[str, ReadSplit] | None = None):
-        self.spark, self.database, self.splits = spark, database, splits or {}
+    def __init__(self, spark: SparkSession, database: Database, splits: dict[str, ReadSplit]):
+        self.spark, self.database, self.splits = spark, database, splits
 
     def read(self, table: str, schema) -> DataFrame:
-        stored = read_jdbc(self.spark, self.database, table, self.splits.get(table))
+        if table not in self.splits:
+            raise ValueError(f"no read split for {table}")
+        stored = read_jdbc(self.spark, self.database, table, self.splits[table])
         return select_schema(stored, schema)
 
     def stage(self, raw: DataFrame, table: str, run: str, mode: str) -> DataFrame:
@@ -94,14 +100,16 @@ def load_transformed(read, write) -> None:
 def load_star(fresh: dict[str, DataFrame], write, loaded=None) -> dict[str, str]:
     """Append each table's new rows to its star target: ``write(rows, target)``.
 
-    ``loaded(target)`` may return what a target holds already; rows whose key
-    (the first column) is there are left out, so a repeated load adds nothing.
+    ``loaded(target)`` may return what a target holds already; rows that are there as they
+    are get left out, so a repeated load adds nothing and a changed row is added. Nothing
+    is written where nothing is new.
     """
     targets = {}
     for table, rows in fresh.items():
         target = star_target(table)
         if loaded is not None:
-            rows = absent_by_key(rows, loaded(target), rows.columns[0])
-        write(rows, target)
+            rows = settle(absent(rows, loaded(target)))
+        if loaded is None or not rows.isEmpty():
+            write(rows, target)
         targets[table] = target
     return targets

@@ -56,19 +56,31 @@ def _sources(spark, folder):
     }
 
 
-def load_star_counts(spark, folder):
-    """Stage the four tables, load them twice, count each target."""
+def load_star_rows(spark, folder):
+    """Stage the four tables, load them; change some rows, load twice more; all target rows.
+
+    The second delivery repeats every row, changes the customers of one segment and has
+    rows without a key.
+    """
     root = scratch_path(spark, "star")
     store = FolderStaging(spark, f"{root}/staging")
     sources = _sources(spark, folder)
     fresh = {name: stage(rows, store, name, "1") for name, rows in sources.items()}
     targets = load_star(fresh, lambda rows, target: rows.write.parquet(f"{root}/{target}/load=1"))
-    load_star(fresh, lambda rows, target: rows.write.parquet(f"{root}/{target}/load=2"),
-              loaded=lambda target: spark.read.parquet(f"{root}/{target}"))
-    counts = [spark.read.parquet(f"{root}/{target}")
-              .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(target).alias("target"), "rows")
-              for target in targets.values()]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    users = sources["users"]
+    changed = users.where("c_mktsegment = 'BUILDING'").withColumn("c_name", F.upper("c_name"))
+    nameless = users.where("c_mktsegment = 'MACHINERY'").withColumn("c_custkey", F.lit(None).cast("bigint"))
+    delivered = {**sources, "users": users.unionByName(changed).unionByName(nameless).unionByName(nameless)}
+    fresh = {name: stage(rows, store, name, "2") for name, rows in delivered.items()}
+    for load in (2, 3):
+        load_star(fresh, lambda rows, target: rows.write.parquet(f"{root}/{target}/load={load}"),
+                  loaded=lambda target: spark.read.parquet(f"{root}/{target}"))
+    rows = []
+    for target in targets.values():
+        stored = spark.read.parquet(f"{root}/{target}").drop("load")
+        rows.append(stored.select(F.lit(target).alias("target"), *[
+            F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(stored.columns[:2])]))
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 def csv_roundtrip(spark, folder):
@@ -83,8 +95,8 @@ def csv_roundtrip(spark, folder):
 
 
 def monthly_trend(spark, folder):
-    return operators.monthly_trend(table(spark, folder, "orders"), "o_orderdate",
-                                   table(spark, folder, "events"), "ts")
+    clicks = table(spark, folder, "events").where("event_type = 'click'")
+    return operators.monthly_trend(table(spark, folder, "orders"), "o_orderdate", clicks, "ts")
 
 
 def hourly_clicks(spark, folder):
@@ -96,7 +108,7 @@ QUERIES = {
     "staging_new_rows": staging_new_rows,
     "staging_append": staging_append,
     "staging_replace": staging_replace,
-    "load_star": load_star_counts,
+    "load_star": load_star_rows,
     "csv_roundtrip": csv_roundtrip,
     "monthly_trend": monthly_trend,
     "hourly_clicks": hourly_clicks,
@@ -113,10 +125,13 @@ ORACLE = {
         SELECT * FROM ({_RAW} EXCEPT {_STAGED}) fresh""",
     "staging_replace": f"{_RAW} EXCEPT {_STAGED}",
     "load_star": """
-        SELECT 'dim_users' AS target, count(*) AS rows FROM customer
-        UNION ALL SELECT 'dim_products', count(*) FROM part
-        UNION ALL SELECT 'fact_orders', count(*) FROM orders
-        UNION ALL SELECT 'fact_clicks', count(*) FROM events""",
+        SELECT 'dim_users' AS target, CAST(c_custkey AS VARCHAR) AS c0, c_name AS c1 FROM customer
+        UNION ALL SELECT 'dim_users', CAST(c_custkey AS VARCHAR), upper(c_name) FROM customer
+        WHERE c_mktsegment = 'BUILDING' AND upper(c_name) <> c_name
+        UNION ALL SELECT DISTINCT 'dim_users', NULL, c_name FROM customer WHERE c_mktsegment = 'MACHINERY'
+        UNION ALL SELECT 'dim_products', CAST(p_partkey AS VARCHAR), p_name FROM part
+        UNION ALL SELECT 'fact_orders', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR) FROM orders
+        UNION ALL SELECT 'fact_clicks', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR) FROM events""",
     "csv_roundtrip": """
         SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
                p_type AS category, p_retailprice AS price, p_size AS stock
@@ -127,7 +142,7 @@ ORACLE = {
         FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders
               FROM orders GROUP BY 1) o
         FULL JOIN (SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS clicks
-                   FROM events GROUP BY 1) c ON o.month = c.month""",
+                   FROM events WHERE event_type = 'click' GROUP BY 1) c ON o.month = c.month""",
     "hourly_clicks": """
         SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS clicks
         FROM events WHERE event_type = 'click' GROUP BY 1""",

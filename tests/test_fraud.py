@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from millrace.operators import model as M
 from millrace.operators.metrics import classification_report, imbalance_ratio, roc_auc
 from millrace.operators.split import hashed_order, stratified_split
-from millrace.plans.fraud import ModelStore, train_and_promote, train_next
+from millrace.plans.fraud import (ModelStore, retrain_on_new_batches, score_transactions,
+                                  train_and_promote, train_next)
 from millrace.sources.batches import read_processed
 from millrace.sources.messages import folder_stream, publish
 from millrace.streaming.retrain import start_retraining, training_files
@@ -62,6 +63,19 @@ def test_split_with_tiny_and_null_classes(spark, stored, share):
         ("a", int(7 * share + 0.5)), ("b", int(share + 0.5)), (None, int(4 * share + 0.5))) if n})
 
 
+def test_split_with_many_classes(spark, tmp_path):
+    given = spark.range(60_000).select((F.col("id") % 12_000).alias("label"), "id")
+    given.write.parquet(str(tmp_path / "many"))
+    flagged = stratified_split(spark.read.parquet(str(tmp_path / "many")), "label", hashed_order("id"))
+    per_class = flagged.groupBy("label").agg(F.count_if("is_test").alias("n"), F.count("*").alias("all"))
+    assert per_class.where("n = 1 AND all = 5").count() == 12_000
+
+
+def test_encoder_with_many_categories(spark):
+    given = spark.range(24_000).select((F.col("id") % 12_000).cast("string").alias("type"))
+    assert len(M.fit_encoder(given).stages[0].labels) == 12_000
+
+
 def test_split_follows_the_order(spark, stored):
     given = stored(spark.range(100).selectExpr("id", "1 AS y"))
     flagged = stratified_split(given, "y", [F.shiftright("id", 4), F.col("id")], 0.3)
@@ -175,7 +189,7 @@ def test_gate():
 def test_train_validate_promote(spark, tmp_path, stored):
     store = ModelStore(spark, str(tmp_path / "models"))
     batch = stored(transactions(spark))
-    assert store.production() is None and store.promoted_training_rows() is None
+    assert store.production() is None and store.promoted_training_rows(batch.schema) is None
     rejected = train_and_promote(batch, store, "r0", params=SMALL, gate=1.1)
     assert not rejected.promoted and store.production() is None
     done = train_and_promote(batch, store, "r1", params=SMALL)
@@ -185,15 +199,15 @@ def test_train_validate_promote(spark, tmp_path, stored):
     assert metrics.where("class = 'accuracy'").first()["support"] == 120
     report = "\n".join(r[0] for r in spark.read.text(f"{store.root}/reports/r1").collect())
     assert "weighted avg" in report and "ROC-AUC" in report
-    train = store.promoted_training_rows()
-    assert train.count() == 480
+    train = store.promoted_training_rows(batch.schema)
+    assert train.count() == 480 and train.columns == batch.columns
 
     # The encoder of production is kept, so a new type has no slot of its own.
     other = batch.withColumn("type", F.when(F.col("type") == "PAYMENT", "DEBIT").otherwise(F.col("type")))
     train_and_promote(other, store, "r2", params=SMALL)
     assert store.production_path().endswith("r2")
     assert store.production().stages[0].labels == ["CASH_OUT", "PAYMENT", "TRANSFER"]
-    assert store.promoted_training_rows().count() == 960
+    assert store.promoted_training_rows(batch.schema).count() == 960
 
 
 def test_batches_are_used_once_in_order(spark, tmp_path):
@@ -235,6 +249,34 @@ def test_new_files_start_training_once(spark, tmp_path):
     run()
     assert seen[2:] == [(12, 42)]
 
+    # A folder of part files is one batch, a file without a number none.
+    elsewhere = tmp_path / "elsewhere"
+    transactions(spark, 40).repartition(3).write.parquet(str(elsewhere / "Training_data_3.parquet"))
+    (elsewhere / "Training_data_3.parquet").rename(folder / "Training_data_3.parquet")
+    transactions(spark, 5).toPandas().to_parquet(folder / "notes.parquet")
+    run()
+    assert seen[3:] == [(3, 40)]
+
+
+def test_retraining_and_scoring_jobs(spark, tmp_path):
+    store, schema = ModelStore(spark, str(tmp_path / "models")), transactions(spark).schema
+    folder, alerts = tmp_path / "in", str(tmp_path / "alerts")
+    with pytest.raises(ValueError):
+        score_transactions(spark, store, schema, alerts=alerts, checkpoint="x", folder=str(folder))
+    transactions(spark).repartition(2).write.parquet(str(folder / "Training_data_4.parquet"))
+
+    def retrain():
+        return retrain_on_new_batches(spark, str(folder), schema, store, str(tmp_path / "trained"),
+                                      SMALL, gate=0.5, timeout=240)
+
+    assert [(o.run, o.promoted) for o in retrain()] == [("batch-4", True)]
+    assert retrain() == []
+    unlabelled = transactions(spark).drop("isFraud")
+    publish(unlabelled, str(tmp_path / "messages"))
+    score_transactions(spark, store, unlabelled.schema, alerts=alerts, available_now=True, timeout=120,
+                       checkpoint=str(tmp_path / "scored"), folder=str(tmp_path / "messages"))
+    assert rows(spark.read.parquet(alerts)) == rows(fraud_alerts(unlabelled, store.production()))
+
 
 def test_stream_alerts_equal_batch_alerts(spark, tmp_path):
     labelled = transactions(spark)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from millrace.operators.joins import fits_broadcast, hot_keys, lookup_join
+from millrace.operators.joins import fits_broadcast, lookup_join
 from tests.helpers import rows
 
 
@@ -30,12 +30,19 @@ def test_both_ways_agree_with_a_plain_join(skewed, lookup, how):
     assert rows(lookup_join(skewed, lookup, "k", "key", how, max_rows=0)) == expected
 
 
-def test_hot_keys_are_found_and_bounded(skewed):
-    found = hot_keys(skewed, "k", count=3, fraction=0.5)
-    assert 5 in found and len(found) <= 3 and None not in found
+@pytest.mark.parametrize("how", ["right", "full", "cross"])
+def test_other_joins_are_refused(skewed, lookup, how):
+    with pytest.raises(ValueError):
+        lookup_join(skewed, lookup, "k", "key", how)
 
 
-def test_no_hot_key_at_all(spark, lookup):
+def test_large_lookup_may_repeat_keys(spark):
+    few = spark.createDataFrame([(1, 1), (2, 9)], "id int, k int")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "key int, name string")
+    assert rows(lookup_join(few, twice, "k", "key", max_rows=0)) == [(1, 1, "a"), (1, 1, "b"), (2, 9, None)]
+
+
+def test_unknown_key_beyond_the_bound(spark, lookup):
     few = spark.createDataFrame([(1, 1), (2, 99)], "id int, k int")
     assert rows(lookup_join(few, lookup, "k", "key", max_rows=0)) == [(1, 1, "name 1"), (2, 99, None)]
 
@@ -47,9 +54,12 @@ def test_size_is_measured_by_rows_and_bytes(spark, lookup):
     assert fits_broadcast(wide) and not fits_broadcast(wide, max_bytes=9_000)
 
 
-def test_small_lookup_is_broadcast_and_large_is_not(skewed, lookup):
+def test_small_lookup_is_broadcast_and_large_is_not(spark, skewed, lookup, tmp_path):
     def plan(df):
-        return df._jdf.queryExecution().optimizedPlan().toString()
+        return df._jdf.queryExecution().executedPlan().toString()
 
-    assert "broadcast" in plan(lookup_join(skewed, lookup, "k", "key"))
-    assert "Union" in plan(lookup_join(skewed, lookup, "k", "key", max_rows=0))
+    assert "BroadcastHashJoin" in plan(lookup_join(skewed, lookup, "k", "key"))
+    skewed.write.parquet(str(tmp_path / "fact"))
+    large = plan(lookup_join(spark.read.parquet(str(tmp_path / "fact")), lookup, "k", "key", max_rows=0))
+    assert "SortMergeJoin" in large and "Broadcast" not in large
+    assert large.count("FileScan") == 1

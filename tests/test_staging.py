@@ -4,7 +4,7 @@ import pytest
 
 from millrace.operators.staging import (hourly_clicks, monthly_trend, new_rows, star_target,
                                         transformed_source)
-from millrace.plans.staging_loads import (FolderStaging, load_star, load_transformed, stage,
+from millrace.plans.staging_loads import (FolderStaging, JdbcStaging, load_star, load_transformed, stage,
                                           stage_csv)
 from millrace.schemas import STAGING_TABLES
 from millrace.sources.tables import read_csv, write_csv
@@ -27,6 +27,43 @@ def test_new_rows_equals_subtract(spark):
     assert rows(new_rows(raw, staged.toDF("c", "d"))) == expected
 
 
+@pytest.mark.parametrize("max_rows", [0, 100])
+def test_new_rows_both_ways(spark, max_rows):
+    raw = frame(spark, (1, "x"), (1, "x"), (2, None), (None, None), (None, "q"), (4, "z"))
+    staged = frame(spark, (2, None), (4, "y"), (None, None), (None, None))
+    fresh = new_rows(raw, staged, max_rows=max_rows)
+    assert rows(fresh) == sorted([(1, "x"), (None, "q"), (4, "z")], key=repr)
+
+
+def test_small_difference_leaves_staged_rows_in_place(spark, tmp_path):
+    frame(spark, (1, "x"), (2, "y")).write.parquet(str(tmp_path / "staged"))
+    staged = spark.read.parquet(str(tmp_path / "staged"))
+    plan = new_rows(frame(spark, (1, "x")), staged)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "broadcast" in plan
+
+
+def test_load_adds_changed_rows_and_nothing_twice(spark, tmp_path):
+    target = str(tmp_path / "dim_t")
+    write = lambda rows, _: rows.write.mode("append").parquet(target)
+    loaded = lambda _: spark.read.parquet(target)
+    load_star({"t": frame(spark, (1, "old"), (None, "n"))}, write)
+    for _ in range(2):
+        load_star({"t": frame(spark, (1, "new"), (1, "old"), (2, "a"), (2, "a"), (None, "n"))}, write, loaded)
+    assert rows(loaded("")) == sorted([(1, "old"), (None, "n"), (1, "new"), (2, "a")], key=repr)
+
+
+def test_empty_difference_writes_nothing(spark, tmp_path):
+    store = FolderStaging(spark, str(tmp_path))
+    stage(frame(spark, (1, "x")), store, "t", "1")
+    assert stage(frame(spark, (1, "x")), store, "t", "2").isEmpty()
+    assert [p.name for p in (tmp_path / "t").iterdir()] == ["run=1"]
+
+
+def test_database_staging_wants_a_split(spark):
+    with pytest.raises(ValueError):
+        JdbcStaging(spark, None, {}).read("users", frame(spark).schema)
+
+
 def test_new_rows_shares_nothing_with_staged(spark):
     raw = spark.range(5000).selectExpr("CAST(id % 700 AS INT) AS a", "CAST(id % 3 AS STRING) AS b")
     staged = raw.where("a < 300")
