@@ -1,0 +1,80 @@
+"""The pipeline: each stage against a plain version of it, and edge rows through all."""
+
+from __future__ import annotations
+
+import public_tokenizers
+
+import corpus_pipeline
+from millrace.llm import merge_dropout
+from tests.llm.test_decontaminate import plain as least_edits, words
+from tests.llm.test_simhash import plain_components, plain_fingerprint
+from tests.llm.test_substring_dedup import plain as plain_repeats
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_stages_in_turn(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["language_id", "simhash_dedup", "substring_dedup", "decontaminate", "merge_dropout"]
+    found = {}
+    for name, stage in corpus_pipeline.STAGES:
+        result = stage(spark, docs, FOLDER)
+        if name != names[-1]:
+            assert result.dtypes == docs.dtypes
+        result.write.parquet(str(tmp_path / name))
+        found[name], docs = docs, spark.read.parquet(str(tmp_path / name))
+    found["end"] = docs
+
+    before, after = by_id(found["language_id"]), by_id(found["simhash_dedup"])
+    assert all(before[k] == r for k, r in after.items())
+    assert all(len(before[k].text.split()) < 6 for k in before.keys() - after.keys())
+
+    rows = sorted(after.items())
+    groups = plain_components([k for k, _ in rows], [plain_fingerprint(r.text) for _, r in rows])
+    kept = by_id(found["substring_dedup"])
+    assert sorted(kept) == sorted({g for g in groups})
+
+    cut = by_id(found["decontaminate"])
+    for key, total, gone, text in plain_repeats([(k, r.text) for k, r in kept.items()], 20):
+        if gone and gone == total:
+            assert key not in cut
+        else:
+            assert cut[key].text == (text if gone else kept[key].text)
+            assert cut[key].n_chars == (len(text) if gone else kept[key].n_chars)
+
+    items = [words(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    clean = by_id(found["merge_dropout"])
+    for key, row in cut.items():
+        own = words(row.text)
+        held = any(set(i) & set(own) and least_edits(i, own) <= len(i) // 5 for i in items)
+        assert (key in clean) != held and (held or clean[key] == row)
+
+    vocabulary = merge_dropout.load(public_tokenizers.path("piece_bpe_32k.model"))
+    end = by_id(found["end"])
+    assert end.keys() == clean.keys()
+    assert all(merge_dropout.decode(vocabulary, r.token_ids) == clean[k].text for k, r in end.items())
+
+
+def test_edge_rows_through_every_stage(spark):
+    line = "the of and that with this from have been were " * 4
+    rows = [(1, None, "en", "s", None), (2, "", "en", None, 0), (3, "12 34", None, "s", 5),
+            (4, line, "en", "s", len(line)), (4, line, "en", "s", len(line)), (None, "the and " * 9, "en", "s", 1),
+            (6, "the and of " * 20000, "en", "s", 1), (7, "der die das und nicht " * 9, "de", "s", 1)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for given in (rows, []):
+        docs = spark.createDataFrame(given, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            result = stage(spark, docs, FOLDER)
+            assert name == "merge_dropout" or result.dtypes == docs.dtypes
+            assert result.count() <= len(given)
+
+
+def test_run(spark):
+    result = corpus_pipeline.run(spark, FOLDER)
+    assert result.columns == ["doc_id", "token_ids", "n_tokens", "lossless"]
+    assert result.count() > 150 and result.where("NOT lossless").count() == 0

@@ -1,0 +1,71 @@
+"""Toxicity: the learner against a plain one, held-out accuracy and edge rows."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from millrace.llm import queries, toxicity
+
+
+def test_learner_against_a_plain_one():
+    rng = random.Random(3)
+    data = [(sorted(rng.sample(range(20), rng.randint(0, 6))), rng.randint(0, 1)) for _ in range(80)]
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.3, 0.1
+    z, n = [0.0] * 21, [0.0] * 21
+
+    def weight(i):
+        own = 0.0 if i == 20 else l1
+        if abs(z[i]) <= own:
+            return 0.0
+        return (math.copysign(own, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+    for _ in range(3):
+        for at, label in data:
+            w = {i: weight(i) for i in [*at, 20]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in w:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+                n[i] += g * g
+    got, bias = toxicity.ftrl([np.array(a, np.int64) for a, _ in data], [y for _, y in data], 3,
+                              alpha, beta, l1, l2, 20)
+    assert np.allclose(got, [weight(i) for i in range(20)]) and math.isclose(bias, weight(20))
+    assert (got == 0).any() and (got != 0).any()
+
+
+def test_features():
+    grams, rows = toxicity.features(pa.array(["A b c", "a B", None, "", "C"]))
+    count = np.bincount(rows, minlength=5)
+    assert count.tolist() == [3 + 2 + 1, 2 + 1, 0, 0, 1]
+    assert set(grams[rows == 1]) <= set(grams[rows == 0])
+
+
+def test_held_out(spark):
+    found = queries.op9_toxicity(spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = found.join(labels, "doc_id").where("held_out").collect()
+    score, toxic = np.array([r.score for r in rows]), np.array([r.toxic for r in rows])
+    rank = np.argsort(np.argsort(score, kind="stable"))
+    ones = toxic.sum()
+    auc = (rank[toxic == 1].sum() - ones * (ones - 1) / 2) / (ones * (len(toxic) - ones))
+    assert auc > 0.95
+    told = np.array([r.predicted for r in rows]) == 1
+    assert (score[told] >= 0.7).all() and (score[~told] < 0.7).all()
+    assert toxic[told].mean() > 0.95 and told[toxic == 1].mean() > 0.6
+
+
+def test_edge_rows(spark):
+    rows = [(i, "you utter fool and dolt" if i % 2 else "a quiet day by the sea", i % 2, 0.5) for i in range(200)]
+    rows += [(500, "unlabelled", None, 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int, score double")
+    model = toxicity.fit(docs)
+    odd = spark.createDataFrame([(1, None), (1, ""), (None, "what a fool and dolt, utter fool"),
+                                 (2, "by the sea " * 30000)], "doc_id bigint, text string")
+    found = {(r.doc_id, r.score): r.predicted for r in toxicity.score(odd, model).collect()}
+    assert len(found) == 3 and all(0 <= s <= 1 for _, s in found)
+    assert max(found, key=lambda k: k[1])[0] is None
+    assert toxicity.score(odd.where("false"), model).count() == 0
+    nothing = toxicity.fit(docs.where("toxic IS NULL"))
+    assert {r.score for r in toxicity.score(odd, nothing).collect()} == {0.5}
