@@ -22,13 +22,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import (Powers, joined, map_slices, mix, per_text, renamed, settled,
+from millrace.llm.common import (Powers, joined, map_slices, mix, per_text, release, renamed, stored,
                                  word_bounds, word_hashes)
+from millrace.session import delete_path
 
 WINDOW = 20
 ROUNDS = 2
 #: Words handled at a time; longer texts are handled in overlapping parts.
 PART = 1 << 19
+#: Bytes of text handled at a time.
+SLICE = 1_500_000
 
 _A, _B = Powers(0xD6E8FEB86659FD93), Powers(0xA0761D6478BD642F)
 _U = np.uint64
@@ -210,13 +213,14 @@ def _first_anchors(docs: DataFrame, window: int, bits: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in out],
                                               ["key", "name", "context", "at"])
 
-    rows = map_slices(docs, "text", "key bigint, name bigint, context bigint, at bigint", work)
+    rows = map_slices(docs, "text", "key bigint, name bigint, context bigint, at bigint",
+                      work, SLICE)
     first = (rows.select("name", "context", _place("key", "at", bits).alias("place"))
              .groupBy("name", "context").agg(F.min("place").alias("place")))
     only = (first.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
             .where("n = 1").select("place", F.lit(1).alias("mark")))
-    return settled(_by_document(first.select("place", F.lit(0).alias("mark")).unionByName(only),
-                                bits, mark="mark"))
+    return _by_document(first.select("place", F.lit(0).alias("mark")).unionByName(only),
+                        bits, mark="mark")
 
 
 def _digest():
@@ -274,8 +278,8 @@ def _verify(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
         if made:
             return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
 
-    return settled(map_slices(docs.join(marks, "key", "left").select("key", "text", "marks", _digest()), "text",
-                              _FOUND, work))
+    return map_slices(docs.join(marks, "key", "left").select("key", "text", "marks", _digest()), "text",
+                              _FOUND, work, SLICE)
 
 
 def kept_words(text: str | None, spans, firsts, window: int) -> tuple[list[bytes], int]:
@@ -318,7 +322,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = source.select(F.coalesce(F.col("key").cast("bigint"), F.lit(-1 << 63)).alias("key"),
                         "text")
     bits = _place_type(own)
-    found = _verify(own, _first_anchors(own, window, bits), window)
+    marks, path = stored(_first_anchors(own, window, bits), "anchors")
+    release(docs.sparkSession)
+    found, _ = stored(_verify(own, marks, window), "windows")
+    delete_path(docs.sparkSession, path)
+    release(docs.sparkSession)
     firsts = _by_document(
         found.where("kind = 1").select("h1", "h2", _place("key", "at", bits).alias("place"))
         .groupBy("h1", "h2").agg(F.min("place").alias("place")), bits, mark="0")
