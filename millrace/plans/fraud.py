@@ -87,12 +87,14 @@ class ModelStore:
 
 def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
                       params: M.BoostingParams = M.BoostingParams(),
-                      gate: float = M.PROMOTION_AUC, fit_rows: int | None = None) -> Outcome:
+                      gate: float = M.PROMOTION_AUC, fit_rows: int | None = None,
+                      partitions: int | None = None) -> Outcome:
     """Train on 80 % of ``batch`` and the training parts of the batches promoted before.
 
     Spark ML cannot continue a fitted ensemble, so rows of earlier batches are
     trained on again instead. The split is stored once and read from there. ``fit_rows``
     bounds the labelled rows to fit on, drawn evenly; all test rows are scored.
+    ``partitions`` is how many the rows to fit on are spread over.
     """
     spark, label = batch.sparkSession, TRANSACTION_LABEL
     earlier = store.promoted_training_rows(batch.schema)
@@ -109,7 +111,8 @@ def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
 
     previous = store.production()
     model = M.train_model(train, M.numeric_columns(train),
-                          M.encoder_of(previous) if previous else None, params)
+                          M.encoder_of(previous) if previous else None, params,
+                          partitions=partitions)
     path = store.save_candidate(run, model)
 
     scored = M.predict(model, test).select(label, "predicted", "score").persist()
