@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.operators.traffic import fill_regions, scale_domain, traffic_by_state
+from millrace.operators.traffic import fill_regions, traffic_by_state
 from millrace.sources.messages import await_or_stop, folder_stream, topic_stream
 from millrace.sources.tables import read_boundaries, read_table
 from millrace.streaming.active_table import ActiveTable
@@ -33,7 +33,3 @@ def region_traffic(spark: SparkSession, *, table: str, boundaries: str) -> DataF
 def preview(rows: DataFrame, count: int = 5) -> DataFrame:
     """Any few rows, for a look."""
     return rows.limit(count)
-
-
-def region_scale(filled: DataFrame) -> DataFrame:
-    return scale_domain(filled)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +13,9 @@ from millrace.operators.traffic import (fill_regions, scale_domain, traffic_by_u
                                         unmatched_states)
 from millrace.queries import table
 from millrace.schemas import INT, LONG, STRING, struct
-from millrace.session import scratch_path, settle
-from millrace.sources.messages import folder_stream, publish
+from millrace.session import move_path, path_exists, scratch_path, settle
+from millrace.sources.messages import folder_stream
+from millrace.sources.tables import read_boundaries
 from millrace.streaming.active_table import (ENDED, LIVE, ActiveTable, delete_matched,
                                              matched_rows, resolve, split_kinds)
 from millrace.streaming.app_events import Lookups, start_app_events
@@ -55,6 +54,17 @@ def traffic_region_fill(spark, folder):
     return fill_regions(_regions(spark, folder), traffic_by_state(spark, folder))
 
 
+def traffic_geojson(spark, folder):
+    """The same with the regions read from a GeoJSON collection."""
+    location = f"{scratch_path(spark, 'map')}"
+    feature = F.struct(F.lit("Feature").alias("type"),
+                       F.struct(F.col("NAME_1"), F.lit(1).alias("GID")).alias("properties"))
+    (_regions(spark, folder).agg(F.to_json(F.struct(
+        F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("value"))
+        .write.text(location))
+    return fill_regions(read_boundaries(spark, location), traffic_by_state(spark, folder))
+
+
 def traffic_scale_domain(spark, folder):
     return scale_domain(traffic_region_fill(spark, folder))
 
@@ -98,7 +108,7 @@ def enrich_left_join(spark, folder):
 
 
 def lookup_join_hot_keys(spark, folder):
-    """The way beyond the broadcast bound: frequent keys apart, the rest shuffled."""
+    """The way beyond the broadcast bound: both sides shuffled, hot partitions split."""
     events = table(spark, folder, "events").select("event_id", "user_id")
     users = table(spark, folder, "customer").select("c_custkey", "c_name")
     return lookup_join(events, users, "user_id", "c_custkey", max_rows=0)
@@ -162,7 +172,7 @@ def _stream_messages(spark, folder):
 
 
 def stream_run(spark, folder, on_progress=None, compact_every=2) -> ActiveTable:
-    """Land the events week by week and let the stream take each landing as a batch.
+    """Publish the events once, then land them week by week: each landing is a batch.
 
     ``on_progress`` receives the seconds each batch took.
     """
@@ -174,19 +184,21 @@ def stream_run(spark, folder, on_progress=None, compact_every=2) -> ActiveTable:
     active = ActiveTable(spark, f"{root}/active")
     first, last = table(spark, folder, "events").agg(
         F.min(F.col("ts").cast("date")), F.max(F.col("ts").cast("date"))).first()
-    day = first
-    while day <= last:
-        until = day + timedelta(days=BATCH_DAYS)
-        week = events.where((F.col("ts") >= F.lit(day)) & (F.col("ts") < F.lit(until))).drop("ts")
-        publish(week, f"{root}/messages")
-        query = start_app_events(folder_stream(spark, f"{root}/messages"), lookups, active,
-                                 f"{root}/checkpoint", {"availableNow": True},
+    week = F.floor(F.datediff(F.col("ts").cast("date"), F.lit(first)) / BATCH_DAYS)
+    fields = [c for c in events.columns if c != "ts"]
+    (events.select(row_json(*fields).alias("value"), F.coalesce(week, F.lit(0)).alias("week"))
+        .write.partitionBy("week").text(f"{root}/published"))
+    for number in range((last - first).days // BATCH_DAYS + 1):
+        if not path_exists(spark, f"{root}/published/week={number}"):
+            continue
+        move_path(spark, f"{root}/published/week={number}", f"{root}/messages/{number}")
+        landed = folder_stream(spark, f"{root}/messages", recursiveFileLookup="true")
+        query = start_app_events(landed, lookups, active, f"{root}/checkpoint", {"availableNow": True},
                                  compact_every=compact_every)
         query.awaitTermination()
         if on_progress:
             for progress in query.recentProgress:
                 on_progress(progress["durationMs"]["triggerExecution"] / 1000)
-        day = until
     return active
 
 
@@ -211,6 +223,7 @@ def normalize_raw_event(spark, folder):
 QUERIES = {
     "traffic_by_state": traffic_by_state,
     "traffic_region_fill": traffic_region_fill,
+    "traffic_geojson": traffic_geojson,
     "traffic_scale_domain": traffic_scale_domain,
     "traffic_unmatched": traffic_unmatched,
     "parse_event_json": parse_event_json,
@@ -247,6 +260,7 @@ _NAMED = """
 ORACLE = {
     "traffic_by_state": _TRAFFIC,
     "traffic_region_fill": _FILLED,
+    "traffic_geojson": _FILLED,
     "traffic_scale_domain":
         f"SELECT min(app_traffic) AS low, max(app_traffic) AS high FROM ({_FILLED}) filled",
     "traffic_unmatched": f"""

@@ -96,7 +96,8 @@ class ActiveTable:
             seen,
             F.count(F.when(~terminal, 1)).alias("live"),
             F.count(F.when(terminal, 1)).alias("ended"),
-            F.count(F.when(F.col("event").isNull(), 1)).alias("unknown_event"))
+            F.count(F.when(F.col("event").isNull(), 1)).alias("unknown_event"),
+            F.count(F.when(F.col("user_id").isNull(), 1)).alias("unknown_user"))
         (split_kinds(observed, self.terminal).write.mode("overwrite")
             .option("partitionOverwriteMode", "static").partitionBy("kind")
             .parquet(f"{self.root}/batches/batch_id={batch_id}"))

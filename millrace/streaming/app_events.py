@@ -34,13 +34,16 @@ def start_app_events(messages: DataFrame, lookups: Lookups, table: ActiveTable,
 
     Enrichment runs inside the batch, in one plan with the split and the write.
     Lookups too large to broadcast need several passes, so the batch is kept then.
-    ``on_batch(batch_id, counts)`` receives the row counts of each batch.
+    ``on_batch(batch_id, counts)`` receives the row counts of each batch. An empty batch
+    writes nothing.
     """
     if not table.exists():
         table.create()
     first = table.attach(checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         if not lookups.broadcast:
             batch.persist()
         named = enrich(batch, lookups.events, lookups.devices, broadcast=lookups.broadcast)

@@ -35,8 +35,15 @@ def fraud_alerts(transactions: DataFrame, model: PipelineModel) -> DataFrame:
 
 def start_scoring(messages: DataFrame, schema: T.StructType, model: PipelineModel,
                   alerts: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append alerts as Parquet, each once. Restart the query to use a newer model."""
-    found = fraud_alerts(parse_rows(messages, schema), model)
+    """Append alerts as Parquet, each once. Restart the query to use a newer model.
+
+    The progress of each batch counts its messages and those without an id
+    (``observedMetrics["transactions"]``): these raise no alert.
+    """
+    read = with_transaction_id(parse_rows(messages, schema)).observe(
+        "transactions", F.count(F.lit(1)).alias("messages"),
+        F.count(F.when(F.col("transaction_id").isNull(), 1)).alias("without_id"))
+    found = fraud_alerts(read.drop("transaction_id"), model)
     writer = found.writeStream.format("parquet").outputMode("append")
     if trigger:
         writer = writer.trigger(**trigger)

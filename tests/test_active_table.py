@@ -57,7 +57,7 @@ def test_delete_before_append(spark, table):
 
 def test_counts(spark, table):
     counts = table.append_batch(batch(spark, [(1, "login"), (2, "session_ended"), (3, None)]), 0)
-    assert counts == {"live": 1, "ended": 1, "unknown_event": 1}
+    assert counts == {"live": 1, "ended": 1, "unknown_event": 1, "unknown_user": 0}
 
 
 def test_replayed_batch_changes_nothing(spark, table):
@@ -200,8 +200,10 @@ def test_stream_end_to_end(spark, tmp_path):
     assert rows(active.read()) == [
         (2, "AndamanandNicobar", "login", "Computer"), (2, "WestBengal", "login", "Computer")]
     assert rows(traffic_by_state(active.read())) == [("AndamanandNicobar", 1), ("WestBengal", 1)]
-    assert seen[0] == (0, {"live": 2, "ended": 0, "unknown_event": 1})
-    assert [number for number, _ in seen] == [0, 1, 2]
+    assert seen[0] == (0, {"live": 2, "ended": 0, "unknown_event": 1, "unknown_user": 0})
+    # The second landing held no event: nothing was written for it.
+    assert [number for number, _ in seen] == [0, 2]
+    assert not (tmp_path / "active" / "batches" / "batch_id=1").exists()
 
     # A stream with a new checkpoint reads everything again and counts on.
     land_and_run([message(5, 1)], str(tmp_path / "checkpoint-2"))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import batch_number
-from millrace.plans.app_traffic import log_events, preview, region_scale, region_traffic
+from millrace.operators.traffic import scale_domain
+from millrace.plans.app_traffic import log_events, preview, region_traffic
 from millrace.session import object_store_options, scratch_path, settle, shared_dir
 from millrace.sources.batches import (list_batches, mark_processed, next_batch, numbered,
                                       read_processed)
@@ -51,7 +52,7 @@ def test_traffic_job(spark, tmp_path):
                folder=str(tmp_path / "in"), available_now=True, timeout=60)
     filled = region_traffic(spark, table=str(tmp_path / "active"), boundaries=str(tmp_path / "map.json"))
     assert rows(filled) == [("Goa", 3), ("Kerala", 0)]
-    assert rows(region_scale(filled)) == [(0, 3)]
+    assert rows(scale_domain(filled)) == [(0, 3)]
     assert preview(filled, 1).count() == 1
     assert sorted(filled.toPandas()["app_traffic"]) == [0, 3]
 
