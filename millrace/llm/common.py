@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -10,12 +11,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.session import scratch_path
 
 
 #: Text a task works on at a time; a single longer text is a slice of its own.
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
 
 #: White space of the word operators: space and 0x09 to 0x0D.
 _SPACE = np.zeros(256, bool)
@@ -36,9 +38,11 @@ def release(spark: SparkSession) -> None:
 
     They go when the driver's collector finds the plan unused; on a driver with little
     to do that may be long after a query has filled the disks. Call it where the frames
-    that led to a settled one have gone out of scope.
+    that led to a settled one have gone out of scope. The scheduler refers to the last job
+    until it is told of another, so a small one is run first.
     """
     gc.collect()
+    spark.range(1).count()
     spark.sparkContext._jvm.System.gc()
 
 
@@ -52,6 +56,26 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def _trim() -> None:
+    """Give freed memory back: Python workers outlive their task and wait for the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` whose workers hold no more than their code when a task has ended."""
+    def lean(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return df.mapInArrow(lean, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str,
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that ``column`` holds about ``limit`` bytes, never inside a row."""
@@ -64,7 +88,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
             yield batch.slice(begin, end - begin)
 
 
-def map_slices(df: DataFrame, column: str, schema: str,
+def map_slices(df: DataFrame, column: str, schema: str | StructType,
                work: Callable[[pa.RecordBatch], pa.RecordBatch],
                limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` with ``work`` on bounded slices; ``work`` may return None."""
@@ -74,7 +98,7 @@ def map_slices(df: DataFrame, column: str, schema: str,
             if made is not None and made.num_rows:
                 yield made
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -144,7 +168,3 @@ def joined(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray
 def per_text(begin: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Of words that begin at byte ``begin``: the first word of each text, and the total."""
     return np.searchsorted(begin, offsets)
-
-
-def list_column(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))

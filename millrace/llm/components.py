@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,21 +32,6 @@ class Forest:
         return True
 
 
-def forest(links: DataFrame) -> DataFrame:
-    """In each task, only the links that connect something new. Same components."""
-    def thin(batches):
-        seen = Forest()
-        for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            kept = [(x, y) for x, y in zip(a, b) if seen.join(x, y)]
-            if kept:
-                pairs = np.array(kept, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    return links.mapInArrow(thin, "a bigint, b bigint")
-
-
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a bigint, b bigint) to one row (node, component) per linked node.
 

@@ -142,7 +142,8 @@ def hits(block: Block, names: np.ndarray, begin: np.ndarray):
         at, place, row = at[inside], place[inside], row[inside]
         count = pieces.first[place + 1] - pieces.first[place]
         which = np.repeat(np.arange(len(at)), count)
-        entry = pieces.first[place][which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        within = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        entry = pieces.first[place][which] + within
         found.append(np.stack([row[which], pieces.item[entry], at[which] - pieces.offset[entry]], 1))
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
@@ -150,7 +151,9 @@ def hits(block: Block, names: np.ndarray, begin: np.ndarray):
 def matches(block: Block, names: np.ndarray, begin: np.ndarray):
     """Best match (row, item, distance, first word, end) of each text and item in budget."""
     out, found = [], hits(block, names, begin)
-    heads = np.flatnonzero(np.append(True, (np.diff(found[:, :2], axis=0) != 0).any(axis=1))) if len(found) else []
+    heads = []
+    if len(found):
+        heads = np.flatnonzero(np.append(True, (np.diff(found[:, :2], axis=0) != 0).any(axis=1)))
     for a, b in zip(heads, [*heads[1:], len(found)]):
         row, item = int(found[a, 0]), int(found[a, 1])
         k, size = block.budgets[item], len(block.words[item])

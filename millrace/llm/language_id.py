@@ -199,12 +199,8 @@ def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
-    def run(batches):
-        from millrace.llm.common import slices
-        for batch in slices(batches, docs_column, SLICE):
-            language, score = shared.value.predict(batch.column(place).to_pylist())
-            keep = (score >= AMBIGUOUS) & (np.array(language) != UNKNOWN)
-            yield batch.filter(pa.array(keep))
-
-    docs_column = text_col
-    return docs.mapInArrow(run, docs.schema)
+    def work(batch):
+        language, score = shared.value.predict(batch.column(place).to_pylist())
+        return batch.filter(pa.array((score >= AMBIGUOUS) & (np.array(language) != UNKNOWN)))
+
+    return map_slices(docs, text_col, docs.schema, work, SLICE)

@@ -25,7 +25,9 @@ SEED = 2024
 #: Segmentations that a word can take under one seed.
 VARIANTS = 8
 #: Segmentations a task keeps; beyond it, it starts to keep anew.
-KEPT = 400_000
+KEPT = 300_000
+#: Bytes of text handled at a time.
+SLICE = 1_000_000
 
 _WORD = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 #: Words up to this length are segmented together, step by step.
@@ -130,7 +132,8 @@ class Vocabulary:
                 break
             at = active * width + i
             if limit:
-                h = keys[active] ^ (i.astype(np.uint64) * np.uint64(_M1)) ^ (best.astype(np.uint64) * np.uint64(_M2))
+                h = keys[active] ^ (i.astype(np.uint64) * np.uint64(_M1))
+                h ^= best.astype(np.uint64) * np.uint64(_M2)
                 h = (h ^ h >> np.uint64(31)) * np.uint64(_M1)
                 h = (h ^ h >> np.uint64(29)) * np.uint64(_M2)
                 skipped = h >> np.uint64(32) < limit
@@ -300,4 +303,4 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         "hash", F.coalesce(F.xxhash64("doc_id"), F.lit(0)))
     kind = source.schema["doc_id"].dataType.simpleString()
     return map_slices(source, "text",
-                      f"doc_id {kind}, token_ids array<int>, n_tokens int, lossless boolean", work)
+                      f"doc_id {kind}, token_ids array<int>, n_tokens int, lossless boolean", work, SLICE)

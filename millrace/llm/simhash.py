@@ -20,8 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_slices, renamed
-from millrace.llm.components import Forest, components, forest
+from millrace.llm.common import map_arrow, map_slices, renamed
+from millrace.llm.components import Forest, components
 from millrace.session import settle
 
 SHINGLE_WORDS = 4
@@ -152,6 +152,8 @@ def _link_small(bits, home, nodes, starts, sizes, limit, link):
 def near_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) that connect the nodes of ``points`` (node, bits) as far as they are near.
 
+    A task returns only links that connect something new to it, a forest.
+
     ``bits`` must be distinct. Not every near pair is returned, but its ends are connected.
     """
     def spread(batches):
@@ -211,10 +213,9 @@ def near_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             close(*rest)
             yield out()
 
-    spreaded = points.select("node", "bits").mapInArrow(
-        spread, "anchor bigint, bits bigint, node bigint")
-    return (spreaded.repartition(F.expr("anchor div 2")).sortWithinPartitions("anchor")
-            .mapInArrow(compare, "a bigint, b bigint"))
+    rows = map_arrow(points.select("node", "bits"), spread, "anchor bigint, bits bigint, node bigint")
+    gathered = rows.repartition(F.expr("anchor div 2")).sortWithinPartitions("anchor")
+    return map_arrow(gathered, compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -236,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = settle(fingerprints(docs, id_col, text_col, shingle))
     points = settle(prints.where("key IS NOT NULL").groupBy("bits")
                      .agg(F.min("key").alias("node")))
-    found = components(forest(near_links(points, max_bits)))
+    found = components(near_links(points, max_bits))
     of_bits = (points.join(found, "node", "left")
                .select("bits", F.coalesce("component", "node").alias("component_id")))
     return (prints.join(of_bits, "bits", "left")

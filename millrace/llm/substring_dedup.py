@@ -264,22 +264,22 @@ def _verify(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
                     pa.array(start, pa.int64()))):
                 column.append(values)
         has = [i for i, s in enumerate(spans) if s]
-        made = []
+        made, names = [], ["kind", "key", "spans", "h1", "h2", "at"]
         if has:
             made.append(pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(has), np.int8)), keys.take(pa.array(has)),
                  pa.array([[int(x) for s in spans[i] for x in s] for i in has], pa.list_(pa.int32())),
-                 batch.column(3).take(pa.array(has)), *[pa.nulls(len(has), pa.int64())] * 2], ["kind", "key", "spans", "h1", "h2", "at"]))
+                 batch.column(3).take(pa.array(has)), *[pa.nulls(len(has), pa.int64())] * 2], names))
         if windows[0]:
             key, h1, h2, at = (pa.concat_arrays(c) for c in windows)
             made.append(pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(len(key), np.int8)), key, pa.nulls(len(key), pa.list_(pa.int32())),
-                 h1, h2, at], ["kind", "key", "spans", "h1", "h2", "at"]))
+                 h1, h2, at], names))
         if made:
             return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
 
-    return map_slices(docs.join(marks, "key", "left").select("key", "text", "marks", _digest()), "text",
-                              _FOUND, work, SLICE)
+    noted = docs.join(marks, "key", "left").select("key", "text", "marks", _digest())
+    return map_slices(noted, "text", _FOUND, work, SLICE)
 
 
 def kept_words(text: str | None, spans, firsts, window: int) -> tuple[list[bytes], int]:

@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import joined, map_slices, mix, per_text, renamed, word_bounds, word_hashes
+from millrace.llm.common import (joined, map_arrow, map_slices, mix, per_text, renamed, word_bounds,
+                                 word_hashes)
 
 BITS = 20
 #: Labelled documents to fit on, about; the bound of the sample.
@@ -116,11 +117,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             labels += batch.column(1).to_pylist()
         weights, bias = ftrl(examples, labels)
         at = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(weights[at], bias))],
-                                         ["at", "weight"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(at, -1)), pa.array(np.append(weights[at], bias))], ["at", "weight"])
 
-    learnt = (made.repartition(1).sortWithinPartitions("drawn")
-              .mapInArrow(learn, "at bigint, weight double").toArrow())
+    learnt = map_arrow(made.repartition(1).sortWithinPartitions("drawn"), learn,
+                       "at bigint, weight double").toArrow()
     at, weights = (np.asarray(learnt.column(c)) for c in ("at", "weight"))
     own = at >= 0
     return Model(at[own], weights[own], float(weights[~own][0]) if (~own).any() else 0.0)
