@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Powers, mix, renamed, slices
+from millrace.llm.common import Powers, map_arrow, mix, renamed, slices
 from millrace.session import settle
 
 LENGTH = 64
@@ -25,7 +25,7 @@ SMALLEST = 3
 #: Length of a common piece without which signatures are not alike.
 COMMON = 7
 #: Text of a range of ids that one task walks through, and the ranges at most.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 4 << 20
 RANGES = 4096
 
 _CHARS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
@@ -133,7 +133,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["doc_id", "fingerprint"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, fingerprint string")
+    return map_arrow(source, run, f"doc_id {kind}, fingerprint string")
 
 
 def edited_text(text: str, following: str) -> str:
@@ -171,12 +171,11 @@ def with_next(docs: DataFrame, work, schema: str, id_col: str = "doc_id",
     target = F.create_map(*[F.lit(x) for (key, text_hash), part in to.items()
                             for x in (f"{key}/{text_hash}", part)])[
         F.concat_ws("/", F.col("key"), F.col("hash"))] if to else F.lit(None).cast("int")
+    own = F.struct(F.col("part"), F.lit(0).alias("copy"))
+    copied = F.struct(F.col("target").alias("part"), F.lit(1).alias("copy"))
     dealt = (source.withColumn("target", target)
-             .select("key", "missing", "text", "hash",
-                     F.explode(F.when(F.col("target").isNull(), F.array(F.struct(F.col("part"), F.lit(0).alias("copy"))))
-                               .otherwise(F.array(F.struct(F.col("part"), F.lit(0).alias("copy")),
-                                                  F.struct(F.col("target").alias("part"), F.lit(1).alias("copy")))))
-                     .alias("at"))
+             .select("key", "missing", "text", "hash", F.explode(
+                 F.when(F.col("target").isNull(), F.array(own)).otherwise(F.array(own, copied))).alias("at"))
              .select("at.part", "at.copy", "key", "missing", "text", "hash"))
     ordered = (dealt.repartition(ranges, "part")
                .sortWithinPartitions("part", "copy", F.desc("key"), F.desc("missing"), F.desc("hash")))
@@ -199,7 +198,7 @@ def with_next(docs: DataFrame, work, schema: str, id_col: str = "doc_id",
 
     fields = docs.sparkSession.createDataFrame([], schema).schema.fields
     names, types = [f.name for f in fields], [_ARROW[f.dataType.simpleString()] for f in fields]
-    return ordered.drop("hash").mapInArrow(run, schema)
+    return map_arrow(ordered.drop("hash"), run, schema)
 
 
 def likeness_to_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
