@@ -21,7 +21,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import renamed, slices
+from millrace.llm.common import map_arrow, release, renamed, slices
 from millrace.session import scratch_path, settle
 
 CHUNK = 1 << 20
@@ -173,7 +173,7 @@ def write_monolithic(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_
 
     numbered = rows.select(F.spark_partition_id().alias("part"), "page_id", "url", "size", "digest",
                            "payload", "refers_to")
-    return settle(numbered.mapInArrow(run, "path string"))
+    return settle(map_arrow(numbered, run, "path string"))
 
 
 def normalise(archive: str, target: str, level: int = LEVEL) -> int:
@@ -211,7 +211,7 @@ def normalised(archives: DataFrame, folder: str) -> DataFrame:
                     {"path": [target], "records": pa.array([normalise(path, target)], pa.int64())})
 
     spread = archives.select("path").repartition(archives.count() or 1, "path")
-    return settle(spread.mapInArrow(run, "path string, records bigint"))
+    return settle(map_arrow(spread, run, "path string, records bigint"))
 
 
 def read_record(file, offset: int, length: int) -> tuple[dict[str, str], bytes]:
@@ -233,9 +233,9 @@ def read_back(archives: DataFrame) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 yield from _read(path)
 
-    return (archives.select("path").repartition(archives.count() or 1, "path").mapInArrow(
-        run, "page_id bigint, url string, payload_bytes bigint, payload_digest string, "
-        "record_type string, refers_to bigint"))
+    spread = archives.select("path").repartition(archives.count() or 1, "path")
+    return map_arrow(spread, run, "page_id bigint, url string, payload_bytes bigint, "
+                     "payload_digest string, record_type string, refers_to bigint")
 
 
 def _read(path: str) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,8 @@ def _read(path: str) -> Iterator[pa.RecordBatch]:
             [pa.array(c, k) for c, k in zip(columns, kinds)],
             ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    with fs.open_input_file(base) as file, fs.open_input_stream(f"{base}.idx", compression=None) as index:
+    with (fs.open_input_file(base) as file,
+          fs.open_input_stream(f"{base}.idx", compression=None) as index):
         rest = b""
         for chunk in _chunks(index):
             *lines, rest = (rest + chunk).split(b"\n")
@@ -282,7 +283,8 @@ def as_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     source = renamed(pages, page_id=id_col, url=url_col, html=html_col).select(
         F.col("page_id").cast("bigint").alias("page_id"), "url",
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    keyed = source.select("*", F.sha1("payload").alias("hex"), F.octet_length("payload").cast("bigint").alias("size"))
+    keyed = source.select("*", F.sha1("payload").alias("hex"),
+                          F.octet_length("payload").cast("bigint").alias("size"))
     first = keyed.groupBy("hex", "size").agg(F.max(F.struct("page_id", "url", "payload")).alias("first"))
     responses = first.select("first.page_id", "first.url", "size", _base32("hex").alias("digest"),
                              "first.payload", F.lit(None).cast("bigint").alias("refers_to"))
@@ -326,4 +328,5 @@ def archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id"
     """
     folder = folder or scratch_path(pages.sparkSession, "warc")
     raw = write_monolithic(as_records(pages, id_col, url_col, html_col), f"{folder}/raw")
+    release(pages.sparkSession)
     return read_back(normalised(raw, f"{folder}/records"))
