@@ -9,6 +9,8 @@ each document begins. Mapped into memory, a sequence or a document is a view of
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -21,7 +23,7 @@ import pyarrow.ipc as ipc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import renamed, slices
+from millrace.llm.common import map_arrow, renamed, slices
 from millrace.session import scratch_path, settle
 
 LENGTH = 1024
@@ -31,16 +33,22 @@ BATCH = 512
 FILE_BYTES = 32 << 20
 END = 1
 #: Words a task keeps the ids of.
-KEPT = 300_000
+KEPT = 500_000
+
+#: A word of letters that are lower-cased one by one and never composed, with at most one
+#: mark after it. The tokenizer takes the letters and the mark apart anyway.
+_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 
 
 class WordTokens:
     """Ids of texts from a tokenizer that drops white space and never joins across it.
 
-    Texts are cut at spaces, tabs and line ends; the tokenizer meets every new word once.
+    Texts are cut at spaces, tabs and line ends. The tokenizer meets every new word once, and
+    words that differ in case or in a mark at the end only once together.
     """
 
     def __init__(self, spec: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -48,16 +56,30 @@ class WordTokens:
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.kept: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Ids of new words, from those of their parts."""
+        split = []
+        for word in words:
+            text = word.decode()
+            simple = _SIMPLE.fullmatch(text)
+            split.append((simple[1].lower(), simple[2]) if simple else (text, ""))
+        new = list({p for pair in split for p in pair if p not in self.parts})
+        for at in range(0, len(new), 10_000):
+            some = new[at:at + 10_000]
+            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.parts.update((p, np.array(e.ids, self.kind).tobytes()) for p, e in zip(some, made))
+        self.kept.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(words, split))
 
     def encode(self, texts: list[str | None], end: int = END) -> list[np.ndarray]:
         if len(self.kept) > KEPT:
             self.kept.clear()
+        if len(self.parts) > KEPT:
+            self.parts = {"": b""}
         kept = self.kept
         words = [(t or "").encode("utf-8").split() for t in texts]
-        new = list({w for own in words for w in own if w not in kept})
-        encodings = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        fresh = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(new, encodings)}
-        kept.update(fresh)
+        self._learn(list(set().union(*words).difference(kept)))
         last = np.array([end], self.kind).tobytes()
         return [np.frombuffer(b"".join([*map(kept.__getitem__, own), last]), self.kind) for own in words]
 
@@ -194,7 +216,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
                 {"part": pa.array([part], pa.int32()), "path": [f"{folder}/part-{part:06d}"],
                  "n_docs": pa.array([n], pa.int64()), "n_tokens": pa.array([writer.total], pa.int64())})
 
-    return settle(ordered.mapInArrow(run, "part int, path string, n_docs bigint, n_tokens bigint"))
+    return settle(map_arrow(ordered, run, "part int, path string, n_docs bigint, n_tokens bigint"))
 
 
 def read(files: DataFrame, per_file=None, schema: str = "doc_id bigint, start bigint, ids array<int>"):
@@ -215,8 +237,8 @@ def read(files: DataFrame, per_file=None, schema: str = "doc_id bigint, start bi
             for path, start in zip(*(c.to_pylist() for c in batch.columns)):
                 yield from (per_file or _documents)(TokenFile(path), start)
 
-    return (spark.createDataFrame(rows, "path string, base bigint")
-            .repartition(max(1, len(rows))).mapInArrow(run, schema))
+    spread = spark.createDataFrame(rows, "path string, base bigint").repartition(max(1, len(rows)))
+    return map_arrow(spread, run, schema)
 
 
 def _documents(file: TokenFile, base: int) -> Iterator[pa.RecordBatch]:
