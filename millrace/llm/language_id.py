@@ -23,7 +23,7 @@ BITS = 16
 #: Labelled documents taken per language to fit on, about; the bound of the sample.
 DOCS_PER_LANGUAGE = 3000
 #: Languages up to which every split of them is a bit.
-EXHAUSTIVE = 5
+EXHAUSTIVE = 6
 #: n-grams from which a longer text is no surer than a shorter one.
 FULL_GRAMS = 64
 #: Scores below it are flagged as ambiguous.
