@@ -2,10 +2,12 @@
 
 Merges are taken from an agenda, best score first and leftmost among equals. With
 ``dropout`` a candidate is skipped when it is taken if a keyed hash of the seed, the
-word's variant, the place and the merged piece says so. So a word has several
-segmentations, all of the merge type and all decoding to the same text, and any task
-that repeats the work makes the same ones. Merges never cross a space that follows
-another character, so texts are cut there and a word's segmentation is kept for reuse.
+document, the word's place in it, the place in the word and the merged piece says so. Every
+occurrence of a word is thus drawn by itself; all its segmentations decode to the same
+text, and any task that repeats the work makes the same ones. Merges never cross a
+space that follows another character, so texts are cut there. What is kept of a word is its
+segmentation without dropout and the merges that led to it: it stands wherever
+the hash skips none of them, the other occurrences are segmented anew.
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ from millrace.llm.common import map_slices, mix, renamed
 
 DROPOUT = 0.1
 SEED = 2024
-#: Segmentations that a word can take under one seed.
-VARIANTS = 8
-#: Segmentations a task keeps; beyond it, it starts to keep anew.
+#: Words a task keeps the undropped merges of; beyond it, it starts to keep anew.
 KEPT = 300_000
+#: Words of a text looked at together.
+TOGETHER = 1 << 17
 #: Bytes of text handled at a time.
 SLICE = 1_000_000
 
@@ -37,6 +39,17 @@ _NORMAL, _BYTE = 1, 6
 _M1, _M2, _MASK = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, (1 << 64) - 1
 
 
+def _skipped(h: np.ndarray, limit: np.uint64) -> np.ndarray:
+    """Which candidates are dropped, from the key of the occurrence and :func:`_candidate`."""
+    h = (h ^ h >> np.uint64(31)) * np.uint64(_M1)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(_M2)
+    return h >> np.uint64(32) < limit
+
+
+def _candidate(place: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    return place.astype(np.uint64) * np.uint64(_M1) ^ rank.astype(np.uint64) * np.uint64(_M2)
+
+
 class Vocabulary:
     """Pieces of a SentencePiece BPE model with byte fallback."""
 
@@ -89,9 +102,14 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
         return np.where((self._pairs[at] == key) & (b >= 0) & (a >= 0), self._merged[at], _NEVER)
 
-    def segment_all(self, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
-        """:meth:`segment` of many words at once, as bytes of 32-bit ids."""
+    def segment_all(self, words: list[str], keys: np.ndarray, dropout: float,
+                    taken: list[bytes] | None = None) -> list[bytes]:
+        """:meth:`segment` of many words at once, as bytes of 32-bit ids.
+
+        ``taken`` receives the merges of each word, as bytes of their candidates.
+        """
         out: list[bytes | None] = [None] * len(words)
+        merges = [b""] * len(words)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         for low, high in ((0, 8), (8, 16), (16, SHORT)):
             at = np.flatnonzero((sizes > low) & (sizes <= high))
@@ -102,14 +120,26 @@ class Vocabulary:
             symbols = self._single[points].reshape(-1, high)
             known = (symbols >= 0).sum(axis=1) == sizes[at]
             at = at[known]
-            flat, counts = self._segment_rows(symbols[known], sizes[at], keys[at], dropout)
+            steps = None if taken is None else []
+            flat, counts = self._segment_rows(symbols[known], sizes[at], keys[at], dropout, steps)
             raw, ends = flat.tobytes(), (np.cumsum(counts) * 4).tolist()
             for i, a, b in zip(at.tolist(), [0, *ends], ends):
                 out[i] = raw[a:b]
-        return [np.array(self.segment(w, int(k), dropout), np.int32).tobytes() if o is None else o
-                for o, w, k in zip(out, words, keys)]
+            if steps:
+                rows = np.concatenate([r for r, _ in steps])
+                raw = np.concatenate([c for _, c in steps])[np.argsort(rows, kind="stable")].tobytes()
+                ends = (np.cumsum(np.bincount(rows, minlength=len(at))) * 8).tolist()
+                for i, a, b in zip(at.tolist(), [0, *ends], ends):
+                    merges[i] = raw[a:b]
+        for i in [i for i, o in enumerate(out) if o is None]:
+            steps = []
+            out[i] = np.array(self.segment(words[i], int(keys[i]), dropout, steps), np.int32).tobytes()
+            merges[i] = _candidate(*np.array(steps, np.int64).reshape(-1, 2).T).tobytes()
+        if taken is not None:
+            taken += merges
+        return out
 
-    def _segment_rows(self, symbols, sizes, keys, dropout):
+    def _segment_rows(self, symbols, sizes, keys, dropout, steps=None):
         rows, width = symbols.shape
         place = np.arange(width)
         symbol = symbols.ravel().copy()
@@ -132,17 +162,15 @@ class Vocabulary:
                 break
             at = active * width + i
             if limit:
-                h = keys[active] ^ (i.astype(np.uint64) * np.uint64(_M1))
-                h ^= best.astype(np.uint64) * np.uint64(_M2)
-                h = (h ^ h >> np.uint64(31)) * np.uint64(_M1)
-                h = (h ^ h >> np.uint64(29)) * np.uint64(_M2)
-                skipped = h >> np.uint64(32) < limit
+                skipped = _skipped(keys[active] ^ _candidate(i, best), limit)
                 flat_rank[at[skipped]] = _NEVER
                 rows_now, at, i, best = active[~skipped], at[~skipped], i[~skipped], best[~skipped]
             else:
                 rows_now = active
             if not len(at):
                 continue
+            if steps is not None:
+                steps.append((rows_now, _candidate(i, best)))
             base, size = rows_now * width, sizes[rows_now]
             gone = base + after[at]
             symbol[at] = best
@@ -159,8 +187,11 @@ class Vocabulary:
             flat_rank[(base + h)[left]] = self._lookup(symbol[(base + h)[left]], symbol[at[left]])
         return self._ids[symbol[flat_alive]], alive.sum(axis=1)
 
-    def segment(self, word: str, key: int, dropout: float) -> list[int]:
-        """Ids of one word, in which spaces stand for the space symbol."""
+    def segment(self, word: str, key: int, dropout: float, steps: list | None = None) -> list[int]:
+        """Ids of one word, in which spaces stand for the space symbol.
+
+        ``steps`` receives place and rank of each merge.
+        """
         # A literal space symbol would decode to a space: it is spelt in bytes.
         parts: list[str | None] = ["▁" if c == " " else "\0" if c == "▁" else c for c in word]
         n = len(parts)
@@ -184,6 +215,8 @@ class Vocabulary:
                 h = (h ^ h >> 29) * _M2 & _MASK
                 if h >> 32 < limit:
                     continue
+            if steps is not None:
+                steps.append((i, r))
             parts[i] += parts[j]
             parts[j] = None
             k = after[i] = after[j]
@@ -210,49 +243,56 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts, keeping segmentations of words it has met."""
+    """Encodes texts, keeping the undropped merges of words it has met."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED,
-                 variants: int = VARIANTS):
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
         self.vocabulary, self.dropout, self.seed = vocabulary, dropout, seed
-        self.variants = variants if dropout else 1
-        self.kept: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.keys = mix(np.arange(self.variants).astype(np.uint64) * np.uint64(_M2)
-                        + np.uint64(seed & _MASK))
+        self.kept: dict[str, tuple[bytes, bytes]] = {}
 
     def encode(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray]:
         """Ids of each text; ``keys`` vary the segmentations between texts."""
-        words, chosen, counts = [], [], []
+        words, own_keys, counts = [], [], []
         for text, key in zip(texts, keys):
             own = _WORD.findall(" " + text) if text else []
             words += own
             counts.append(len(own))
-            if self.variants == 1:
-                chosen += [0] * len(own)
-            else:
-                places = np.arange(len(own)).astype(np.uint64) * np.uint64(_M1)
-                chosen += (mix(places + np.uint64((key * _M2 + self.seed) & _MASK))
-                           % np.uint64(self.variants)).tolist()
-        if sum(map(len, self.kept)) > KEPT:
-            for kept in self.kept:
-                kept.clear()
-        found = [self.kept[v].get(w) for w, v in zip(words, chosen)]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        new = list(dict.fromkeys([(words[i], chosen[i]) for i in missing]))
-        made = self.vocabulary.segment_all([w for w, _ in new], self.keys[[v for _, v in new]],
-                                           self.dropout) if new else []
-        made = dict(zip(new, made))
-        for i in missing:
-            found[i] = made[words[i], chosen[i]]
-        for (word, variant), ids in made.items():
-            if len(word) <= SHORT:
-                self.kept[variant][word] = ids
+            own_keys.append(self._keys(key, len(own)))
+        every = np.concatenate(own_keys) if own_keys else np.zeros(0, np.uint64)
+        found = []
+        for at in range(0, len(words), TOGETHER):
+            found += self._spell(words[at:at + TOGETHER], every[at:at + TOGETHER])
         out, at = [], 0
         for n in counts:
             out.append(np.frombuffer(b"".join(found[at:at + n]), np.int32))
             at += n
         return out
 
+    def _keys(self, key: int, n: int) -> np.ndarray:
+        """A key for each of the ``n`` words of the text with ``key``."""
+        places = np.arange(n).astype(np.uint64) * np.uint64(_M1)
+        return mix(places + np.uint64((key * _M2 + self.seed) & _MASK))
+
+    def _spell(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        kept, segment_all = self.kept, self.vocabulary.segment_all
+        new = [w for w in set(words).difference(kept) if len(w) <= SHORT]
+        merges: list[bytes] = []
+        plain = segment_all(new, np.zeros(len(new), np.uint64), 0.0, merges)
+        kept.update(zip(new, zip(plain, merges)))
+        usual = [kept.get(w, (b"", b"")) for w in words]
+        again = np.fromiter(map(len, words), np.int64, len(words)) > SHORT
+        if self.dropout:
+            taken = [m for _, m in usual]
+            at = np.repeat(np.arange(len(words)), np.fromiter(map(len, taken), np.int64, len(words)) // 8)
+            candidates = np.frombuffer(b"".join(taken), np.uint64)
+            again[at[_skipped(keys[at] ^ candidates, np.uint64(int(self.dropout * (1 << 32))))]] = True
+        found = [ids for ids, _ in usual]
+        at = np.flatnonzero(again)
+        for i, ids in zip(at.tolist(), segment_all([words[i] for i in at.tolist()], keys[at], self.dropout)):
+            found[i] = ids
+        return found
+
 
 def decode(vocabulary: Vocabulary, ids) -> str:
     """The text that was encoded, whatever merges were dropped."""
@@ -266,11 +306,11 @@ def load(path: str) -> Vocabulary:
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-           dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+           dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """One row (doc_id, token_ids, n_tokens, lossless) per row of ``docs``.
 
     ``model_path`` is read by the driver and sent along; the model has byte fallback.
-    The dropout of a text is keyed by seed and id, so rows that repeat an id and text are
+    The dropout is keyed by seed, id and place in the text, so rows that repeat an id and text are
     equal, and without dropout ids are the library's. ``lossless`` tells that
     decoding ``token_ids`` gave the text again.
 
@@ -284,7 +324,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def work(batch):
         if not encoders:
-            encoders[0] = Encoder(Vocabulary(shared.value), dropout, seed, variants)
+            encoders[0] = Encoder(Vocabulary(shared.value), dropout, seed)
         encoder = encoders[0]
         texts, keys = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         ids = encoder.encode(texts, keys)

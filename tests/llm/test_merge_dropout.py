@@ -80,3 +80,24 @@ def test_operator(spark):
     assert got[1, 0].token_ids is None and got[2, 0].token_ids == []
     assert found.where("doc_id = 3").distinct().count() == 1
     assert merge_dropout.encode(docs.where("false"), PATH).count() == 0
+
+
+def test_every_occurrence_is_drawn_by_itself(vocabulary):
+    texts = words_of()[0][:40] + TEXTS + ["▁ literal ▁▁"]
+    encoder = merge_dropout.Encoder(vocabulary)
+    found = encoder.encode(texts, list(range(len(texts))))
+    for number in range(len(texts)):
+        words = merge_dropout._WORD.findall(" " + texts[number]) if texts[number] else []
+        alone = [vocabulary.segment(w, int(k), merge_dropout.DROPOUT)
+                 for w, k in zip(words, encoder._keys(number, len(words)))]
+        assert found[number].tolist() == sum(alone, [])
+    # One merge, skipped with chance 0.1.
+    whole = [len(i) == 4 for i in encoder._spell([" a"] * 20000, encoder._keys(2, 20000))]
+    assert len(encoder.kept[" a"][1]) == 8 and abs(sum(whole) / 20000 - 0.9) < 0.01
+
+
+def test_a_word_has_more_segmentations_than_a_few(vocabulary):
+    line = merge_dropout.Encoder(vocabulary).encode([" unbelievable" * 20000], [1])[0]
+    spaced = np.cumsum([len(vocabulary.bytes_of[i]) for i in line.tolist()])
+    cuts = np.searchsorted(spaced, np.arange(1, 20001) * 13 + 1)
+    assert len({tuple(p) for p in np.split(line, cuts + 1)}) > 30
