@@ -52,7 +52,7 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_file(spark: SparkSession, folder: str) -> DataFrame:
     files = token_file.write(table(spark, folder, "documents"),
-                             public_tokenizers.path("word_bpe_49k.json"))
+                             public_tokenizers.path("word_bpe_49k.json"), spell_special=False)
     return token_file.digests(files)
 
 

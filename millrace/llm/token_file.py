@@ -44,15 +44,17 @@ class WordTokens:
     """Ids of texts from a tokenizer that drops white space and never joins across it.
 
     Texts are cut at spaces, tabs and line ends. The tokenizer meets every new word once, and
-    words that differ in case or in a mark at the end only once together.
+    words that differ in case or in a mark at the end only once together. With ``spell_special``
+    the name of a special token in a text is spelt like other text, else it is that token;
+    names hold no white space, so words are enough either way.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, spell_special: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = spell_special
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.kept: dict[bytes, bytes] = {}
@@ -183,12 +185,13 @@ class TokenFile:
 
 def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
           id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-          end: int = END) -> DataFrame:
+          end: int = END, spell_special: bool = True) -> DataFrame:
     """Encode and write; returns the files written (part, path, n_docs, n_tokens), by part.
 
     A task that is run again writes the same file under the same name. A NULL or empty
     text is its end id alone. Rows without an id come first; rows that repeat an id
-    follow each other by their text. No rows, no files.
+    follow each other by their text. No rows, no files. Without ``spell_special`` ids are those
+    of the library's own settings, in which a text may hold special tokens by name.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
@@ -204,7 +207,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
         words, writer, part, n = None, None, 0, 0
         for batch in slices(batches, "text", 1_500_000):
             if writer is None:
-                words, part = WordTokens(shared.value), batch.column(0)[0].as_py()
+                words, part = WordTokens(shared.value, spell_special), batch.column(0)[0].as_py()
                 writer = Writer(folder, f"part-{part:06d}", words.kind, length)
             ids = words.encode(batch.column(2).to_pylist(), end)
             for key, own in zip(batch.column(1).to_pylist(), ids):

@@ -79,3 +79,15 @@ def test_many_batches_are_reached_directly(tmp_path, monkeypatch):
     assert all((file.tokens(int(s), len(w)) == w).all() for s, w in zip(starts, whole))
     stream = np.concatenate([i[np.asarray(m)] for i, m in map(file.sequence, range(len(file)))])
     assert (stream == line).all()
+
+
+def test_query_gives_the_library_s_ids_of_special_tokens(spark, tmp_path):
+    texts = ["a <|endoftext|> b", "x.<|endoftext|>,Y <|startoftext|><|endoftext|>", "<|ENDOFTEXT|> é<|endoftext|>́ z",
+             "a\x1c<|endoftext|>\x85b <|endof text|>", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    library, start = Tokenizer.from_file(PATH), 0
+    for row in sorted(map(tuple, queries.op8_token_file(spark, str(tmp_path)).collect())):
+        ids = library.encode(texts[row[0]], add_special_tokens=False).ids + [1]
+        assert row == (row[0], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
