@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import (ctph, decontaminate, language_id, merge_dropout, simhash,
+from millrace.llm import (ctph, decontaminate, exact_dedup, language_id, merge_dropout, simhash,
                           substring_dedup, template_text, token_file, toxicity, warc)
 from millrace.llm.common import table
 
@@ -71,6 +71,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, folder, "documents"), digest_all=True)
+    return found.withColumnRenamed("digest", "text_sha256")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_token_file": op8_token_file,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_exact_dedup": op11_exact_dedup,
     "pipeline": pipeline,
 }
 
@@ -118,4 +124,8 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT A
        sha256(array_to_string(list_transform(list_filter(range(1, len(words) + 1),
            lambda i: NOT list_contains(coalesce(places, []), i)), lambda i: words[i]), ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)""",
+    "op11_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
 }

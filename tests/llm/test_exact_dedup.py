@@ -1,0 +1,89 @@
+"""Exact duplicates against a dictionary of whole texts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import exact_dedup, queries
+
+SCHEMA = "doc_id bigint, text string, n int, first string, member int, bits string, size int"
+
+
+def plain(rows):
+    groups = {}
+    for key, text in rows:
+        groups.setdefault(text or "", []).append(key)
+    out = []
+    for key, text in rows:
+        own = groups[text or ""]
+        ids = [k for k in own if k is not None]
+        out.append((key, max(ids) if ids else None, len(own), hashlib.sha256((text or "").encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def check(spark, rows, **options):
+    docs = spark.createDataFrame([(k, t, 1, "x", 2, "y", 3) for k, t in rows], SCHEMA).repartition(3)
+    found = exact_dedup.exact_duplicates(docs, digest_all=True, **options).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.digest) for r in found), key=repr) == plain(rows)
+    stay = {}
+    for r in found:
+        stay.setdefault(r.digest, []).extend([r.doc_id] if r.kept else [])
+        assert not r.kept or r.doc_id == r.keep_id
+    assert all(len(v) == 1 for v in stay.values())
+
+
+def test_random_texts(spark):
+    rng = random.Random(2)
+    head = "same beginning of many texts, longer than the prefix that is hashed first, "
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 5))) for _ in range(150)]
+    texts += [head + t for t in texts[:80]] + [t + head for t in texts[:40]]
+    check(spark, [(i * 7 % 1009, t) for i, t in enumerate(texts)])
+
+
+def test_edge_rows(spark):
+    check(spark, [(1, None), (2, ""), (3, " "), (None, "x"), (None, "x"), (5, "x"), (None, "y"), (None, "y"),
+                  (8, "é"), (9, "é"), (10, "r"), (10, "r"), (10, "s"), (-4, "tt"), (-5, "tt"),
+                  (11, "long " * 300_000), (12, "long " * 300_000), (13, "long " * 299_999 + "l0ng "),
+                  (14, "a\x00b"), (15, "a\x00b")])
+
+
+def test_one_group_of_most_rows(spark):
+    check(spark, [(i, "copy") for i in range(3000)] + [(5000 + i, f"c{i:03}") for i in range(50)])
+
+
+@pytest.mark.parametrize("bits", [1, 1 << 15])
+def test_a_full_bitmap_only_costs_time(spark, monkeypatch, bits):
+    monkeypatch.setattr(exact_dedup, "BITS", bits)
+    check(spark, [(i, f"{i % 40} {'x' * (i % 9)}") for i in range(300)])
+
+
+def test_only_survivors_are_read_in_full(spark):
+    docs = spark.createDataFrame([(1, "alone"), (2, "same size 1"), (3, "same size 2"), (4, "twice"), (5, "twice")],
+                                 "doc_id bigint, text string")
+    found = {r.doc_id: r for r in exact_dedup.exact_duplicates(docs).collect()}
+    assert [found[i].digest is None for i in range(1, 6)] == [True, True, True, False, False]
+    assert [found[i].kept for i in range(1, 6)] == [True, True, True, False, True]
+
+
+def test_normalised_texts(spark):
+    docs = spark.createDataFrame([(1, "A  b"), (2, "a b"), (3, None)], "doc_id bigint, text string")
+    found = exact_dedup.exact_duplicates(
+        docs, normalise=lambda t: F.lower(F.regexp_replace(t, r"\s+", " "))).collect()
+    assert sorted((r.doc_id, r.keep_id) for r in found) == [(1, 2), (2, 2), (3, 3)]
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert exact_dedup.exact_duplicates(docs).count() == 0
+
+
+def test_given_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    found = queries.op11_exact_dedup(spark, folder).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found), key=repr) == plain(rows)
+    assert sum(r.kept for r in found) == len({t or "" for _, t in rows}) < len(rows)
