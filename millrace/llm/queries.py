@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import (ctph, decontaminate, exact_dedup, language_id, merge_dropout, simhash,
+from millrace.llm import (ctph, decontaminate, exact_dedup, hard_negatives, language_id, merge_dropout, simhash,
                           substring_dedup, template_text, token_file, toxicity, warc)
 from millrace.llm.common import table
 
@@ -76,6 +76,12 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("digest", "text_sha256")
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    rows = table(spark, folder, "embeddings").withColumn("label", shifted)
+    return hard_negatives.mine(rows, F.expr("vec_id % 100 = 0"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -92,6 +98,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "pipeline": pipeline,
 }
 
@@ -128,4 +135,24 @@ FROM w LEFT JOIN gone USING (doc_id)""",
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_hard_negatives": """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM given a JOIN given b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.id AS positive_id,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+         n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+   AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT * FROM ranked WHERE rank <= 10""",
 }
