@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import (ctph, decontaminate, exact_dedup, hard_negatives, language_id, merge_dropout, simhash,
-                          substring_dedup, template_text, token_file, toxicity, warc)
+from millrace.llm import (ctph, decontaminate, exact_dedup, hard_negatives, importance, language_id,
+                          merge_dropout, simhash, substring_dedup, template_text, token_file, toxicity,
+                          warc)
 from millrace.llm.common import table
 
 #: Rows that classifiers learn from: those whose remainder is not 1.
@@ -82,6 +83,10 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(rows, F.expr("vec_id % 100 = 0"))
 
 
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_exact_dedup": op11_exact_dedup,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_importance": op13_importance,
     "pipeline": pipeline,
 }
 
@@ -155,4 +161,43 @@ ranked AS (
   FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
 SELECT * FROM ranked WHERE rank <= 10""",
+    "op13_importance": r"""
+WITH steps AS (
+  SELECT list(c ORDER BY i) AS step FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))),
+lines AS (SELECT true AS own, doc_id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark),
+split AS (
+  SELECT own, doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM lines),
+found AS (SELECT own, doc_id, unnest(words) AS word FROM split),
+bytes AS (
+  SELECT word, list_transform(range(1, length(hex(encode(word))), 2),
+                              lambda i: ('0x' || substr(hex(encode(word)), i::INT, 2))::BIGINT) AS b
+  FROM (SELECT DISTINCT word FROM found)),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, b),
+           lambda c, x: xor(step[(xor(c, x) & 255) + 1], c >> 8))) % 10000 AS bucket
+  FROM bytes, steps),
+counts AS (
+  SELECT bucket, count(*) FILTER (own)::DOUBLE AS s, count(*) FILTER (NOT own)::DOUBLE AS t
+  FROM found JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000))
+                                 / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM counts),
+weights AS (
+  SELECT doc_id, sum(gain)::BIGINT AS weight
+  FROM found JOIN hashed USING (word) JOIN gains USING (bucket) WHERE own GROUP BY doc_id),
+scores AS (
+  SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM split LEFT JOIN weights USING (doc_id) WHERE own),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scores WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scores s LEFT JOIN ranked USING (doc_id)""",
 }
