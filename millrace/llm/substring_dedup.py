@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.llm.common import (Powers, joined, map_slices, mix, per_text, release, renamed, stored,
                                  word_bounds, word_hashes)
@@ -176,46 +177,60 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _place_type(docs: DataFrame) -> int:
-    """Bits for a word's number if id and number fit one bigint together, else 0."""
+    """Bits for a word's number if an id tells its document and fits one bigint with the number.
+
+    Else 0: ids that are missing, repeated, negative or large need the text's digest too.
+    """
     low, high, most = docs.agg(F.min("key"), F.max("key"), F.max(F.octet_length("text"))).first()
     bits = max(1, ((most or 0) // 2 + 1).bit_length())
-    return bits if low is None or (low >= 0 and high < 1 << (63 - bits)) else 0
+    if low is None or low < 0 or high >= 1 << (63 - bits):
+        return 0
+    return 0 if docs.groupBy("key").count().where("count > 1").head(1) else bits
+
+
+def _document(bits: int) -> list[str]:
+    """The columns that tell documents apart."""
+    return ["key"] if bits else ["key", "digest"]
 
 
-def _place(key: str, at: str, bits: int):
+def _place(bits: int):
     """A place in the corpus that sorts by document, then by word."""
-    return F.expr(f"shiftleft({key}, {bits}) | {at}" if bits else f"struct({key}, {at} AS at)")
+    return F.expr(f"shiftleft(key, {bits}) | at" if bits else "struct(key, digest, at)").alias("place")
 
 
-def _of_place(place: str, bits: int):
+def _of_place(bits: int):
     if bits:
-        return (F.expr(f"shiftright({place}, {bits})").alias("key"),
-                F.expr(f"cast({place} & {(1 << bits) - 1} AS int)").alias("at"))
-    return F.expr(f"{place}.key").alias("key"), F.expr(f"cast({place}.at AS int)").alias("at")
+        return (F.expr(f"shiftright(place, {bits})").alias("key"),
+                F.expr(f"cast(place & {(1 << bits) - 1} AS int)").alias("at"))
+    return (F.col("place.key").alias("key"), F.col("place.digest").alias("digest"),
+            F.expr("cast(place.at AS int)").alias("at"))
 
 
-def _by_document(places: DataFrame, bits: int, **columns: str) -> DataFrame:
-    """One row per document with the words noted for it."""
-    return (places.select(*_of_place("place", bits), *[F.expr(e).alias(n) for n, e in columns.items()])
-            .groupBy("key").agg(F.collect_list(F.expr("at * 2 + mark")).alias("marks")))
+def _by_document(places: DataFrame, bits: int, mark: str) -> DataFrame:
+    """One row per document with the words noted for it, at most all of its own."""
+    return (places.select(*_of_place(bits), F.expr(mark).alias("mark"))
+            .groupBy(*_document(bits)).agg(F.collect_list(F.expr("at * 2 + mark")).alias("marks")))
 
 
 def _first_anchors(docs: DataFrame, window: int, bits: int) -> DataFrame:
     """Per document: 2 * word for anchors that are the first of their context, with 1
     added for those whose name is the only one of its kind in the corpus."""
+    own = _document(bits)
+
     def work(batch):
-        out = [[], [], [], []]
-        for _, rows, name, context, at, _, _ in _anchors(batch.column(1), window):
-            for column, values in zip(out, (batch.column(0).take(pa.array(rows)), _signed(name),
+        out = [[] for _ in range(len(own) + 3)]
+        for _, rows, name, context, at, _, _ in _anchors(batch.column(0), window):
+            rows = pa.array(rows)
+            for column, values in zip(out, (*[c.take(rows) for c in batch.columns[1:]], _signed(name),
                                             _signed(context), pa.array(at, pa.int64()))):
                 column.append(values)
         if out[0]:
             return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in out],
-                                              ["key", "name", "context", "at"])
+                                              [*own, "name", "context", "at"])
 
-    rows = map_slices(docs, "text", "key bigint, name bigint, context bigint, at bigint",
-                      work, SLICE)
-    first = (rows.select("name", "context", _place("key", "at", bits).alias("place"))
+    schema = ", ".join(f"{c} bigint" for c in [*own, "name", "context", "at"])
+    rows = map_slices(docs.select("text", *own), "text", schema, work, SLICE)
+    first = (rows.select("name", "context", _place(bits))
              .groupBy("name", "context").agg(F.min("place").alias("place")))
     only = (first.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
             .where("n = 1").select("place", F.lit(1).alias("mark")))
@@ -223,23 +238,20 @@ def _first_anchors(docs: DataFrame, window: int, bits: int) -> DataFrame:
                         bits, mark="mark")
 
 
-def _digest():
-    return F.xxhash64("text").alias("digest")
-
+_FOUND = "kind tinyint, key bigint, digest bigint, spans array<int>, h1 bigint, h2 bigint, at bigint"
 
-_FOUND = "kind tinyint, key bigint, spans array<int>, h1 bigint, h2 bigint, at bigint"
 
-
-def _verify(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
+def _verify(docs: DataFrame, marks: DataFrame, window: int, bits: int) -> DataFrame:
     """Kind 0: per row the windows known as repeats (positive spans) and those to be
-    verified (negative ones), with a hash of the text as h1; kind 1: each window to verify."""
+    verified (negative ones); kind 1: each window to verify. The digest is that of the text,
+    NULL at windows of documents that their id tells apart."""
     def work(batch):
-        keys, noted = batch.column(0), batch.column(2)
+        keys, noted, digests = batch.column(0), batch.column(2), batch.column(3)
         lengths = np.asarray(pc.list_value_length(noted).fill_null(0))
         flat = np.asarray(noted.flatten())
         row_of = np.repeat(np.arange(batch.num_rows), lengths)
         spans: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
-        windows: list[list] = [[], [], [], []]
+        windows: list[list] = [[], [], [], [], []]
         for part, rows, _, _, first, last, base in _anchors(batch.column(1), window):
             if not len(rows):
                 continue
@@ -252,33 +264,38 @@ def _verify(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
                 for i in np.flatnonzero(chosen).tolist():
                     spans[rows[i]].append((sign * (first[i] + 1), last[i] + 1))
             open_ = np.flatnonzero(is_first & ~is_only)
+            if not len(open_):
+                continue
             count = last[open_] - first[open_] + 1
             which = np.repeat(open_, count)
             start = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
             place = start + base[which]
             one, two = _A.prefix(mix(part)), _B.prefix(part)
+            owner = pa.array(rows[which])
             for column, values in zip(windows, (
-                    keys.take(pa.array(rows[which])),
+                    keys.take(owner),
+                    pa.nulls(len(owner), pa.int64()) if bits else digests.take(owner),
                     _signed(mix(_A.span(one, place, place + window))),
                     _signed(mix(_B.span(two, place, place + window))),
                     pa.array(start, pa.int64()))):
                 column.append(values)
         has = [i for i, s in enumerate(spans) if s]
-        made, names = [], ["kind", "key", "spans", "h1", "h2", "at"]
+        made, names = [], ["kind", "key", "digest", "spans", "h1", "h2", "at"]
         if has:
             made.append(pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(has), np.int8)), keys.take(pa.array(has)),
+                 digests.take(pa.array(has)),
                  pa.array([[int(x) for s in spans[i] for x in s] for i in has], pa.list_(pa.int32())),
-                 batch.column(3).take(pa.array(has)), *[pa.nulls(len(has), pa.int64())] * 2], names))
+                 *[pa.nulls(len(has), pa.int64())] * 3], names))
         if windows[0]:
-            key, h1, h2, at = (pa.concat_arrays(c) for c in windows)
+            key, digest, h1, h2, at = (pa.concat_arrays(c) for c in windows)
             made.append(pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(key), np.int8)), key, pa.nulls(len(key), pa.list_(pa.int32())),
-                 h1, h2, at], names))
+                [pa.array(np.ones(len(key), np.int8)), key, digest,
+                 pa.nulls(len(key), pa.list_(pa.int32())), h1, h2, at], names))
         if made:
             return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
 
-    noted = docs.join(marks, "key", "left").select("key", "text", "marks", _digest())
+    noted = docs.join(marks, _document(bits), "left").select("key", "text", "marks", "digest")
     return map_slices(noted, "text", _FOUND, work, SLICE)
 
 
@@ -312,33 +329,33 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     corpus (smaller id, or the same id and an earlier word). All windows are judged on
     the input. ``kept`` are the words that stay, joined by one space.
 
-    NULL and empty texts have no words; texts shorter than a window stay whole. Rows that
-    repeat an id share its places: a window removes nothing from its own copy in a row
-    of the same id at the same word. Rows without an id count as one document before all
-    others. Where texts differ under one id, a place that is first for one row is first
-    for all of that id. An empty table gives no rows; other columns are not read.
+    NULL and empty texts have no words; texts shorter than a window stay whole. A document is
+    an id with a text: rows that repeat both are one, none of them removes words from another,
+    and all get the same result. Different texts under one id are ordered by a hash of the
+    text. Rows without an id come before all others, as if they shared the least id. An
+    empty table gives no rows; without ``carry`` other columns are not read.
     """
     source = renamed(docs, key=id_col, text=text_col)
-    own = source.select(F.coalesce(F.col("key").cast("bigint"), F.lit(-1 << 63)).alias("key"),
-                        "text")
+    key, digest = F.coalesce(F.col("key").cast("bigint"), F.lit(-1 << 63)), F.xxhash64("text")
+    own = source.select(key.alias("key"), "text", digest.alias("digest"))
     bits = _place_type(own)
     marks, path = stored(_first_anchors(own, window, bits), "anchors")
     release(docs.sparkSession)
-    found, _ = stored(_verify(own, marks, window), "windows")
+    found, _ = stored(_verify(own, marks, window, bits), "windows")
     delete_path(docs.sparkSession, path)
     release(docs.sparkSession)
     firsts = _by_document(
-        found.where("kind = 1").select("h1", "h2", _place("key", "at", bits).alias("place"))
+        found.where("kind = 1").select("h1", "h2", _place(bits))
         .groupBy("h1", "h2").agg(F.min("place").alias("place")), bits, mark="0")
-    spans = (found.where("kind = 0").select("key", F.col("h1").alias("digest"), "spans")
+    spans = (found.where("kind = 0").select("key", "digest", "spans")
              .dropDuplicates(["key", "digest"]))
     if carry:
         source = docs.select(F.col(f"`{id_col}`").alias("key"), F.col(f"`{text_col}`").alias("text"),
                              F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rest = ["row"] if carry else []
     rows = (source.select(F.col("key").cast("bigint").alias("doc_id"), "text", *rest,
-                          F.coalesce(F.col("key").cast("bigint"), F.lit(-1 << 63)).alias("key"), _digest())
-            .join(spans, ["key", "digest"], "left").join(firsts, "key", "left")
+                          key.alias("key"), digest.alias("digest"))
+            .join(spans, ["key", "digest"], "left").join(firsts, _document(bits), "left")
             .select("doc_id", "text", "spans", "marks", *rest))
 
     def work(batch):
@@ -354,7 +371,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              pa.array(kept, pa.string()), *batch.columns[4:]],
             ["doc_id", "n_words", "n_removed", "kept", *rest])
 
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    schema = (StructType().add("doc_id", "long").add("n_words", "long")
+              .add("n_removed", "long").add("kept", "string"))
     if carry:
-        schema += f", row {rows.schema['row'].dataType.simpleString()}"
+        schema = schema.add(rows.schema["row"])
     return map_slices(rows, "text", schema, work)

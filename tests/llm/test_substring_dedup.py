@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -12,19 +13,24 @@ import pytest
 from millrace.llm import queries, substring_dedup
 
 
+def words_of(text):
+    """The words of the contract; ``str.split`` would also cut at U+00A0 and others."""
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
 def plain(rows, window):
+    """One dictionary of all windows. ``rows`` have unique ids, or
+    repeat an id with its text."""
     first = {}
-    places = []
     for key, text in rows:
-        words = (text or "").split()
+        words = words_of(text)
         for s in range(len(words) - window + 1):
             line = tuple(words[s:s + window])
             place = (-1 << 63 if key is None else key, s)
             first[line] = min(place, first.get(line, place))
-            places.append(place)
     out = []
     for key, text in rows:
-        words, gone = (text or "").split(), set()
+        words, gone = words_of(text), set()
         for s in range(len(words) - window + 1):
             if first[tuple(words[s:s + window])] < (-1 << 63 if key is None else key, s):
                 gone.update(range(s, s + window))
@@ -65,6 +71,44 @@ def test_ids_too_large_to_pack(spark):
     check(spark, [((1 << 62) + 5, line), ((1 << 62) + 4, line + " more"), (-5, "other " + line[:70])])
 
 
+@pytest.mark.parametrize("count", [1, 50])
+def test_nothing_repeats(spark, count):
+    """Every anchor of every slice is the only one of its name."""
+    check(spark, [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(count)])
+
+
+def test_slices_without_a_repeat_beside_others(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SLICE", 100)
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(6)]
+    check(spark, list(enumerate([*texts, texts[2], texts[2][:150] + " end " * 30])))
+
+
+def test_rows_without_ids(spark):
+    """Each text is a document of its own: of all windows one copy stays, hidden by no other."""
+    rng = random.Random(12)
+    passage = " ".join(rng.choice("abcdef") for _ in range(30))
+    texts = [f"a{i} {passage} " + " ".join(f"z{i}x{j}" for j in range(i % 40)) for i in range(120)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(5, passage), (5, "b " + passage), (5, passage)],
+                                 "doc_id bigint, text string").repartition(5)
+    rows = substring_dedup.without_repeats(docs).collect()
+    gone = sorted(r.n_removed for r in rows)
+    assert len(rows) == 123 and gone == [0] + [30] * 122
+
+
+def test_carried_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b", 3, [("x", 1)])],
+                                 "doc_id bigint, text string, `my col` int, row array<struct<`a b`:string,n:int>>")
+    kept = substring_dedup.without_repeats(docs, carry=True).select("row.*")
+    assert kept.dtypes == docs.dtypes and kept.collect() == docs.collect()
+
+
+def test_one_very_long_text(spark):
+    rng = random.Random(3)
+    words = [str(rng.randrange(4000)) for _ in range(200_000)]
+    words[150_000:150_500] = words[1000:1500]
+    check(spark, [(1, " ".join(words)), (2, " ".join(words[77:140]))])
+
+
 def test_long_texts_are_handled_in_parts(monkeypatch):
     rng = random.Random(4)
     words = [rng.choice("abc") for _ in range(900)]
