@@ -55,35 +55,38 @@ def classification_report(predictions: DataFrame, label: str = "label",
     return per_class.unionByName(overall.select(F.explode("rows").alias("r")).select("r.*"))
 
 
-def roc_auc(scores: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def roc_auc(scores: DataFrame, label: str = "label", score: str = "score",
+            group: str | None = None) -> DataFrame:
     """One row ``(auc, positives, negatives)``; ties count half, NULL if a class is absent.
 
-    Rows collapse to one per distinct score. Those are cut into score ranges, each
-    ranked by itself, and every range adds the negatives of the ranges before it;
-    only the totals per range meet in one task.
+    With ``group`` one row per value of that column, which comes first. Rows collapse to one
+    per distinct score. Those are cut into score ranges, each ranked by itself, and every
+    range adds the negatives of the ranges before it; only the totals per range (of a group)
+    meet in one task.
     """
+    by = [group] if group else []
     positive = (F.col(label) == 1).cast("long")
-    per_score = scores.groupBy(F.col(score).alias("score")).agg(
+    per_score = scores.groupBy(*by, F.col(score).alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-    ranges = per_score.repartitionByRange("score").withColumn("range", F.spark_partition_id())
+    ranges = per_score.repartitionByRange(*by, "score").withColumn("range", F.spark_partition_id())
 
-    before = Window.partitionBy("range").orderBy("score").rowsBetween(
+    before = Window.partitionBy(*by, "range").orderBy("score").rowsBetween(
         Window.unboundedPreceding, -1)
     lower = F.coalesce(F.sum("neg").over(before), F.lit(0))
     twice = (2 * lower + F.col("neg")).cast("decimal(19,0)") * F.col("pos").cast("decimal(18,0)")
-    totals = ranges.withColumn("twice", twice).groupBy("range").agg(
+    totals = ranges.withColumn("twice", twice).groupBy(*by, "range").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("twice").alias("twice"))
 
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     shifted = totals.withColumn("lower", F.coalesce(F.sum("neg").over(earlier), F.lit(0)))
     carried = 2 * F.col("lower").cast("decimal(18,0)") * F.col("pos").cast("decimal(18,0)")
-    summed = shifted.agg(
+    summed = shifted.groupBy(*by).agg(
         F.sum((F.col("twice") + carried).cast("decimal(38,0)")).alias("twice"),
         F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
         F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"))
     pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
     return summed.select(
-        F.when(pairs > 0, F.col("twice").cast("double") / (2 * pairs)).alias("auc"),
+        *by, F.when(pairs > 0, F.col("twice").cast("double") / (2 * pairs)).alias("auc"),
         "positives", "negatives")
 
 

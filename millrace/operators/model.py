@@ -1,33 +1,63 @@
-"""Features, training, validation and promotion of the fraud model (Spark ML)."""
+"""Features, training, validation and promotion of the fraud model."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.boosting import BoostingParams, Tree, boost, margins, staged_margins
 from millrace.operators.metrics import classification_report, imbalance_ratio, roc_auc
 from millrace.schemas import TRANSACTION_CATEGORY, TRANSACTION_IDS, TRANSACTION_LABEL
-from millrace.session import shared_dir
 
 # Fixed value: lowest ROC-AUC a model may have to be promoted (inclusive).
 PROMOTION_AUC = 0.95
 
 
 @dataclass(frozen=True)
-class BoostingParams:
-    # Defaults of the fraud model.
-    rounds: int = 400
-    learning_rate: float = 0.05
-    depth: int = 6
-    row_share: float = 0.8
-    column_share: float = 0.8
-    seed: int = 42
+class Part:
+    """The trees that one run added to an ensemble."""
+
+    run: str
+    trees: tuple[Tree, ...]
+
+
+@dataclass(frozen=True)
+class FraudModel:
+    """An encoder, the numeric columns in order, and the parts of the ensemble in order."""
+
+    encoder: PipelineModel
+    numeric: tuple[str, ...]
+    parts: tuple[Part, ...] = ()
+    category: str = TRANSACTION_CATEGORY
+
+    @property
+    def trees(self) -> list[Tree]:
+        return [tree for part in self.parts for tree in part.trees]
+
+    @property
+    def width(self) -> int:
+        return len(self.encoder.stages[0].labels) + len(self.numeric)
+
+    def featured(self, rows: DataFrame, name: str = "features") -> DataFrame:
+        """Add the features as one array of doubles."""
+        vectors = assembler(list(self.numeric), self.category, "__vector").transform(
+            self.encoder.transform(rows))
+        return vectors.withColumn(name, vector_to_array("__vector")).select(*rows.columns, name)
+
+    def with_margin(self, rows: DataFrame, name: str = "margin") -> DataFrame:
+        """Add the log-odds of class 1: the sum of all trees."""
+        found = self.featured(rows, "__features")
+        return found.withColumn(name, margins(F.col("__features"), self.trees)).drop("__features")
+
+    def before(self, run: str) -> "FraudModel":
+        """The ensemble as it was before ``run`` added to it."""
+        names = [part.run for part in self.parts]
+        return replace(self, parts=self.parts[:names.index(run)]) if run in names else self
 
 
 def drop_identifiers(transactions: DataFrame) -> DataFrame:
@@ -50,9 +80,10 @@ def fit_encoder(train: DataFrame, category: str = TRANSACTION_CATEGORY) -> Pipel
     return Pipeline(stages=[indexer, one_hot]).fit(train)
 
 
-def assembler(numeric: list[str], category: str = TRANSACTION_CATEGORY) -> VectorAssembler:
+def assembler(numeric: list[str], category: str = TRANSACTION_CATEGORY,
+              output: str = "features") -> VectorAssembler:
     """Category slots first, then the numeric columns."""
-    return VectorAssembler(inputCols=[f"{category}_slots", *numeric], outputCol="features",
+    return VectorAssembler(inputCols=[f"{category}_slots", *numeric], outputCol=output,
                            handleInvalid="keep")
 
 
@@ -73,37 +104,43 @@ def weighted(train: DataFrame, label: str = TRANSACTION_LABEL) -> DataFrame:
         "weight", F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
 
 
-def train_model(train: DataFrame, numeric: list[str], encoder: PipelineModel | None = None,
-                params: BoostingParams = BoostingParams(),
-                category: str = TRANSACTION_CATEGORY,
-                label: str = TRANSACTION_LABEL, partitions: int | None = None) -> PipelineModel:
-    """Fit boosted trees on ``train``, reusing ``encoder`` when one is given.
+def train_model(train: DataFrame, numeric: list[str], previous: FraudModel | None = None,
+                params: BoostingParams = BoostingParams(), run: str = "first",
+                category: str = TRANSACTION_CATEGORY, label: str = TRANSACTION_LABEL,
+                edges: list | None = None) -> FraudModel:
+    """Boosted trees fitted on ``train``, weighted against its imbalance.
 
-    ``partitions`` spreads the rows when the input has few files for the many passes.
-    Every ten rounds the state is checkpointed into the shared folder.
+    With ``previous`` its encoder, columns and parts stay as they are and a further part is
+    fitted from their margin; only ``train`` is read. Without it the encoder is fitted too.
     """
-    shared_dir(train.sparkSession)
-    train = train.repartition(partitions) if partitions else train
-    encoder = encoder or fit_encoder(train, category)
-    trees = GBTClassifier(
-        featuresCol="features", labelCol=label, weightCol="weight", lossType="logistic",
-        maxIter=params.rounds, stepSize=params.learning_rate, maxDepth=params.depth,
-        subsamplingRate=params.row_share, featureSubsetStrategy=str(params.column_share),
-        checkpointInterval=10, seed=params.seed)
-    stages = [*encoder.stages, assembler(numeric, category), trees]
-    return Pipeline(stages=stages).fit(weighted(train, label))
+    start = previous.before(run) if previous else FraudModel(
+        fit_encoder(train, category), tuple(numeric), (), category)
+    rows, margin = weighted(train, label), None
+    if start.parts:
+        rows, margin = start.with_margin(rows, "__margin"), "__margin"
+    first = len(start.trees)
+    trees = boost(start.featured(rows, "__features"), start.width, params, "__features", label,
+                  "weight", margin, first, edges)
+    return replace(start, parts=(*start.parts, Part(run, tuple(trees))))
+
+
+def predict(model: FraudModel, rows: DataFrame) -> DataFrame:
+    """Add ``predicted`` (0/1) and ``score`` (probability of class 1)."""
+    scored = model.with_margin(rows, "__margin")
+    return (scored.withColumn("predicted", (F.col("__margin") > 0).cast("int"))
+            .withColumn("score", 1 / (1 + F.exp(-F.col("__margin")))).drop("__margin"))
 
 
-def encoder_of(model: PipelineModel) -> PipelineModel:
-    return PipelineModel(stages=model.stages[:2])
+def staged_scores(model: FraudModel, rows: DataFrame) -> DataFrame:
+    """Rows (label, round, score): the margin after each tree, scored once per row."""
+    found = model.featured(rows, "__features")
+    stages = found.select(TRANSACTION_LABEL, staged_margins(F.col("__features"), model.trees).alias("s"))
+    return stages.select(F.col(TRANSACTION_LABEL).alias("label"), F.posexplode("s").alias("round", "score"))
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Add ``predicted`` (0/1) and ``score`` (probability of class 1)."""
-    scored = model.transform(rows)
-    return (scored.withColumn("predicted", F.col("prediction").cast("int"))
-            .withColumn("score", vector_to_array(F.col("probability"))[1])
-            .select(*rows.columns, "predicted", "score"))
+def staged_auc(model: FraudModel, rows: DataFrame) -> DataFrame:
+    """ROC-AUC after each tree: rows (round, auc, positives, negatives), rounds from 0."""
+    return roc_auc(staged_scores(model, rows), group="round")
 
 
 def validate(predictions: DataFrame, label: str = TRANSACTION_LABEL) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from millrace.operators import model as M
+from millrace.operators.boosting import TREE_SCHEMA, trees_of
 from millrace.operators.joins import lookup_join
 from millrace.operators.split import hashed_order, stratified_split
 from millrace.schemas import TRANSACTION_LABEL
@@ -46,15 +47,37 @@ class ModelStore:
         return (self.spark.read.schema(_PROMOTION).parquet(location)
                 .agg(F.max_by("path", "at")).first()[0])
 
-    def production(self) -> PipelineModel | None:
+    def production(self) -> M.FraudModel | None:
         path = self.production_path()
-        return PipelineModel.load(path) if path else None
+        return self.load(path) if path else None
 
-    def save_candidate(self, run: str, model: PipelineModel) -> str:
+    def save_candidate(self, run: str, model: M.FraudModel) -> str:
+        """The model as a list of parts: the trees of ``run`` are written, those before named."""
         path = f"{self.root}/candidates/{run}"
-        model.write().overwrite().save(path)
+        model.encoder.write().overwrite().save(f"{path}/encoder")
+        parts = [(i, part.run) for i, part in enumerate(model.parts)]
+        inputs = list(enumerate(model.numeric))
+        trees = [row for i, tree in enumerate(model.parts[-1].trees) for row in tree.rows(i)]
+        for name, rows, schema in (("parts", parts, "number int, run string"),
+                                   ("inputs", inputs, "number int, name string"),
+                                   ("trees", trees, TREE_SCHEMA)):
+            (self.spark.createDataFrame(rows, schema).coalesce(1)
+                .write.mode("overwrite").parquet(f"{path}/{name}"))
         return path
 
+    def trees_path(self, run: str) -> str:
+        return f"{self.root}/candidates/{run}/trees"
+
+    def load(self, path: str) -> M.FraudModel:
+        """A model of this store; its trees and names are bounded by the rounds and runs."""
+        def column(name, field):
+            return [r[field] for r in self.spark.read.parquet(f"{path}/{name}").orderBy("number").collect()]
+
+        parts = tuple(M.Part(run, tuple(trees_of(
+            self.spark.read.schema(TREE_SCHEMA).parquet(self.trees_path(run)).collect())))
+            for run in column("parts", "run"))
+        return M.FraudModel(PipelineModel.load(f"{path}/encoder"), tuple(column("inputs", "name")), parts)
+
     def split_path(self, run: str) -> str:
         return f"{self.root}/splits/run={run}"
 
@@ -79,6 +102,12 @@ class ModelStore:
         text = self.spark.createDataFrame([(M.render_report(rows, auc),)], "value string")
         text.write.mode("overwrite").text(f"{self.root}/reports/{run}")
 
+    def save_weights(self, run: str, train: DataFrame) -> None:
+        """Rows (label, weight, rows): what a row of each class counts in training."""
+        (M.weighted(train).groupBy(F.col(TRANSACTION_LABEL).alias("label"), "weight")
+            .agg(F.count(F.lit(1)).alias("rows")).coalesce(1)
+            .write.mode("overwrite").parquet(f"{self.root}/weights/run={run}"))
+
     def promote(self, run: str, auc: float, path: str) -> None:
         row = self.spark.createDataFrame([(run, auc, path)], "run string, auc double, path string")
         (row.withColumn("at", F.current_timestamp()).coalesce(1)
@@ -88,31 +117,25 @@ class ModelStore:
 def train_and_promote(batch: DataFrame, store: ModelStore, run: str, order=None,
                       params: M.BoostingParams = M.BoostingParams(),
                       gate: float = M.PROMOTION_AUC, fit_rows: int | None = None,
-                      partitions: int | None = None) -> Outcome:
-    """Train on 80 % of ``batch`` and the training parts of the batches promoted before.
+                      edges: list | None = None) -> Outcome:
+    """Train on 80 % of ``batch``, continuing the model in production.
 
-    Spark ML cannot continue a fitted ensemble, so rows of earlier batches are
-    trained on again instead. The split is stored once and read from there. ``fit_rows``
-    bounds the labelled rows to fit on, drawn evenly; all test rows are scored.
-    ``partitions`` is how many the rows to fit on are spread over.
+    That model's trees stay as they are: new ones are fitted to what its margin leaves over, on
+    this batch alone. The split is stored once and read from there. ``fit_rows`` bounds the
+    labelled rows to fit on, drawn evenly; all test rows are scored. A run that is repeated
+    continues what was there before it.
     """
     spark, label = batch.sparkSession, TRANSACTION_LABEL
-    earlier = store.promoted_training_rows(batch.schema)
     parts = store.split_path(run)
     split = stratified_split(batch, label, order or hashed_order(*batch.columns))
     split.write.mode("overwrite").partitionBy("is_test").parquet(parts)
-    train = spark.read.parquet(f"{parts}/is_test=false")
-    if earlier is not None:
-        train = train.unionByName(earlier)
+    train = M.drop_identifiers(spark.read.parquet(f"{parts}/is_test=false"))
+    test = M.drop_identifiers(spark.read.parquet(f"{parts}/is_test=true"))
     if fit_rows is not None:
         train = train.sample(min(1.0, fit_rows / max(1, train.count())), seed=params.seed)
-    train = M.drop_identifiers(train)
-    test = M.drop_identifiers(spark.read.parquet(f"{parts}/is_test=true"))
+    store.save_weights(run, train)
 
-    previous = store.production()
-    model = M.train_model(train, M.numeric_columns(train),
-                          M.encoder_of(previous) if previous else None, params,
-                          partitions=partitions)
+    model = M.train_model(train, M.numeric_columns(train), store.production(), params, run, edges=edges)
     path = store.save_candidate(run, model)
 
     scored = M.predict(model, test).select(label, "predicted", "score").persist()

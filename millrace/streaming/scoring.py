@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import transaction_id
-from millrace.operators.model import drop_identifiers
+from millrace.operators.model import FraudModel, drop_identifiers, predict
 from millrace.sources.messages import parse_rows
 
 # Fixed value: the text of an alert, before the transaction id.
@@ -21,19 +20,19 @@ def with_transaction_id(transactions: DataFrame) -> DataFrame:
         F.col("step"), F.col("nameOrig"), F.col("nameDest")))
 
 
-def fraud_alerts(transactions: DataFrame, model: PipelineModel) -> DataFrame:
+def fraud_alerts(transactions: DataFrame, model: FraudModel) -> DataFrame:
     """Alert rows of the transactions classed as fraud; batch and streaming alike.
 
     A message that could not be read has no id and raises no alert.
     """
     known = with_transaction_id(transactions).where("transaction_id IS NOT NULL")
-    scored = model.transform(drop_identifiers(known))
+    scored = predict(model, drop_identifiers(known))
     message = F.concat(F.lit(ALERT_TEXT), "transaction_id")
-    return (scored.where(F.col("prediction").cast("int") == 1)
+    return (scored.where(F.col("predicted") == 1)
             .select("transaction_id", message.alias("alert")))
 
 
-def start_scoring(messages: DataFrame, schema: T.StructType, model: PipelineModel,
+def start_scoring(messages: DataFrame, schema: T.StructType, model: FraudModel,
                   alerts: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append alerts as Parquet, each once. Restart the query to use a newer model.
 

@@ -206,7 +206,7 @@ def test_train_validate_promote(spark, tmp_path, stored):
     other = batch.withColumn("type", F.when(F.col("type") == "PAYMENT", "DEBIT").otherwise(F.col("type")))
     train_and_promote(other, store, "r2", params=SMALL)
     assert store.production_path().endswith("r2")
-    assert store.production().stages[0].labels == ["CASH_OUT", "PAYMENT", "TRANSFER"]
+    assert store.production().encoder.stages[0].labels == ["CASH_OUT", "PAYMENT", "TRANSFER"]
     assert store.promoted_training_rows(batch.schema).count() == 960
 
 
