@@ -6,32 +6,68 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from millrace.operators.staging import absent, new_rows, star_target, transformed_source
-from millrace.schemas import STAGING_TABLES
-from millrace.session import path_exists, settle
+from millrace.operators.staging import (absent, new_by_index, new_rows, star_target, transformed_source,
+                                        with_fingerprint)
+from millrace.schemas import LONG, STAGING_TABLES, struct
+from millrace.session import child_names, delete_path, path_exists, settle
+from millrace.sources.buckets import BucketedFolder, bucket_count
 from millrace.sources.jdbc import Database, ReadSplit, read_jdbc, write_jdbc
 from millrace.sources.tables import empty_relation, read_csv, select_schema
 
 MODES = ("append_new", "replace")
 
 
+_PRINTS = struct(__h1=LONG, __h2=LONG)
+
+
 class FolderStaging:
     """Staging tables as Parquet folders, one sub-folder per run.
 
     Run names must sort in time order. A run may be repeated: it never compares
-    with its own earlier output, and replaces it.
+    with its own earlier output, and replaces it. Beside each table an index keeps the
+    fingerprints of its rows, by run and in buckets; differences are taken from it alone.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        """``buckets`` of new indexes: by default as many as the session shuffles into."""
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def read(self, table: str, schema, mode: str = "append_new", without: str | None = None) -> DataFrame:
         """All staged rows; in ``replace`` mode those of the last run that had any."""
-        target = f"{self.root}/{table}"
-        if not path_exists(self.spark, target):
+        if not path_exists(self.spark, f"{self.root}/{table}"):
             return empty_relation(self.spark, schema)
-        runs = (self.spark.read.schema(StructType([*schema.fields, StructField("run", StringType())]))
-                .parquet(target))
+        return self._chosen(self._runs(table, schema), mode, without)
+
+    def index(self, table: str, schema, mode: str = "append_new", without: str | None = None) -> DataFrame:
+        """Fingerprints of what ``read`` returns. Runs that have none yet are read for them."""
+        folder = self._index(table)
+        for run in self._named(table) - self._named(f"_index/{table}/n={folder.buckets}") - {without}:
+            rows = self._runs(table, schema).where(F.col("run") == run).drop("run")
+            folder.write(with_fingerprint(rows), run)
+        if not path_exists(self.spark, folder.path):
+            return empty_relation(self.spark, _PRINTS)
+        return self._chosen(folder.read(), mode, without)
+
+    def stage(self, raw: DataFrame, table: str, run: str, mode: str) -> DataFrame:
+        """The index of a run goes before its rows change and comes after, so it never tells
+        of rows that are not there."""
+        target, folder = f"{self.root}/{table}/run={run}", self._index(table)
+        fresh = new_by_index(raw, self.index(table, raw.schema, mode, without=run))
+        there = path_exists(self.spark, target)
+        if not there and fresh.isEmpty():
+            return empty_relation(self.spark, raw.schema)
+        if there:
+            delete_path(self.spark, f"{folder.path}/run={run}")
+        fresh.write.mode("overwrite").parquet(target)
+        stored = self.spark.read.schema(raw.schema).parquet(target)
+        folder.write(with_fingerprint(stored), run)
+        return stored
+
+    def _runs(self, table, schema):
+        return (self.spark.read.schema(StructType([*schema.fields, StructField("run", StringType())]))
+                .parquet(f"{self.root}/{table}"))
+
+    def _chosen(self, runs, mode, without):
         if without is not None:
             runs = runs.where(F.col("run") != without)
         if mode == "replace":
@@ -39,15 +75,15 @@ class FolderStaging:
             runs = runs.where(F.col("run") == F.lit(last))
         return runs.drop("run")
 
-    def stage(self, raw: DataFrame, table: str, run: str, mode: str) -> DataFrame:
-        target = f"{self.root}/{table}/run={run}"
-        staged = self.read(table, raw.schema, mode, without=run)
-        fresh = new_rows(raw, staged)
-        if path_exists(self.spark, target) or not fresh.isEmpty():
-            fresh.write.mode("overwrite").parquet(target)
-        else:
-            return empty_relation(self.spark, raw.schema)
-        return self.spark.read.schema(raw.schema).parquet(target)
+    def _named(self, folder):
+        """Runs that have a sub-folder: control data."""
+        return {n.split("=", 1)[1] for n in child_names(self.spark, f"{self.root}/{folder}") if n.startswith("run=")}
+
+    def _index(self, table):
+        path = f"{self.root}/_index/{table}"
+        made = [int(n[2:]) for n in child_names(self.spark, path) if n.startswith("n=")]
+        buckets = min(made) if made else self.buckets or bucket_count(self.spark)
+        return BucketedFolder(self.spark, f"{path}/n={buckets}", _PRINTS, ["__h1", "__h2"], buckets, "run")
 
 
 class JdbcStaging:
