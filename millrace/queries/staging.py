@@ -47,6 +47,15 @@ def staging_replace(spark, folder):
     return store.read("clickstream", raw.schema, "replace")
 
 
+def staging_by_index(spark, folder):
+    """A run's new rows by the kept fingerprints alone, beyond the broadcast bound."""
+    store = FolderStaging(spark, scratch_path(spark, "staging"))
+    raw = _clicks(spark, folder)
+    for run, day in (("1", "2024-01-08"), ("2", STAGED_BEFORE)):
+        stage(raw.where(F.col("day") < F.lit(day).cast("date")), store, "clickstream", run)
+    return operators.new_by_index(raw, store.index("clickstream", raw.schema), max_rows=0)
+
+
 def _sources(spark, folder):
     return {
         "users": table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment"),
@@ -106,6 +115,7 @@ def hourly_clicks(spark, folder):
 
 QUERIES = {
     "staging_new_rows": staging_new_rows,
+    "staging_by_index": staging_by_index,
     "staging_append": staging_append,
     "staging_replace": staging_replace,
     "load_star": load_star_rows,
@@ -119,6 +129,7 @@ _STAGED = f"SELECT * FROM ({_RAW}) raw WHERE day < DATE '{STAGED_BEFORE}'"
 
 ORACLE = {
     "staging_new_rows": f"{_RAW} EXCEPT {_STAGED}",
+    "staging_by_index": f"{_RAW} EXCEPT {_STAGED}",
     "staging_append": f"""
         SELECT DISTINCT * FROM ({_STAGED}) staged
         UNION ALL

@@ -206,6 +206,11 @@ def merge_delete_stream(spark, folder):
     return stream_run(spark, folder).read()
 
 
+def merge_delete_bucketed(spark, folder):
+    """The way beyond the broadcast bound: ended users are shuffled to the base's buckets."""
+    return stream_run(spark, folder, compact_every=1).read(max_rows=0)
+
+
 def normalize_raw_event(spark, folder):
     item = F.struct(
         (F.col("event_id") + 1_000_000).cast("string").alias("user_id"),
@@ -236,6 +241,7 @@ QUERIES = {
     "merge_matched_rows": merge_matched_rows,
     "merge_delete": merge_delete,
     "merge_delete_stream": merge_delete_stream,
+    "merge_delete_bucketed": merge_delete_bucketed,
     "normalize_raw_event": normalize_raw_event,
 }
 
@@ -256,6 +262,24 @@ _NAMED = """
                 WHEN event_type = 'signup' THEN 'account_deleted'
                 WHEN event_type <> 'view' THEN event_type END AS event
     FROM events"""
+_STREAMED = f"""
+    WITH batched AS (
+        SELECT user_id, replace(n_name, '_', '') AS state,
+               CASE WHEN event_type = 'error' AND value > 25 THEN 'session_ended'
+                    WHEN event_type = 'view' THEN 'login'
+                    WHEN event_type = 'click' THEN 'in_app_purchase'
+                    WHEN event_type = 'purchase' THEN 'session_started' END AS event,
+               CASE {_K} % 3 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'Computer' END AS device,
+               date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events),
+                         CAST(ts AS DATE)) // {BATCH_DAYS} AS batch_id
+        FROM events
+        LEFT JOIN customer ON user_id = c_custkey
+        LEFT JOIN nation ON c_nationkey = n_nationkey)
+    SELECT CAST(user_id AS INTEGER) AS user_id, state, event, device FROM batched kept
+    WHERE event IS NOT NULL AND event <> 'session_ended' AND NOT EXISTS (
+        SELECT 1 FROM batched later
+        WHERE later.event = 'session_ended' AND later.user_id = kept.user_id
+          AND later.batch_id > kept.batch_id)"""
 
 ORACLE = {
     "traffic_by_state": _TRAFFIC,
@@ -305,24 +329,8 @@ ORACLE = {
         WHERE NOT ends AND NOT EXISTS (
             SELECT 1 FROM batched later
             WHERE later.ends AND later.user_id = kept.user_id AND later.batch_id > kept.batch_id)""",
-    "merge_delete_stream": f"""
-        WITH batched AS (
-            SELECT user_id, replace(n_name, '_', '') AS state,
-                   CASE WHEN event_type = 'error' AND value > 25 THEN 'session_ended'
-                        WHEN event_type = 'view' THEN 'login'
-                        WHEN event_type = 'click' THEN 'in_app_purchase'
-                        WHEN event_type = 'purchase' THEN 'session_started' END AS event,
-                   CASE {_K} % 3 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'Computer' END AS device,
-                   date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events),
-                             CAST(ts AS DATE)) // {BATCH_DAYS} AS batch_id
-            FROM events
-            LEFT JOIN customer ON user_id = c_custkey
-            LEFT JOIN nation ON c_nationkey = n_nationkey)
-        SELECT CAST(user_id AS INTEGER) AS user_id, state, event, device FROM batched kept
-        WHERE event IS NOT NULL AND event <> 'session_ended' AND NOT EXISTS (
-            SELECT 1 FROM batched later
-            WHERE later.event = 'session_ended' AND later.user_id = kept.user_id
-              AND later.batch_id > kept.batch_id)""",
+    "merge_delete_stream": _STREAMED,
+    "merge_delete_bucketed": _STREAMED,
     "normalize_raw_event": f"""
         WITH cut AS (
             SELECT CAST(substr(CAST(event_id + 1000000 AS VARCHAR), 1, 3) AS INTEGER) AS user_id,
