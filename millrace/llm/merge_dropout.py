@@ -50,6 +50,66 @@ def _candidate(place: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return place.astype(np.uint64) * np.uint64(_M1) ^ rank.astype(np.uint64) * np.uint64(_M2)
 
 
+def _slot(key: np.ndarray, mask: np.int64) -> np.ndarray:
+    h = key.astype(np.uint64) * np.uint64(_M1)
+    return (h >> np.uint64(40)).astype(np.int64) & mask
+
+
+def _code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words in a row, and how many each has."""
+    raw = "".join(words).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(raw, np.uint32), np.fromiter(map(len, words), np.int64, len(words))
+
+
+def _stretches(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, … of each stretch, in a row."""
+    total = int(counts.sum())
+    return np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(total)
+
+
+class Ragged:
+    """Lists of numbers in a row that grows at its end."""
+
+    def __init__(self, kind):
+        self.kind, self.n, self.used = kind, 0, 0
+        self.flat, self.begin, self.counts = (np.zeros(1024, kind), np.zeros(64, np.int64), np.zeros(64, np.int64))
+
+    def append(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        for name, used, more in (("flat", self.used, len(flat)), ("begin", self.n, len(counts)),
+                                 ("counts", self.n, len(counts))):
+            own = getattr(self, name)
+            if used + more > len(own):
+                wider = np.zeros(max(used + more, 2 * len(own)), own.dtype)
+                wider[:used] = own[:used]
+                setattr(self, name, wider)
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.counts[self.n:self.n + len(counts)] = counts
+        self.begin[self.n:self.n + len(counts)] = self.used + np.cumsum(counts) - counts
+        self.used, self.n = self.used + len(flat), self.n + len(counts)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts = self.counts[at]
+        return self.flat[_stretches(self.begin[at], counts)], counts
+
+
+class _Gathered:
+    """Lists for ``n`` places, found in any order."""
+
+    def __init__(self, n: int, kind):
+        self.kind, self.counts, self.parts = kind, np.zeros(n, np.int64), []
+
+    def add(self, at, flat, counts) -> None:
+        self.counts[at] = counts
+        self.parts.append((at, flat, counts))
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        begin = np.cumsum(self.counts) - self.counts
+        out = np.zeros(int(self.counts.sum()), self.kind)
+        for at, flat, counts in self.parts:
+            out[_stretches(begin[at], counts)] = flat
+        return out, self.counts
+
+
 class Vocabulary:
     """Pieces of a SentencePiece BPE model with byte fallback."""
 
@@ -93,51 +153,88 @@ class Vocabulary:
                 if a is not None and b is not None:
                     pairs[a * len(self.rank) + b] = rank
         self._single = single
-        self._pairs = np.array(sorted(pairs), np.int64)
-        self._merged = np.array([pairs[k] for k in self._pairs.tolist()], np.int32)
         self._ids = np.array(self.id_of_rank, np.int32)
+        self._table(np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32))
+        lengths = np.array([len(b) for b in self.bytes_of], np.int64)
+        self._spelt = Ragged(np.uint8)
+        self._spelt.append(np.frombuffer(b"".join(self.bytes_of), np.uint8), lengths)
+
+    def _table(self, keys, merged):
+        """Open addressing: a pair stands in the first slot from its own that was free."""
+        size = 1 << max(4, int(len(keys) * 8).bit_length())
+        self._mask, self._slots = np.int64(size - 1), np.full(size, -1, np.int64)
+        self._merged = np.full(size, _NEVER, np.int32)
+        at = _slot(keys, self._mask)
+        while len(keys):
+            free = self._slots[at] < 0
+            first = np.zeros(len(keys), bool)
+            first[np.unique(at, return_index=True)[1]] = True
+            put = free & first
+            self._slots[at[put]], self._merged[at[put]] = keys[put], merged[put]
+            keys, merged, at = keys[~put], merged[~put], (at[~put] + 1) & self._mask
 
     def _lookup(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank that two neighbouring ranks merge to; negative ones never do."""
         key = a * len(self.rank) + b
-        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
-        return np.where((self._pairs[at] == key) & (b >= 0) & (a >= 0), self._merged[at], _NEVER)
+        key[(a < 0) | (b < 0)] = -2
+        at = _slot(key, self._mask)
+        found = self._slots[at]
+        out = np.where(found == key, self._merged[at], _NEVER)
+        open_ = np.flatnonzero((found != key) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self._mask
+            found = self._slots[at[open_]]
+            hit = found == key[open_]
+            out[open_[hit]] = self._merged[at[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
 
-    def segment_all(self, words: list[str], keys: np.ndarray, dropout: float,
-                    taken: list[bytes] | None = None) -> list[bytes]:
-        """:meth:`segment` of many words at once, as bytes of 32-bit ids.
+    def segment_flat(self, points: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float,
+                     steps: bool = False):
+        """:meth:`segment` of many words at once, given as code points in a row.
 
-        ``taken`` receives the merges of each word, as bytes of their candidates.
+        Returns all ids in a row and how many each word has, and likewise with ``steps`` the
+        merges of each word as their candidates.
         """
-        out: list[bytes | None] = [None] * len(words)
-        merges = [b""] * len(words)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        for low, high in ((0, 8), (8, 16), (16, SHORT)):
-            at = np.flatnonzero((sizes > low) & (sizes <= high))
-            if not len(at):
+        begin = np.cumsum(sizes) - sizes
+        ids, merges, rest = _Gathered(len(sizes), np.int32), _Gathered(len(sizes), np.uint64), []
+        for low, high in ((0, 8), (8, 16), (16, SHORT), (SHORT, None)):
+            at = np.flatnonzero((sizes > low) & (sizes <= high) if high else sizes > low)
+            if not len(at) or high is None:
+                rest.append(at)
                 continue
-            line = "".join([words[i].ljust(high, "\U0010ffff") for i in at.tolist()])
-            points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-            symbols = self._single[points].reshape(-1, high)
+            place = np.arange(high)
+            inside = place < sizes[at, None]
+            symbols = np.full(inside.shape, -1, np.int64)
+            symbols[inside] = self._single[points[(begin[at, None] + place)[inside]]]
             known = (symbols >= 0).sum(axis=1) == sizes[at]
-            at = at[known]
-            steps = None if taken is None else []
-            flat, counts = self._segment_rows(symbols[known], sizes[at], keys[at], dropout, steps)
-            raw, ends = flat.tobytes(), (np.cumsum(counts) * 4).tolist()
-            for i, a, b in zip(at.tolist(), [0, *ends], ends):
-                out[i] = raw[a:b]
-            if steps:
-                rows = np.concatenate([r for r, _ in steps])
-                raw = np.concatenate([c for _, c in steps])[np.argsort(rows, kind="stable")].tobytes()
-                ends = (np.cumsum(np.bincount(rows, minlength=len(at))) * 8).tolist()
-                for i, a, b in zip(at.tolist(), [0, *ends], ends):
-                    merges[i] = raw[a:b]
-        for i in [i for i, o in enumerate(out) if o is None]:
-            steps = []
-            out[i] = np.array(self.segment(words[i], int(keys[i]), dropout, steps), np.int32).tobytes()
-            merges[i] = _candidate(*np.array(steps, np.int64).reshape(-1, 2).T).tobytes()
-        if taken is not None:
-            taken += merges
-        return out
+            rest.append(at[~known])
+            at, symbols = at[known], symbols[known]
+            taken = [] if steps else None
+            ids.add(at, *self._segment_rows(symbols, sizes[at], keys[at], dropout, taken))
+            if taken:
+                rows = np.concatenate([r for r, _ in taken])
+                order = np.argsort(rows, kind="stable")
+                merges.add(at, np.concatenate([c for _, c in taken])[order],
+                           np.bincount(rows, minlength=len(at)))
+        for i in np.concatenate(rest).tolist():
+            word = points[begin[i]:begin[i] + sizes[i]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            taken = []
+            own = np.array(self.segment(word, int(keys[i]), dropout, taken), np.int32)
+            ids.add(np.array([i]), own, np.array([len(own)]))
+            if steps and taken:
+                merges.add(np.array([i]), _candidate(*np.array(taken, np.int64).T), np.array([len(taken)]))
+        return (*ids.all(), *(merges.all() if steps else ()))
+
+    def segment_all(self, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
+        """:meth:`segment` of many words, each as bytes of 32-bit ids."""
+        flat, counts = self.segment_flat(*_code_points(words), keys, dropout)
+        raw, ends = flat.tobytes(), (np.cumsum(counts) * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def spelt(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of many ids in a row, and how many each has."""
+        return self._spelt.take(ids)
 
     def _segment_rows(self, symbols, sizes, keys, dropout, steps=None):
         rows, width = symbols.shape
@@ -243,55 +340,118 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts, keeping the undropped merges of words it has met."""
+    """Encodes texts, keeping the undropped merges of words it has met.
+
+    A kept word has a number; number 0 stands for all that are not kept.
+    """
 
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
         self.vocabulary, self.dropout, self.seed = vocabulary, dropout, seed
-        self.kept: dict[str, tuple[bytes, bytes]] = {}
+        self._forget()
+
+    def _forget(self):
+        self.number: dict[str, int] = {}
+        self.points, self.ids, self.merges, self.raw = (
+            Ragged(np.uint32), Ragged(np.int32), Ragged(np.uint64), Ragged(np.uint8))
+        self.good = np.zeros(0, bool)
+        for store in (self.points, self.ids, self.merges, self.raw):
+            store.append(np.zeros(0, store.kind), np.zeros(1, np.int64))
+        self.good = np.zeros(1, bool)
 
     def encode(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray]:
         """Ids of each text; ``keys`` vary the segmentations between texts."""
-        words, own_keys, counts = [], [], []
+        flat, counts, _ = self.encode_flat(texts, keys)
+        return np.split(flat, np.cumsum(counts)[:-1]) if texts else []
+
+    def encode_flat(self, texts: list[str | None], keys: list[int]):
+        """All ids in a row, how many each text has, and whether they decode to it."""
+        words, own_keys, counts, whole = [], [], [], []
         for text, key in zip(texts, keys):
             own = _WORD.findall(" " + text) if text else []
             words += own
             counts.append(len(own))
+            whole.append(not text or sum(map(len, own)) == len(text) + 1)
             own_keys.append(self._keys(key, len(own)))
         every = np.concatenate(own_keys) if own_keys else np.zeros(0, np.uint64)
-        found = []
-        for at in range(0, len(words), TOGETHER):
-            found += self._spell(words[at:at + TOGETHER], every[at:at + TOGETHER])
-        out, at = [], 0
-        for n in counts:
-            out.append(np.frombuffer(b"".join(found[at:at + n]), np.int32))
-            at += n
-        return out
+        parts = [self._spell(words[at:at + TOGETHER], every[at:at + TOGETHER])
+                 for at in range(0, len(words), TOGETHER)]
+        flat, sizes, good = ((np.concatenate(x) for x in zip(*parts)) if parts else
+                             (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)))
+        ends = np.cumsum(counts, dtype=np.int64)
+        total, bad = np.append(0, np.cumsum(sizes)), np.append(0, np.cumsum(~good))
+        begin = ends - counts
+        return (flat, total[ends] - total[begin],
+                np.array(whole, bool) & (bad[ends] == bad[begin]))
 
     def _keys(self, key: int, n: int) -> np.ndarray:
         """A key for each of the ``n`` words of the text with ``key``."""
         places = np.arange(n).astype(np.uint64) * np.uint64(_M1)
         return mix(places + np.uint64((key * _M2 + self.seed) & _MASK))
 
-    def _spell(self, words: list[str], keys: np.ndarray) -> list[bytes]:
-        if len(self.kept) > KEPT:
-            self.kept.clear()
-        kept, segment_all = self.kept, self.vocabulary.segment_all
-        new = [w for w in set(words).difference(kept) if len(w) <= SHORT]
-        merges: list[bytes] = []
-        plain = segment_all(new, np.zeros(len(new), np.uint64), 0.0, merges)
-        kept.update(zip(new, zip(plain, merges)))
-        usual = [kept.get(w, (b"", b"")) for w in words]
-        again = np.fromiter(map(len, words), np.int64, len(words)) > SHORT
+    def _learn(self, new: list[str]) -> None:
+        points, sizes = _code_points(new)
+        ids, counts, merges, steps = self.vocabulary.segment_flat(
+            points, sizes, np.zeros(len(new), np.uint64), 0.0, True)
+        raw = [w.encode("utf-8", "surrogatepass") for w in new]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        self.number.update(zip(new, range(len(self.good), len(self.good) + len(new))))
+        for store, *values in ((self.points, points, sizes), (self.ids, ids, counts),
+                               (self.merges, merges, steps), (self.raw, flat, lengths)):
+            store.append(*values)
+        self.good = np.append(self.good, self._decodes(ids, counts, flat, lengths))
+
+    def _decodes(self, ids, counts, raw, lengths) -> np.ndarray:
+        """Whether the ids of each word are spelt as its bytes."""
+        spelt, sizes = self.vocabulary.spelt(ids)
+        total = np.append(0, np.cumsum(sizes))
+        ends = np.cumsum(counts)
+        same = total[ends] - total[ends - counts] == lengths
+        if same.all():
+            differs = np.append(0, np.cumsum(spelt != raw))
+            ends = np.cumsum(lengths)
+            return differs[ends] == differs[ends - lengths]
+        # Never for this kind of model; word by word, so that one fault is one fault.
+        at, by = np.cumsum(lengths) - lengths, total[np.cumsum(counts) - counts]
+        return np.array([s and bytes(spelt[b:b + n]) == bytes(raw[a:a + n])
+                         for s, a, b, n in zip(same, at, by, lengths)], bool)
+
+    def _spell(self, words: list[str], keys: np.ndarray):
+        """Ids of the words in a row, how many each has, and whether they decode to it."""
+        if len(self.number) > KEPT:
+            self._forget()
+        new = [w for w in set(words).difference(self.number) if len(w) <= SHORT]
+        if new:
+            self._learn(new)
+        get = self.number.get
+        number = np.fromiter([get(w, 0) for w in words], np.int64, len(words))
+        again = number == 0
         if self.dropout:
-            taken = [m for _, m in usual]
-            at = np.repeat(np.arange(len(words)), np.fromiter(map(len, taken), np.int64, len(words)) // 8)
-            candidates = np.frombuffer(b"".join(taken), np.uint64)
-            again[at[_skipped(keys[at] ^ candidates, np.uint64(int(self.dropout * (1 << 32))))]] = True
-        found = [ids for ids, _ in usual]
-        at = np.flatnonzero(again)
-        for i, ids in zip(at.tolist(), segment_all([words[i] for i in at.tolist()], keys[at], self.dropout)):
-            found[i] = ids
-        return found
+            candidates, counts = self.merges.take(number)
+            at = np.repeat(np.arange(len(words)), counts)
+            limit = np.uint64(int(self.dropout * (1 << 32)))
+            again[at[_skipped(keys[at] ^ candidates, limit)]] = True
+        good = self.good[number]
+        usual = np.flatnonzero(~again)
+        found = _Gathered(len(words), np.int32)
+        found.add(usual, *self.ids.take(number[usual]))
+        for at, points, raw in self._others(words, number, np.flatnonzero(again)):
+            ids, counts = self.vocabulary.segment_flat(*points, keys[at], self.dropout)
+            found.add(at, ids, counts)
+            good[at] = self._decodes(ids, counts, *raw)
+        return (*found.all(), good)
+
+    def _others(self, words, number, again):
+        """Words to segment anew: (places, code points, bytes) of kept ones and of the rest."""
+        at = again[number[again] > 0]
+        if len(at):
+            yield at, self.points.take(number[at]), self.raw.take(number[at])
+        at = again[number[again] == 0]
+        if len(at):
+            own = [words[i] for i in at.tolist()]
+            raw = [w.encode("utf-8", "surrogatepass") for w in own]
+            yield at, _code_points(own), (np.frombuffer(b"".join(raw), np.uint8),
+                                          np.fromiter(map(len, raw), np.int64, len(raw)))
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:
@@ -312,7 +472,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     ``model_path`` is read by the driver and sent along; the model has byte fallback.
     The dropout is keyed by seed, id and place in the text, so rows that repeat an id and text are
     equal, and without dropout ids are the library's. ``lossless`` tells that
-    decoding ``token_ids`` gave the text again.
+    decoding ``token_ids`` gives the text again: every word of it was decoded and compared.
 
     A NULL text has NULL ids and no tokens, an empty one an empty list; both count as
     lossless. A NULL id keys like 0. A literal space symbol (U+2581) is spelt in bytes,
@@ -327,14 +487,11 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             encoders[0] = Encoder(Vocabulary(shared.value), dropout, seed)
         encoder = encoders[0]
         texts, keys = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        ids = encoder.encode(texts, keys)
-        good = [decode(encoder.vocabulary, i.tolist()) == (t or "") for i, t in zip(ids, texts)]
-        offsets = np.zeros(len(ids) + 1, np.int32)
-        np.cumsum([len(i) for i in ids], out=offsets[1:])
+        ids, counts, good = encoder.encode_flat(texts, keys)
+        offsets = np.zeros(len(texts) + 1, np.int32)
+        np.cumsum(counts, out=offsets[1:])
         missing = pa.array([t is None for t in texts])
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                         pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)),
-                                         mask=missing)
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids), mask=missing)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), lists, pa.array(np.diff(offsets)), pa.array(good)],
             ["doc_id", "token_ids", "n_tokens", "lossless"])
