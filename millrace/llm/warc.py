@@ -25,7 +25,7 @@ from millrace.llm.common import map_arrow, release, renamed, slices
 from millrace.session import scratch_path, settle
 
 CHUNK = 1 << 20
-LEVEL = 1
+LEVEL = 6
 #: Inflated bytes after which a task begins another archive.
 ARCHIVE_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
