@@ -41,6 +41,8 @@ _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _ROLE = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
+_RAW = re.compile(r"<(?:script|style|noscript|template|textarea|svg|math|iframe|object|title)\b", re.I)
+_QUOTE = re.compile("[\"']")
 
 #: Elements that make up a path.
 STRUCTURAL = frozenset(
@@ -66,14 +68,43 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _63 = (1 << 63) - 1
 #: Elements that say what the article is.
 ARTICLE = ("article", "main")
+#: Parts of a table end parts of their kind that are open in it: (ended, not beyond).
+ENDS = {"td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
+        "tr": (("tr", "td", "th"), ("table",)), "thead": (("thead", "tbody", "tr", "td", "th"), ("table",)),
+        "tbody": (("thead", "tbody", "tr", "td", "th"), ("table",))}
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
+    """An element with its surroundings: what is said of those holds of it too."""
+
     path: int
+    around: Element | None
     depth: int
     apart: bool
+    #: Whether it says it is the article, and whether it or one around it does.
     article: bool
+    in_article: bool
+    in_slot: bool
+
+
+def _pieces(page: str) -> Iterator[re.Match]:
+    """Matches of ``_TOKEN``; a tag that never ends fails once, not again at each ``<`` in it."""
+    last, dead, at = page.rfind(">"), 0, 0
+    while at < len(page):
+        if page[at] == "<" and not page.startswith(("<!", "<?"), at) and (
+                at > last or (at < dead and not _RAW.match(page, at))):
+            piece = _LESS.match(page, at)
+        else:
+            piece = _TOKEN.match(page, at)
+            if piece[0] == "<" and _NAME.match(page, at):
+                quote = _QUOTE.search(page, at)
+                dead = quote.start() if quote else len(page)
+        yield piece
+        at = piece.end()
+
+
+_LESS = re.compile("()<")
 
 
 def _apart(name: str, tag: str, inside_article: bool) -> bool:
@@ -101,39 +132,60 @@ def _label(name: str, tag: str) -> str:
     return name + "." + ".".join(marks) if marks else name
 
 
-def walk(page: str) -> Iterator[tuple[str, list[Element], str]]:
-    """What happens in a page: ('open', elements around and own, name), ('text', elements
-    around, text) and ('break', elements around, '')."""
-    root = Element(0, 0, False, False)
-    stack: list[tuple[str, Element]] = [("", root)]
-    for token in _TOKEN.finditer(page):
+class _Open:
+    """The open elements, and where each name stands among them."""
+
+    def __init__(self, root: Element):
+        self.names, self.elements, self.places = [""], [root], {}
+
+    def put(self, name: str, element: Element) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.elements.append(element)
+
+    def last(self, names) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def end(self, at: int) -> None:
+        """Close the element at place ``at`` and all in it."""
+        for name in self.names[at:]:
+            self.places[name].pop()
+        del self.names[at:], self.elements[at:]
+
+
+def walk(page: str, slot: int | None = None) -> Iterator[tuple[str, Element, str]]:
+    """What happens in a page: ('open', element, name), ('text', innermost element, text) and
+    ('break', innermost element, ''). Time and memory are linear in the page."""
+    open_ = _Open(Element(0, None, 0, False, False, False, slot == 0))
+    for token in _pieces(page):
         piece = token[0]
         if token[1] or piece.startswith(("<!", "<?")):
             continue
         name = _NAME.match(piece) if piece[0] == "<" else None
         if name is None:
-            yield "text", [e for _, e in stack], piece
+            yield "text", open_.elements[-1], piece
             continue
         name = name[1].lower()
         if name in BLOCK:
-            yield "break", [e for _, e in stack], ""
+            yield "break", open_.elements[-1], ""
         keeps = name in STRUCTURAL or name in APART
         if piece[1] == "/":
-            if keeps:
-                for at in range(len(stack) - 1, 0, -1):
-                    if stack[at][0] == name:
-                        del stack[at:]
-                        break
+            if keeps and (at := open_.last([name])):
+                open_.end(at)
             continue
-        around = stack[-1][1]
-        inside_article = any(e.article for _, e in stack)
+        if name in ENDS:
+            ended, within = ENDS[name]
+            while (at := open_.last(ended)) > open_.last(within):
+                open_.end(at)
+        around = open_.elements[-1]
         path = xxhash.xxh64_intdigest(_label(name, piece), around.path) >> 1
-        element = Element(path, around.depth + 1,
-                          around.apart or _apart(name, piece, inside_article),
-                          name in ARTICLE or _ROLE.search(piece) is not None)
-        yield "open", [*(e for _, e in stack), element], name
+        article = name in ARTICLE or _ROLE.search(piece) is not None
+        element = Element(path, around, around.depth + 1,
+                          around.apart or _apart(name, piece, around.in_article), article,
+                          around.in_article or article, around.in_slot or path == slot)
+        yield "open", element, name
         if keeps and not piece.endswith("/>"):
-            stack.append((name, element))
+            open_.put(name, element)
 
 
 def tokens(page: str) -> dict[int, list]:
@@ -143,20 +195,24 @@ def tokens(page: str) -> dict[int, list]:
     The kind is 1 for an element that says it is the article, -1 for others inside one.
     """
     found: dict[int, list] = {0: [1, 0, 0, 0, 0]}
-    for kind, around, value in walk(page):
+    parent = {0: 0}
+    for kind, e, value in walk(page):
         if kind == "open":
-            e = around[-1]
-            kind = 1 if e.article else -1 if any(o.article for o in around[:-1]) else 0
+            kind = 1 if e.article else -1 if e.around.in_article else 0
             own = found.setdefault(e.path, [0, e.depth, 0, 0, kind])
             own[0] += 1
-        elif kind == "text" and not around[-1].apart:
+            parent[e.path] = e.around.path
+        elif kind == "text" and not e.apart:
             value = value.strip()
             if value:
-                told = xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass"), around[-1].path)
-                for path in {e.path for e in around}:
-                    own = found[path]
-                    own[2] += len(value)
-                    own[3] += told
+                own = found[e.path]
+                own[2] += len(value)
+                own[3] += xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass"), e.path)
+    # A path names its parent's, so what is inside adds up level by level.
+    for path in sorted(parent, key=lambda p: -found[p][1])[:-1]:
+        around, own = found[parent[path]], found[path]
+        around[2] += own[2]
+        around[3] += own[3]
     return found
 
 
@@ -227,7 +283,7 @@ def main_text(page: str | None, slot: int | None = None) -> str:
     Without a slot, or on a page that lacks it, of its article elements; without those
     either, of the page.
     """
-    events = list(walk(page or ""))
+    events = list(walk(page or "", slot))
 
     def collect(inside):
         blocks, line = [], []
@@ -237,7 +293,7 @@ def main_text(page: str | None, slot: int | None = None) -> str:
                 line = []
             elif kind == "open":
                 continue
-            elif not around[-1].apart and inside(around):
+            elif not around.apart and inside(around):
                 line.append(html.unescape(value))
             elif line and not line[-1].endswith(" "):
                 line.append(" ")
@@ -247,9 +303,9 @@ def main_text(page: str | None, slot: int | None = None) -> str:
 
     found = ""
     if slot is not None:
-        found = collect(lambda around: any(e.path == slot for e in around))
+        found = collect(lambda around: around.in_slot)
     if not found:
-        found = collect(lambda around: any(e.article for e in around))
+        found = collect(lambda around: around.in_article)
     return found or collect(lambda around: True)
 
 

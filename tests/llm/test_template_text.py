@@ -41,15 +41,14 @@ def test_template_without_an_article_element(spark):
     assert [r.host for r in slots] == ["shop.example"]
     for row in template_text.extract(pages).collect():
         assert row.text == WANTED.format(f"n{row.page_id} word{row.page_id ** 2}")
-    story = [a[-1] for kind, a, _ in template_text.walk(SITE) if kind == "open"
-             and a[-1].path == slots[0].slot]
+    story = [e for kind, e, _ in template_text.walk(SITE) if kind == "open" and e.path == slots[0].slot]
     assert [(e.depth, e.apart) for e in story] == [(4, False)]
 
 
 def test_every_given_host_has_its_slot(spark):
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     slots = dict(map(tuple, template_text.templates(pages).collect()))
-    article = next(a[-1].path for kind, a, name in template_text.walk(pages.where("html LIKE '%lang=\"en\"%'").first().html)
+    article = next(e.path for kind, e, name in template_text.walk(pages.where("html LIKE '%lang=\"en\"%'").first().html)
                    if name == "article" and kind == "open")
     assert len(slots) == 60 and article in set(slots.values())
 
@@ -128,3 +127,30 @@ def test_names_of_headings_and_sections_drop_nothing():
     assert main_text(f"<article>{kept}{gone}</article>") == "\n".join("ABCDEFGH")
     other = kept.replace('<section id="comments">F</section>', "")
     assert main_text(other + gone + '<section id="comments">x</section>') == "\n".join("ABCDEGH")
+
+
+def test_parts_of_a_table_end_their_like():
+    rows = "".join(f"<tr><td>a{i}<td>b{i}<table><tr><td>in{i}</table>" for i in range(3))
+    closed = "".join(f"<tr><td>a{i}</td><td>b{i}<table><tr><td>in{i}</td></tr></table></td></tr>" for i in range(3))
+    tags = [template_text.tokens(f"<table>{t}</table><p>after") for t in (rows, closed)]
+    assert tags[0] == tags[1] and sorted(v[0] for v in tags[0].values()) == [1, 1, 1, 3, 3, 3, 3, 6]
+    assert main_text(f"<table>{rows}</table><p>after") == main_text(f"<table>{closed}</table><p>after")
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+    import tracemalloc
+    pages = {"cells": "<table>" + "<tr><td>x" * 100_000, "open tags": "<a " * 100_000,
+             "open tags and an end": "<a " * 100_000 + "\"<b>", "scripts": "<script " * 100_000,
+             "nested": "<div>x" * 100_000, "ends of nothing": "<div>" * 50_000 + "</nav>" * 50_000,
+             "cells in nothing": "<tr>" + "<div>" * 50_000 + "<td></td>" * 50_000}
+    for name, page in pages.items():
+        begun = time.process_time()
+        text, found = main_text(page), template_text.tokens(page)
+        assert time.process_time() - begun < 40, name
+        assert found[0][2] >= len(text.replace("\n", "").replace(" ", "")) or name == "scripts"
+    tracemalloc.start()
+    main_text("<table>" + "<tr><td>x" * 4000)
+    assert tracemalloc.get_traced_memory()[1] < 30e6
+    tracemalloc.stop()
+    assert main_text("<table>" + "<tr><td>x" * 1000) == "\n".join("x" * 1000)
