@@ -195,7 +195,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id",
 
 
 def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is recognised without ambiguity."""
+    """The rows of ``docs``, all columns, whose language is recognised without ambiguity.
+
+    NULL and empty texts and those without a letter are not recognised. Rows are judged one by
+    one, so rows that repeat are judged alike; ids are not read. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
