@@ -220,7 +220,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def without_benchmark(docs: DataFrame, items: DataFrame, text_col: str = "text",
                       item_text: str = "text", rate: float = ERROR_RATE,
                       block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item within its budget."""
+    """The rows of ``docs``, all columns, that hold no item within its budget.
+
+    NULL and empty texts hold none. Rows are judged one by one by their text, so rows that repeat
+    are judged alike; ids are not read. Without items all rows stay, and an empty table gives
+    no rows.
+    """
     place = docs.columns.index(text_col)
     queries = renamed(items.withColumn("__item", items[item_text]), item="__item", text=item_text)
     for block in _blocks(queries, rate, block_words):
