@@ -17,7 +17,7 @@ from millrace.sources.messages import decode
 
 def parse_events(messages: DataFrame, schema=APP_EVENTS) -> DataFrame:
     """Rows of the JSON array (or single object) in each message ``value``."""
-    events = decode(messages).select(F.explode(F.from_json("json_str", schema)).alias("event"))
+    events = decode(messages).select(F.explode(F.from_json("text", schema)).alias("event"))
     return events.select("event.*")
 
 

@@ -95,3 +95,9 @@ def monthly_trend(orders: DataFrame, order_time: str,
 def hourly_clicks(clicks: DataFrame, click_time: str) -> DataFrame:
     return (clicks.groupBy(F.hour(click_time).alias("hour"))
             .agg(F.count(F.lit(1)).alias("clicks")))
+
+
+def added_counts(partials: DataFrame, key: str) -> DataFrame:
+    """Partial counts of one kind, such as one per run, added up by ``key``."""
+    counts = [c for c in partials.columns if c != key]
+    return partials.groupBy(key).agg(*[F.sum(c).alias(c) for c in counts])

@@ -19,7 +19,7 @@ from millrace.sources.batches import (list_batches, mark_processed, next_batch,
                                       retire_batches)
 from millrace.sources.messages import await_or_stop, folder_stream, topic_stream
 from millrace.streaming.retrain import start_retraining, training_files
-from millrace.streaming.scoring import start_scoring
+from millrace.streaming.scoring import start_following, start_scoring
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 _PROMOTION = "run string, auc double, path string, at timestamp"
@@ -167,17 +167,22 @@ def retrain_on_new_batches(spark: SparkSession, folder: str, schema: StructType,
 def score_transactions(spark: SparkSession, store: ModelStore, schema: StructType, *, alerts: str,
                        checkpoint: str, servers: str | None = None,
                        topic: str = "financial-transactions", folder: str | None = None,
-                       available_now: bool = False, timeout: int | None = None) -> None:
+                       available_now: bool = False, timeout: int | None = None,
+                       follow: bool = False, once_within: str | None = None,
+                       max_files: int | None = None) -> None:
     """Score the stream of transactions with the production model and keep the alerts.
 
-    Messages come from a broker topic, or from a folder of message files.
+    Messages come from a broker topic, or from a folder of message files. With ``follow`` a
+    model promoted meanwhile scores from the next micro-batch on; ``once_within`` leaves out
+    what is sent again within that time.
     """
     model = store.production()
     if model is None:
         raise ValueError(f"no model was promoted in {store.root}")
-    messages = folder_stream(spark, folder) if folder else topic_stream(spark, servers, topic)
+    messages = folder_stream(spark, folder, max_files) if folder else topic_stream(spark, servers, topic)
     trigger = {"availableNow": True} if available_now else None
-    await_or_stop(start_scoring(messages, schema, model, alerts, checkpoint, trigger), timeout)
+    start, scorer = (start_following, store) if follow else (start_scoring, model)
+    await_or_stop(start(messages, schema, scorer, alerts, checkpoint, trigger, once_within), timeout)
 
 
 def train_next(spark: SparkSession, folder: str, processed: str, store: ModelStore,

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.orders import clean_orders, regions_complete
+from millrace.schemas import LANDED_ORDER
 from millrace.session import path_exists
-from millrace.sources.regions import (Region, archive, envelope_items, land, read_landing,
-                                      read_raw, region_of)
+from millrace.sources.published import PublishedRuns
+from millrace.sources.regions import (Region, archive, as_variant, declared_fields, envelope_items,
+                                      land, read_landing, read_raw, region_of, undeclared_fields)
 
 
 def land_payloads(payloads: dict[str, DataFrame], regions: list[Region], store: str) -> None:
@@ -33,6 +35,25 @@ def archive_landing(spark: SparkSession, regions: list[Region], store: str, run_
         archive(_raw(spark, group, store).withColumn("run_ts", F.lit(run_ts)), group[0].archive(store))
 
 
+def parse_landing(spark: SparkSession, regions: list[Region], store: str, location: str) -> DataFrame:
+    """Parse the landing files of all regions once, into ``location``: rows (datakey, item, unread).
+
+    ``curated`` and ``drift`` read these VARIANT values; no text is parsed again.
+    """
+    as_variant(_raw(spark, regions, store)).write.mode("overwrite").parquet(location)
+    return spark.read.parquet(location)
+
+
+def curated(parsed: DataFrame, strict: bool = False) -> DataFrame:
+    """Curated orders from parsed landing files; an unread item is a row of NULLs."""
+    return clean_orders(declared_fields(parsed, LANDED_ORDER), strict)
+
+
+def drift(parsed: DataFrame) -> DataFrame:
+    """What each region sends beside, or other than, the declared fields."""
+    return undeclared_fields(parsed, "datakey", LANDED_ORDER)
+
+
 def landing_status(spark: SparkSession, regions: list[Region], store: str) -> DataFrame:
     """Which regions delivered and which are missing, from one scan over all of them."""
     return regions_complete(_raw(spark, regions, store), "datakey", [r.datakey for r in regions])
@@ -56,6 +77,14 @@ def load_warehouse(spark: SparkSession, regions: list[Region], store: str, write
         write(transform(spark, group, store, strict), database, table)
 
 
+def warehouse_writer(spark: SparkSession, root: str, run_ts: str):
+    """A ``write`` whose target tables are published run by run: a run that is repeated, also
+    after it died half-way, leaves every row once and reads no target."""
+    def write(rows: DataFrame, database: str, table: str) -> None:
+        PublishedRuns(spark, f"{root.rstrip('/')}/{database}/{table}").append(rows, run_ts)
+    return write
+
+
 def run(spark: SparkSession, payloads: dict[str, DataFrame], regions: list[Region],
         store: str, run_ts: str, write) -> bool:
     land_payloads(payloads, regions, store)

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from millrace.operators.staging import (absent, new_by_index, new_rows, star_target, transformed_source,
-                                        with_fingerprint)
+from millrace.operators.staging import (absent, added_counts, hourly_clicks, monthly_trend, new_by_index,
+                                        new_rows, star_target, transformed_source, with_fingerprint)
 from millrace.schemas import LONG, STAGING_TABLES, struct
 from millrace.session import child_names, delete_path, path_exists, settle
 from millrace.sources.buckets import BucketedFolder, bucket_count
 from millrace.sources.jdbc import Database, ReadSplit, read_jdbc, write_jdbc
+from millrace.sources.published import PublishedRuns
 from millrace.sources.tables import empty_relation, read_csv, select_schema
 
 MODES = ("append_new", "replace")
@@ -149,3 +150,36 @@ def load_star(fresh: dict[str, DataFrame], write, loaded=None) -> dict[str, str]
             write(rows, target)
         targets[table] = target
     return targets
+
+
+def star_writer(spark: SparkSession, root: str, run: str):
+    """A ``write`` for ``load_star`` and ``load_transformed`` whose targets are published run by
+    run: a repeated load leaves every row once and reads no target."""
+    def write(rows: DataFrame, target: str) -> None:
+        PublishedRuns(spark, f"{root.rstrip('/')}/{target}").append(rows, run)
+    return write
+
+
+class Trends:
+    """Monthly and hourly counts kept up to date: each staging run adds the counts of its own rows.
+
+    Runs may come in any order, with rows of any month. A run that is repeated replaces its
+    counts. Reading adds up one small table per run; staged rows are never read.
+    """
+
+    MONTHLY, HOURLY = "month date, orders bigint, clicks bigint", "hour int, clicks bigint"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._monthly = PublishedRuns(spark, f"{root.rstrip('/')}/monthly")
+        self._hourly = PublishedRuns(spark, f"{root.rstrip('/')}/hourly")
+
+    def add(self, run: str, orders: DataFrame, order_time: str, clicks: DataFrame, click_time: str) -> None:
+        """Count the new rows of ``run``, as ``stage`` returned them."""
+        self._monthly.replace(monthly_trend(orders, order_time, clicks, click_time).coalesce(1), run)
+        self._hourly.replace(hourly_clicks(clicks, click_time).coalesce(1), run)
+
+    def monthly(self) -> DataFrame:
+        return added_counts(self._monthly.read(self.MONTHLY), "month")
+
+    def hourly(self) -> DataFrame:
+        return added_counts(self._hourly.read(self.HOURLY), "hour")

@@ -12,8 +12,8 @@ from millrace.queries import table
 from millrace.schemas import TRANSACTION_LABEL
 from millrace.session import scratch_path, settle
 from millrace.sources.batches import list_batches, next_batch
-from millrace.sources.messages import publish
-from millrace.streaming.scoring import ALERT_TEXT, with_transaction_id
+from millrace.sources.messages import folder_stream, publish
+from millrace.streaming.scoring import ALERT_TEXT, start_following, with_transaction_id
 
 # Labelled rows to fit on; every row is split, scored and reported.
 FIT_ROWS = 20_000
@@ -216,6 +216,42 @@ def score_stream_alerts(spark, folder):
     return spark.read.schema("transaction_id string, alert string").parquet(f"{root}/alerts")
 
 
+def score_repeated_messages(spark, folder):
+    """Every transaction sent three times: twice before the first start of the stream, in
+    other batches, and again before the second start. Each alert comes once."""
+    root = scratch_path(spark, "repeated")
+    rows, store = _plain_run(spark, folder)
+    unlabelled = rows.drop(TRANSACTION_LABEL)
+    for sent in (2, 1):
+        for _ in range(sent):
+            publish(unlabelled, f"{root}/messages")
+        score_transactions(spark, store, unlabelled.schema, alerts=f"{root}/alerts", max_files=5,
+                           checkpoint=f"{root}/checkpoint", folder=f"{root}/messages",
+                           available_now=True, once_within="1 day")
+    return spark.read.schema("transaction_id string, alert string").parquet(f"{root}/alerts")
+
+
+def score_following_model(spark, folder):
+    """A model is promoted while the stream runs: later messages are scored by it."""
+    root, store = scratch_path(spark, "following"), _store(spark)
+    rows = settle(order_transactions(spark, folder))
+    schema, query = rows.drop(TRANSACTION_LABEL).schema, None
+    try:
+        for run, batch in (("early", rows.where("step < 1200")), ("late", rows.where("step >= 1200"))):
+            train_and_promote(settle(batch), store, run, order=_order(_key()), params=PLAIN,
+                              gate=PLAIN_GATE, edges=CUTS)
+            publish(batch.drop(TRANSACTION_LABEL), f"{root}/messages")
+            query = query or start_following(folder_stream(spark, f"{root}/messages"), schema, store,
+                                             f"{root}/alerts", f"{root}/checkpoint")
+            query.processAllAvailable()
+    finally:
+        if query:
+            query.stop()
+    found = spark.read.schema("transaction_id string, model string").option(
+        "recursiveFileLookup", "true").parquet(f"{root}/alerts")
+    return found.withColumn("model", F.substring_index("model", "/", -1))
+
+
 QUERIES = {
     "stratified_split": stratified_split_query,
     "imbalance_ratio": imbalance_ratio,
@@ -231,6 +267,8 @@ QUERIES = {
     "staged_auc": staged_auc,
     "warm_start": warm_start,
     "score_stream_alerts": score_stream_alerts,
+    "score_repeated_messages": score_repeated_messages,
+    "score_following_model": score_following_model,
 }
 
 _LABELLED = "SELECT *, CAST(o_orderstatus = 'F' AS INTEGER) AS label FROM orders"
@@ -337,7 +375,7 @@ def _trees_sql(name, first=0):
                round(value, 6) AS value, round(cover, 3) AS cover FROM {name}_trees"""
 
 
-def _late_sql():
+def _late_sql(select):
     """The second batch starts from the margin of the first one's trees."""
     early = _rounds_sql("early", f"SELECT *, 0.0::DOUBLE AS m FROM ({_parts_sql('step < 1200')}) p", PLAIN.rounds)
     ctes, last = [_cuts_sql(), *early, f"late_x0 AS MATERIALIZED (SELECT *, 0.0::DOUBLE AS m FROM ({_parts_sql('step >= 1200')}) p)"], "late_x0"
@@ -352,7 +390,7 @@ def _late_sql():
             SELECT l.* EXCLUDE (leaf, m), m + value AS m FROM ({at}) l JOIN early_{r}_t t ON t.node = leaf)""")
         last = f"late_x{r + 1}"
     ctes += _rounds_sql("late", f"SELECT * FROM {last}", PLAIN.rounds, PLAIN.rounds)
-    return ("WITH " + ",\n".join(ctes) + _trees_sql("early") + " UNION ALL " + _trees_sql("late", PLAIN.rounds))
+    return "WITH " + ",\n".join(ctes) + select
 
 
 def _report_sql(scored):
@@ -413,6 +451,10 @@ def _auc_sql(score):
         FROM ranked"""
 
 
+_ALERTS = f"""
+    SELECT 'txn_' || step || "nameOrig" || "nameDest" AS transaction_id,
+           '{ALERT_TEXT}' || 'txn_' || step || "nameOrig" || "nameDest" AS alert
+    FROM first_m{PLAIN.rounds} WHERE m > 0"""
 ORACLE = {
     "stratified_split": _SPLIT,
     "imbalance_ratio": f"""
@@ -476,9 +518,10 @@ ORACLE = {
     "staged_auc": _plain_sql(" UNION ALL ".join(
         f" SELECT CAST({r} AS INTEGER) AS round, * FROM ({_margin_auc_sql(f'first_m{r + 1}')}) a{r}"
         for r in range(PLAIN.rounds))),
-    "warm_start": _late_sql(),
-    "score_stream_alerts": _plain_sql(f"""
-        SELECT 'txn_' || step || "nameOrig" || "nameDest" AS transaction_id,
-               '{ALERT_TEXT}' || 'txn_' || step || "nameOrig" || "nameDest" AS alert
-        FROM first_m{PLAIN.rounds} WHERE m > 0"""),
+    "warm_start": _late_sql(_trees_sql("early") + " UNION ALL " + _trees_sql("late", PLAIN.rounds)),
+    "score_stream_alerts": _plain_sql(_ALERTS),
+    "score_repeated_messages": _plain_sql(_ALERTS),
+    "score_following_model": _late_sql(" UNION ALL ".join(f"""
+        SELECT 'txn_' || step || "nameOrig" || "nameDest" AS transaction_id, '{run}' AS model
+        FROM {run}_m{PLAIN.rounds} WHERE m > 0""" for run in ("early", "late"))),
 }

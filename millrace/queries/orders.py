@@ -102,6 +102,34 @@ def regional_archive(spark, folder):
                          "datakey")
 
 
+def _parsed(spark, folder):
+    """Landed and parsed by the job's functions. Each region has fields of its own: nested
+    ones, some that not all orders hold, one of two types, a declared one as a number."""
+    store = scratch_path(spark, "drifting")
+    regions = [Region("/x", status, "shop", f"orders-{status}.json", "dw", "orders") for status in ("F", "O", "P")]
+    number = F.col("order-id").cast("bigint")
+    coupon = F.struct(F.concat(F.lit("c"), "order-id").alias("code"), F.array(number, F.lit(1)).alias("uses"))
+    weight = F.parse_json(F.when(number % 3 == 0, '"heavy"').otherwise(F.col("order-id")))
+    own = {"F": {"coupon": coupon}, "P": {"weight": weight},
+           "O": {"gift": F.when(number % 7 == 0, number % 2 == 0), "comment": number}}
+    rows, payloads = landed_orders(spark, folder), {}
+    for region in regions:
+        items = rows.where(F.col("payment method") == region.datakey).withColumns(own[region.datakey])
+        payloads[region.datakey] = items.select(
+            F.to_json(F.struct(F.array(F.struct("*")).alias(region.datakey))).alias("value"))
+    regional_orders.land_payloads(payloads, regions, store)
+    return regional_orders.parse_landing(spark, regions, store, f"{store}/parsed")
+
+
+def parsed_orders(spark, folder):
+    """Curated orders from the values parsed at landing."""
+    return _comparable(regional_orders.curated(_parsed(spark, folder)))
+
+
+def undeclared_fields(spark, folder):
+    return regional_orders.drift(_parsed(spark, folder))
+
+
 def envelope_extract(spark, folder):
     """Payloads of none, one or two orders under a key that differs by region, beside
     keys that hold a number, a text and an object."""
@@ -141,6 +169,8 @@ QUERIES = {
     "regional_archive": regional_archive,
     "publish_json": publish_json,
     "order_json": order_json,
+    "parsed_orders": parsed_orders,
+    "undeclared_fields": undeclared_fields,
 }
 
 _LANDED = """
@@ -211,4 +241,15 @@ ORACLE = {
         SELECT '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey ||
                ',"o_orderstatus":"' || o_orderstatus || '"}' AS value
         FROM orders""",
+    "parsed_orders": f"""
+        SELECT * REPLACE (CASE WHEN "payment method" = 'O' THEN "order-id" ELSE comment END AS comment)
+        FROM ({_CLEAN}) clean""",
+    "undeclared_fields": """
+        SELECT 'F' AS datakey, 'coupon' AS field, NULL::VARCHAR AS declared,
+               'OBJECT<code: STRING, uses: ARRAY<BIGINT>>' AS type, count(*) AS items
+        FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT 'O', 'gift', NULL, 'BOOLEAN', count(*)
+        FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 7 = 0
+        UNION ALL SELECT 'O', 'comment', 'STRING', 'BIGINT', count(*) FROM orders WHERE o_orderstatus = 'O'
+        UNION ALL SELECT 'P', 'weight', NULL, 'VARIANT', count(*) FROM orders WHERE o_orderstatus = 'P'""",
 }

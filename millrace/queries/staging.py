@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from millrace.operators import staging as operators
-from millrace.plans.staging_loads import FolderStaging, load_star, stage
+from millrace.plans.staging_loads import FolderStaging, Trends, load_star, stage, star_writer
 from millrace.queries import table
 from millrace.session import scratch_path
+from millrace.sources.published import PublishedRuns
 from millrace.sources.tables import read_csv, write_csv
 
 STAGED_BEFORE = "2024-01-16"
@@ -113,6 +114,45 @@ def hourly_clicks(spark, folder):
     return operators.hourly_clicks(clicks, "ts")
 
 
+def load_star_published(spark, folder):
+    """Two deliveries of the facts; the second load dies before its files are published, is
+    run again, and then once more."""
+    root, targets = scratch_path(spark, "published"), ("fact_orders", "fact_clicks")
+    orders, clicks = table(spark, folder, "orders"), table(spark, folder, "events")
+    def delivery(day):
+        return {"orders": orders.where(f"(o_orderdate < DATE '1996-01-01') = {day}").selectExpr(
+                    "CAST(o_orderkey AS STRING) AS id", "CAST(o_custkey AS STRING) AS by"),
+                "clickstream": clicks.where(f"(ts < TIMESTAMP '{STAGED_BEFORE}') = {day}").selectExpr(
+                    "CAST(event_id AS STRING) AS id", "CAST(user_id AS STRING) AS by")}
+
+    load_star(delivery("true"), star_writer(spark, root, "1"))
+    PublishedRuns(spark, f"{root}/fact_orders").write(delivery("false")["orders"])
+    for _ in range(2):
+        load_star(delivery("false"), star_writer(spark, root, "2"))
+    found = [PublishedRuns(spark, f"{root}/{t}").read("id string, by string").withColumn("target", F.lit(t))
+             for t in targets]
+    return found[0].unionByName(found[1])
+
+
+def _trends(spark, folder):
+    """Orders by year and clicks by day of the month as runs, late ones first, one repeated."""
+    trends = Trends(spark, scratch_path(spark, "trends"))
+    orders = table(spark, folder, "orders")
+    clicks = table(spark, folder, "events").where("event_type = 'click'")
+    for part in (2, 0, 1, 2):
+        trends.add(f"run-{part}", orders.where(F.year("o_orderdate") % 3 == part), "o_orderdate",
+                   clicks.where(F.day("ts") % 3 == part), "ts")
+    return trends
+
+
+def monthly_trend_by_run(spark, folder):
+    return _trends(spark, folder).monthly()
+
+
+def hourly_clicks_by_run(spark, folder):
+    return _trends(spark, folder).hourly()
+
+
 QUERIES = {
     "staging_new_rows": staging_new_rows,
     "staging_by_index": staging_by_index,
@@ -122,10 +162,23 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "monthly_trend": monthly_trend,
     "hourly_clicks": hourly_clicks,
+    "load_star_published": load_star_published,
+    "monthly_trend_by_run": monthly_trend_by_run,
+    "hourly_clicks_by_run": hourly_clicks_by_run,
 }
 
 _RAW = "SELECT user_id, event_type AS product_id, CAST(ts AS DATE) AS day FROM events"
 _STAGED = f"SELECT * FROM ({_RAW}) raw WHERE day < DATE '{STAGED_BEFORE}'"
+_MONTHLY = """
+    SELECT coalesce(o.month, c.month) AS month, coalesce(orders, 0) AS orders,
+           coalesce(clicks, 0) AS clicks
+    FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders
+          FROM orders GROUP BY 1) o
+    FULL JOIN (SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS clicks
+               FROM events WHERE event_type = 'click' GROUP BY 1) c ON o.month = c.month"""
+_HOURLY = """
+    SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS clicks
+    FROM events WHERE event_type = 'click' GROUP BY 1"""
 
 ORACLE = {
     "staging_new_rows": f"{_RAW} EXCEPT {_STAGED}",
@@ -147,14 +200,11 @@ ORACLE = {
         SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
                p_type AS category, p_retailprice AS price, p_size AS stock
         FROM part""",
-    "monthly_trend": """
-        SELECT coalesce(o.month, c.month) AS month, coalesce(orders, 0) AS orders,
-               coalesce(clicks, 0) AS clicks
-        FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders
-              FROM orders GROUP BY 1) o
-        FULL JOIN (SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS clicks
-                   FROM events WHERE event_type = 'click' GROUP BY 1) c ON o.month = c.month""",
-    "hourly_clicks": """
-        SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS clicks
-        FROM events WHERE event_type = 'click' GROUP BY 1""",
+    "monthly_trend": _MONTHLY,
+    "hourly_clicks": _HOURLY,
+    "monthly_trend_by_run": _MONTHLY,
+    "hourly_clicks_by_run": _HOURLY,
+    "load_star_published": """
+        SELECT 'fact_orders' AS target, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS "by" FROM orders
+        UNION ALL SELECT 'fact_clicks', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR) FROM events""",
 }

@@ -32,7 +32,7 @@ def folder_stream(spark: SparkSession, location: str, max_files: int | None = No
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    return messages.selectExpr("CAST(value AS STRING) AS json_str")
+    return messages.selectExpr("CAST(value AS STRING) AS text")
 
 
 def parse_rows(messages: DataFrame, schema) -> DataFrame:
@@ -40,7 +40,19 @@ def parse_rows(messages: DataFrame, schema) -> DataFrame:
 
     The generator keeps later filters from being pushed into a second parse.
     """
-    return decode(messages).select(F.inline(F.array(F.from_json("json_str", schema))))
+    return decode(messages).select(F.inline(F.array(F.from_json("text", schema))))
+
+
+def first_within(rows: DataFrame, within: str, key) -> DataFrame:
+    """Leave out rows of a stream whose ``key`` (a name or a column) came before within that time.
+
+    Time is that of the micro-batch a row arrives in, which a repeated batch keeps. So no row
+    is ever late and dropped for it, and keys are forgotten once ``within`` has passed.
+    """
+    told = rows.withColumns({"__key": F.col(key) if isinstance(key, str) else key,
+                             "__arrived": F.current_timestamp()})
+    return (told.withWatermark("__arrived", within).dropDuplicatesWithinWatermark(["__key"])
+            .select(*[F.col(f"`{c}`") for c in rows.columns]))
 
 
 def to_messages(rows: DataFrame) -> DataFrame:

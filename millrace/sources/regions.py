@@ -69,6 +69,46 @@ def parse_items(items: DataFrame, item_schema) -> DataFrame:
     return items.select(*rest, F.explode(F.array(parsed)).alias("__item")).select("__item.*", *rest)
 
 
+def as_variant(items: DataFrame) -> DataFrame:
+    """Items parsed once: ``value`` becomes the VARIANT ``item``, NULL where the text is no JSON
+    object or names a key twice; ``unread`` keeps the text of those."""
+    object_ = F.when(F.ltrim("value").startswith("{"), F.try_parse_json("value"))
+    rest = [F.col(f"`{c}`") for c in items.columns if c != "value"]
+    return items.select(*rest, F.explode(F.array(F.struct(object_.alias("item"), "value"))).alias("__read")).select(
+        *rest, "__read.item", F.when(F.col("__read.item").isNull(), F.col("__read.value")).alias("unread"))
+
+
+def declared_fields(parsed: DataFrame, schema: StructType) -> DataFrame:
+    """The fields of ``schema`` from the column ``item``; NULL where absent or not convertible.
+    Items that could not be read are rows of NULLs. Further columns are kept."""
+    rest = [F.col(f"`{c}`") for c in parsed.columns if c not in ("item", "unread")]
+    return parsed.select(*[
+        F.try_variant_get("item", f'$["{f.name}"]', f.dataType.simpleString()).alias(f.name)
+        for f in schema.fields], *rest)
+
+
+def undeclared_fields(parsed: DataFrame, by: str, schema: StructType) -> DataFrame:
+    """Fields that ``schema`` does not declare, or that came as another type: rows (``by``,
+    field, declared, type, items).
+
+    ``type`` is one that holds all values of the group, nested fields included (VARIANT if none
+    does; a whole number beside a decimal one counts as one of 20 digits); ``items`` counts those that hold the field, JSON null too. Items
+    that could not be read, or without any field, are counted under a NULL field. Values
+    meet per task first, so what is shuffled grows with the number of fields.
+    """
+    fields = parsed.select(F.col(f"`{by}`").alias("__by"), "item").lateralJoin(
+        parsed.sparkSession.tvf.variant_explode_outer(F.col("item").outer()))
+    found = fields.groupBy("__by", "key").agg(
+        F.schema_of_variant_agg("value").alias("type"), F.count(F.lit(1)).alias("items"))
+    declared = F.create_map(*[F.lit(x) for f in schema.fields
+                              for x in (f.name, f.dataType.simpleString().upper())])
+    return found.select(
+        F.col("__by").alias(by), F.col("key").alias("field"),
+        F.try_element_at(declared, F.col("key")).alias("declared"),
+        F.when(F.col("key").isNotNull(), F.col("type")).alias("type"), "items",
+    ).where("field IS NULL OR declared IS NULL OR type NOT IN (declared, 'VOID')")
+
+
 def land(items: DataFrame, location: str) -> None:
     """Replace the landing folder with the raw items, one JSON text per line."""
     items.select("value").write.mode("overwrite").text(location)

@@ -15,7 +15,7 @@ from millrace.plans.fraud import (ModelStore, retrain_on_new_batches, score_tran
 from millrace.sources.batches import read_processed
 from millrace.sources.messages import folder_stream, publish
 from millrace.streaming.retrain import start_retraining, training_files
-from millrace.streaming.scoring import fraud_alerts, start_scoring
+from millrace.streaming.scoring import fraud_alerts, start_following, start_scoring
 from tests.helpers import rows, values
 
 SMALL = M.BoostingParams(rounds=3, depth=3, learning_rate=0.5)
@@ -298,3 +298,96 @@ def test_stream_alerts_equal_batch_alerts(spark, tmp_path):
                                    "step int, nameOrig string, nameDest string")
     from millrace.streaming.scoring import with_transaction_id
     assert with_transaction_id(sample).first()["transaction_id"] == "txn_124C123456789C987654321"
+
+
+@pytest.fixture
+def two_models(spark, tmp_path):
+    """Unlabelled transactions and a store with a first model; promote(n) adds another one."""
+    store = ModelStore(spark, str(tmp_path / "models"))
+    labelled = transactions(spark)
+    train = M.drop_identifiers(labelled)
+
+    def promote(run, flip=False):
+        given = train.withColumn("isFraud", 1 - F.col("isFraud")) if flip else train
+        model = M.train_model(given, M.numeric_columns(given), params=SMALL, run=run)
+        store.promote(run, 1.0, store.save_candidate(run, model))
+        return model
+
+    return labelled.drop("isFraud"), store, promote
+
+
+def test_messages_sent_again_raise_one_alert(spark, tmp_path, two_models):
+    given, store, promote = two_models
+    expected = rows(fraud_alerts(given, promote("one")))
+    folder, alerts = str(tmp_path / "messages"), str(tmp_path / "alerts")
+    for sent in (3, 1, 1):  # within a batch, across batches, over a restart
+        for _ in range(sent):
+            publish(given, folder)
+        values(spark, ["garbage", "garbage"]).write.mode("append").text(folder)
+        score_transactions(spark, store, given.schema, alerts=alerts, checkpoint=str(tmp_path / "c"),
+                           folder=folder, max_files=3, available_now=True, once_within="2 hours")
+        assert rows(spark.read.parquet(alerts)) == expected
+
+
+def test_two_transactions_of_one_id_both_count(spark, tmp_path, two_models):
+    """The id is not the message: one that is no fraud does not hide the one that is."""
+    given, store, promote = two_models
+    alert = fraud_alerts(given, promote("one")).first()["transaction_id"]
+    row = given.where(F.concat(F.lit("txn_"), "step", "nameOrig", "nameDest") == alert)
+    for follow in (False, True):
+        folder, alerts = str(tmp_path / f"in{follow}"), str(tmp_path / f"alerts{follow}")
+        for amount in (F.lit(0.0), F.col("amount")):
+            publish(row.withColumn("amount", amount), folder)
+        score_transactions(spark, store, given.schema, alerts=alerts, checkpoint=str(tmp_path / f"c{follow}"),
+                           folder=folder, max_files=1, available_now=True, once_within="2 hours", follow=follow)
+        found = spark.read.option("recursiveFileLookup", "true").parquet(alerts)
+        assert alert in {r["transaction_id"] for r in found.collect()}
+
+
+def test_a_promoted_model_scores_the_next_batch(spark, tmp_path, two_models):
+    given, store, promote = two_models
+    early, late = given.where("step % 2 = 0"), given.where("step % 2 = 1")
+    folder, alerts, checkpoint = (str(tmp_path / n) for n in ("messages", "alerts", "checkpoint"))
+
+    def found():
+        rows_ = spark.read.option("recursiveFileLookup", "true").parquet(alerts)
+        return rows(rows_.select("transaction_id", F.substring_index("model", "/", -1)))
+
+    def of(batch, model, run):
+        return [(r[0], run) for r in rows(fraud_alerts(batch, model))]
+
+    one = promote("one")
+    publish(early, folder)
+    query = start_following(folder_stream(spark, folder), given.schema, store, alerts, checkpoint)
+    try:
+        query.processAllAvailable()
+        assert found() == sorted(of(early, one, "one"), key=repr)
+        two = promote("two", flip=True)
+        publish(late, folder)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    expected = sorted(of(early, one, "one") + of(late, two, "two"), key=repr)
+    assert found() == expected
+
+    # The last batch runs again, as after a crash before its commit: it keeps its model.
+    promote("three")
+    commits = sorted((p for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit()),
+                     key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    start_following(folder_stream(spark, folder), given.schema, store, alerts, checkpoint,
+                    {"availableNow": True}).awaitTermination(120)
+    assert found() == expected
+
+
+def test_following_wants_a_model_and_leaves_out_repeats(spark, tmp_path, two_models):
+    given, store, promote = two_models
+    folder, alerts = str(tmp_path / "messages"), str(tmp_path / "alerts")
+    expected = rows(fraud_alerts(given, promote("one")))
+    for _ in range(2):
+        publish(given, folder), publish(given, folder)
+        score_transactions(spark, store, given.schema, alerts=alerts, checkpoint=str(tmp_path / "c"), max_files=2,
+                           folder=folder, available_now=True, follow=True, once_within="1 day")
+        found = spark.read.option("recursiveFileLookup", "true").parquet(alerts)
+        assert rows(found.select("transaction_id", "alert")) == expected

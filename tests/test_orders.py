@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import json
+from collections import Counter
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from millrace.operators.orders import clean_orders, order_rejects, regions_complete, union_regions
 from millrace.plans import regional_orders
 from millrace.schemas import CURATED_ORDER, LANDED_ORDER
-from millrace.sources.regions import (Region, archive, envelope_items, extract_envelope, land,
-                                      load_regions, read_archive, read_landing)
+from millrace.sources.published import PublishedRuns
+from millrace.sources.regions import (Region, archive, as_variant, declared_fields, envelope_items,
+                                      extract_envelope, land, load_regions, read_archive, read_landing,
+                                      undeclared_fields)
 from millrace.sources.tables import empty_relation
 from tests.helpers import rows, values
 
@@ -198,3 +201,50 @@ def test_archive_keeps_every_field_and_the_keys_as_text(spark, tmp_path):
     assert stored.dtypes == [("value", "string"), ("datakey", "string")]
     assert [(json.loads(v), k) for v, k in rows(stored.orderBy("datakey"))] == [
         ({"order-id": "o1", "coupon": "c", "seller": {"id": 7}}, k) for k in ("0", "1")]
+
+
+def test_declared_fields_of_parsed_items(spark):
+    given = ['{"order-id":"o1","price":"$3","rating":4,"date":null,"more":[1,{"a":2}]}',
+             '{"order-id":{"n":1},"price":2.5}', " {}", "", "null", "[1]", "no json", '{"price":1,"price":2}', None]
+    found = declared_fields(as_variant(values(spark, given)), LANDED_ORDER)
+    assert found.columns == LANDED_ORDER.names
+    assert Counter(tuple(r) for r in found.select("order-id", "price", "rating", "date").collect()) == Counter(
+        [("o1", "$3", "4", None), ('{"n":1}', "2.5", None, None), *[(None,) * 4] * 7])
+    unread = as_variant(values(spark, given)).where("item IS NULL").select("unread")
+    assert Counter(r[0] for r in unread.collect()) == Counter(["", "null", "[1]", "no json", given[7], None])
+
+
+def test_undeclared_fields(spark):
+    texts = [("a", '{"order-id":"1","price":2,"note":null,"item":1,"by":"x"}'), ("a", '{"note":null,"item":"t"}'),
+             ("a", '{"price":"3"}'), ("b", '{"price":null,"deep":{"x":[{"y":true}]}}'), ("b", "{}"), ("b", "[1,2]"),
+             (None, '{"new":1.5}'), (None, '{"new":10}')]
+    parsed = as_variant(spark.createDataFrame(texts, "by string, value string"))
+    assert rows(undeclared_fields(parsed, "by", LANDED_ORDER)) == sorted([
+        ("a", "price", "STRING", "VARIANT", 2), ("a", "note", None, "VOID", 2), ("a", "item", None, "VARIANT", 2),
+        ("a", "by", None, "STRING", 1), ("b", "deep", None, "OBJECT<x: ARRAY<OBJECT<y: BOOLEAN>>>", 1),
+        ("b", None, None, None, 2), (None, "new", None, "DECIMAL(21,1)", 2)], key=repr)
+    assert rows(undeclared_fields(parsed.where("false"), "by", LANDED_ORDER)) == []
+
+
+def test_values_meet_per_task_before_the_shuffle(spark):
+    parsed = as_variant(spark.createDataFrame([("a", "{}")], "by string, value string"))
+    plan = undeclared_fields(parsed, "by", LANDED_ORDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_schema_of_variant_agg" in plan
+
+
+def test_parsed_landing_equals_the_text(spark, tmp_path, regions):
+    store = str(tmp_path / "store")
+    payloads = {r.datakey: payload(spark, r.datakey, n + 1) for n, r in enumerate(regions)}
+    regional_orders.land_payloads(payloads, regions, store)
+    parsed = regional_orders.parse_landing(spark, regions, store, f"{store}/parsed")
+    assert rows(regional_orders.curated(parsed)) == rows(regional_orders.transform(spark, regions, store))
+    assert rows(regional_orders.drift(parsed)) == []
+
+
+def test_a_repeated_run_loads_the_warehouse_once(spark, tmp_path, regions):
+    store, root = str(tmp_path / "store"), str(tmp_path / "warehouse")
+    payloads = {r.datakey: payload(spark, r.datakey, 2) for r in regions}
+    for run_ts in ("t1", "t1", "t2"):
+        assert regional_orders.run(spark, payloads, regions, store, run_ts,
+                                   regional_orders.warehouse_writer(spark, root, run_ts))
+    assert PublishedRuns(spark, f"{root}/dw/orders").read(CURATED_ORDER).count() == 12
