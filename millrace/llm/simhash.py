@@ -7,6 +7,10 @@ is within one bit of an anchor) and the rest as it is. A fingerprint goes to eve
 within covering radius plus threshold, and is *at home* at its nearest one. Of a near
 pair the second reaches the first one's home, so at an anchor only pairs with a member at
 home are compared. Equal fingerprints are one node, however many documents share them.
+
+An anchor that is home to many is dealt into a square of cells: its home members over the
+rows, all its members over the columns. A member goes to every cell of its row or column,
+so each pair that has to be compared meets in one cell, and no task gets the whole anchor.
 """
 
 from __future__ import annotations
@@ -29,9 +33,14 @@ MAX_BITS = 4
 #: Bits of each segment: 15 coded ones and the free rest.
 SEGMENTS = (21, 21, 22)
 CODED = 15
-#: Pairs compared at a time; above it an anchor's fingerprints are linked one by one.
+#: Pairs compared at a time, of anchors with few; above ``SMALL`` pairs an anchor's
+#: fingerprints are linked one by one.
 PAIRS = 1 << 20
 SMALL = 256
+#: Fingerprints at home at one anchor, above which it is dealt into cells.
+HOT_HOMES = 1 << 14
+#: Copies of fingerprints made at a time.
+COPIES = 1 << 20
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -119,6 +128,69 @@ def anchors(bits: np.ndarray, max_bits: int = MAX_BITS):
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(home)
 
 
+def home_anchors(bits: np.ndarray) -> np.ndarray:
+    """The anchors at which unsigned fingerprints are at home, one of each segment."""
+    nearest, keys, shift = _code(1)[0][:, 0], [], 0
+    for number, size in enumerate(SEGMENTS):
+        part = (bits >> np.uint64(shift)).astype(np.int64) & ((1 << size) - 1)
+        shift += size
+        keys.append(nearest[part & ((1 << CODED) - 1)] << 7 | part >> CODED | number << 22)
+    return np.concatenate(keys)
+
+
+def _hot_anchors(points, hot_homes):
+    """(anchors, sides of their squares) of the anchors above ``hot_homes``, in order.
+
+    There are 2^19 anchors at all, whatever the input: that bounds what comes to the driver.
+    """
+    def count(batch):
+        keys, homes = np.unique(home_anchors(np.asarray(batch.column(0)).view(np.uint64)), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(homes)], ["anchor", "homes"])
+
+    def work(batches):
+        return (count(b.slice(at, 1 << 16)) for b in batches for at in range(0, b.num_rows, 1 << 16))
+
+    counts = map_arrow(points.select("bits"), work, "anchor bigint, homes bigint")
+    hot = (counts.groupBy("anchor").agg(F.sum("homes").alias("homes"))
+           .where(F.col("homes") > hot_homes).collect())
+    hot = sorted((r["anchor"], -(-r["homes"] // hot_homes)) for r in hot)
+    return np.array([a for a, _ in hot], np.int64), np.array([n for _, n in hot], np.int64)
+
+
+def _scatter(bits):
+    mixed = bits * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed ^ mixed >> np.uint64(32)).astype(np.int64) & ((1 << 62) - 1)
+
+
+def cells(bits, rows, keys, home, hot):
+    """Yield (rows, cells, home) for the output of ``anchors``: an anchor is one cell unless
+    it is ``hot``."""
+    hot_keys, sides = hot
+    if not len(hot_keys):
+        yield rows, keys << 32, home
+        return
+    at = np.minimum(np.searchsorted(hot_keys, keys), len(hot_keys) - 1)
+    is_hot = hot_keys[at] == keys
+    yield rows[~is_hot], keys[~is_hot] << 32, home[~is_hot]
+    rows, keys, home, side = rows[is_hot], keys[is_hot], home[is_hot], sides[at[is_hot]]
+    place = _scatter(bits[rows])
+    row, column = (place >> 31) % side, (place & ((1 << 31) - 1)) % side
+    part = np.cumsum(2 * side) // COPIES
+    for number in np.unique(part):
+        own = np.flatnonzero(part == number)
+        copy = np.repeat(own, side[own])
+        step = np.arange(len(copy)) - np.repeat(np.cumsum(side[own]) - side[own], side[own])
+        # Down its column as one of all; along its row too if at home.
+        down = ~(home[copy] & (step == row[copy]))
+        member = copy[down]
+        yield rows[member], keys[member] << 32 | step[down] * side[member] + column[member], np.zeros(len(member), bool)
+        along = home[copy]
+        member = copy[along]
+        yield rows[member], keys[member] << 32 | row[member] * side[member] + step[along], np.ones(len(member), bool)
+
+
 def _link_large(bits, home, nodes, limit, link):
     """Walk a large anchor's fingerprints outwards; each one is reached once."""
     open_ = np.arange(len(bits))
@@ -149,22 +221,25 @@ def _link_small(bits, home, nodes, starts, sizes, limit, link):
         link(a, b)
 
 
-def near_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def near_links(points: DataFrame, max_bits: int = MAX_BITS, hot_homes: int = HOT_HOMES) -> DataFrame:
     """Links (a, b) that connect the nodes of ``points`` (node, bits) as far as they are near.
 
     A task returns only links that connect something new to it, a forest.
 
     ``bits`` must be distinct. Not every near pair is returned, but its ends are connected.
+    ``points`` is read twice: anchors that are home to more than ``hot_homes`` are found first.
     """
+    hot = _hot_anchors(points, hot_homes)
+
     def spread(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1 << 14):
                 part = batch.slice(at, 1 << 14)
                 bits = np.asarray(part.column(1)).view(np.uint64)
-                rows, keys, home = anchors(bits, max_bits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys * 2 + ~home), pa.array(bits.view(np.int64)[rows]),
-                     part.column(0).take(pa.array(rows))], ["anchor", "bits", "node"])
+                for rows, cell, home in cells(bits, *anchors(bits, max_bits), hot):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell * 2 + ~home), pa.array(bits.view(np.int64)[rows]),
+                         part.column(0).take(pa.array(rows))], ["anchor", "bits", "node"])
 
     def compare(batches):
         seen, made, rest = Forest(), [], None
@@ -182,8 +257,8 @@ def near_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 _link_large(bits[own], home[own], nodes[own], max_bits, link)
             few = (homes * sizes <= SMALL) & (homes > 0) & (sizes > 1)
             keep = np.repeat(few, sizes)
+            cut = np.cumsum((homes * sizes)[few]) // PAIRS
             bits, home, nodes, sizes = bits[keep], home[keep], nodes[keep], sizes[few]
-            cut = np.cumsum(sizes) // PAIRS * 16 if len(sizes) else sizes
             for part in np.unique(cut):
                 own = np.flatnonzero(cut == part)
                 first = int(sizes[:own[0]].sum())

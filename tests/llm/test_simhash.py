@@ -119,3 +119,55 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(20, 60)] + [(5, 5), (None, 3)]
     found = dict(map(tuple, components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert set(found.values()) == {100, 7} and len(found) == 61 + 41
+
+
+def crowd(n, seed=4):
+    """Distinct fingerprints near each other in groups, most of them at a few anchors."""
+    rng, bits = random.Random(seed), set()
+    while len(bits) < n:
+        base = rng.choice([0, 0, 0xFF, 0x3FFFF0000]) | rng.randrange(6) << 50
+        bits.add(base ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 4))) & (1 << 64) - 1)
+    return sorted(bits)
+
+
+def test_home_anchors_are_those_marked():
+    bits = np.array(crowd(500), np.uint64)
+    at, keys, home = simhash.anchors(bits)
+    marked = sorted(zip(keys[home].tolist(), at[home].tolist()))
+    assert marked == sorted(zip(simhash.home_anchors(bits).tolist(), list(range(len(bits))) * 3))
+
+
+def test_pairs_of_a_hot_anchor_meet_in_one_cell():
+    """Every pair of a hot anchor with a member at home meets, and no cell has the whole anchor."""
+    bits = np.array(crowd(600), np.uint64)
+    at, keys, home = simhash.anchors(bits)
+    values, homes = np.unique(simhash.home_anchors(bits), return_counts=True)
+    hot = values[homes > 20], -(-homes[homes > 20] // 20)
+    assert len(hot[0]) >= 3 and hot[1].max() > 5
+    met, sizes = {}, {}
+    for rows, cell, own in simhash.cells(bits, at, keys, home, hot):
+        for row, code, is_home in zip(rows.tolist(), cell.tolist(), own.tolist()):
+            met.setdefault(code, []).append((row, is_home))
+    pairs = {}
+    for code, members in met.items():
+        assert len({r for r, _ in members}) == len(members)
+        sizes.setdefault(code >> 32, []).append(len(members))
+        found = pairs.setdefault(code >> 32, set())
+        found |= {frozenset((a, b)) for a, mine in members if mine for b, _ in members if a != b}
+    wanted = {}
+    for row, key, own in zip(at.tolist(), keys.tolist(), home.tolist()):
+        wanted.setdefault(key, []).append((row, own))
+    for key, members in wanted.items():
+        assert pairs[key] == {frozenset((a, b)) for a, mine in members if mine for b, _ in members if a != b}
+    for key, side in zip(*hot):
+        assert max(sizes[key]) < 0.8 * len(wanted[key])
+
+
+@pytest.mark.parametrize("hot_homes", [7, 1 << 14])
+def test_hot_anchors_lose_no_link(spark, hot_homes):
+    bits = crowd(700, seed=8)
+    points = spark.createDataFrame([(i, b - (1 << 64) if b >> 63 else b) for i, b in enumerate(bits)],
+                                   "node bigint, bits bigint").repartition(5)
+    found = dict(map(tuple, components(simhash.near_links(points, hot_homes=hot_homes)).collect()))
+    expected = plain_components(list(range(len(bits))), bits)
+    assert [found.get(i, i) for i in range(len(bits))] == expected
