@@ -17,16 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Powers, map_arrow, mix, renamed, slices
-from millrace.session import settle
 
 LENGTH = 64
 ROLLING = 7
 SMALLEST = 3
 #: Length of a common piece without which signatures are not alike.
 COMMON = 7
-#: Text of a range of ids that one task walks through, and the ranges at most.
+#: Text of a range of rows that one task walks through, and the ranges at most.
 RANGE_BYTES = 4 << 20
-RANGES = 4096
+RANGES = 32_768
 
 _CHARS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _ROLL = Powers(0x9E3779B97F4A7C15)
@@ -142,43 +141,67 @@ def edited_text(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def _constant(numbers: list[int], kind: str):
+    """An array column that the optimizer makes once."""
+    return F.split(F.lit(" ".join(map(str, numbers))), " ").cast(f"array<{kind}>")
+
+
+def _placed(rows: DataFrame, heads: list[tuple]) -> DataFrame:
+    """``part``: which of ``heads``, in descending order, is the last not below (key, hash).
+
+    ``target`` is set on rows equal to a head: the range before, which the row follows. Heads are
+    searched in three steps, each among at most the cube root of their number.
+    """
+    side = 1
+    while side ** 3 < len(heads):
+        side += 1
+    row, at = F.struct("key", "hash"), F.lit(0)
+    rows = rows.withColumn("part", at)
+    for stride in (side * side, side, 1):
+        some = heads[::stride]
+        level = F.arrays_zip(_constant([k for k, _ in some], "bigint").alias("key"),
+                             _constant([h for _, h in some], "bigint").alias("hash"))
+        block = F.slice(level, F.expr(f"part DIV {stride}").cast("int") + 1, F.lit(side))
+        above = F.size(F.filter(block, lambda head: head >= row))
+        rows = rows.withColumn("part", (F.col("part") + (above - 1) * stride).cast("int"))
+    return rows.withColumn("target", F.when(
+        F.get(level, F.col("part")) == row, F.pmod(F.col("part") - 1, F.lit(len(heads)))))
+
+
 def with_next(docs: DataFrame, work, schema: str, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """``work(id, text, next text)`` for every row, next in descending id, wrapping around.
 
-    Texts are shuffled once, into ranges of ids. The only row that a range needs from
-    outside, the first of the next lower one, is found beforehand from ids and hashes
+    Texts are shuffled once, into ranges of (id, hash of the text). The only row that a range
+    needs from outside, the first of the next lower one, is found beforehand from ids and hashes
     and dealt to both. Rows that repeat an id follow each other by a hash of their text;
-    rows without an id come last. ``work`` returns a tuple for ``schema``.
+    rows without an id come last, in the same way, so either may fill many ranges; rows equal
+    in both share one. ``work`` returns a tuple for ``schema``.
     """
+    lowest = -1 << 63
+    missing, raw = F.col(f"`{id_col}`").isNull(), F.xxhash64("text")
+    # Rows without an id share their key with the lowest id; the sign of the hash parts them.
     source = docs.select(
-        F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-1 << 63)).alias("key"),
-        F.col(f"`{id_col}`").isNull().alias("missing"),
-        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn(
-        "hash", F.xxhash64("text"))
+        F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(lowest)).alias("key"),
+        missing.alias("missing"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn(
+        "hash", F.when(F.col("missing"), raw.bitwiseOR(F.lit(lowest)))
+        .when(F.col("key") == lowest, raw.bitwiseAND(F.lit(~lowest))).otherwise(raw))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0]
     ranges = max(1, min(RANGES, (size or 0) // RANGE_BYTES))
-    marks = [(i + 1) / ranges for i in range(ranges - 1)]
-    cuts = sorted(set(source.agg(F.percentile_approx("key", F.array(*map(F.lit, marks)), 10 * RANGES))
-                      .first()[0] or [])) if marks else []
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("key"))) if cuts else F.lit(0)
-    source = source.withColumn("part", part)
-    heads = settle(source.groupBy("part").agg(F.max(F.struct("key", "hash")).alias("head")))
-    heads = {r.part: tuple(r.head) for r in heads.collect()}
-    order = sorted(heads)
-    # A range is followed by the head of the one below, the lowest by that of the highest.
-    to = {heads[low]: high for low, high in zip(order, [*order[1:], order[0]] if order else [])}
-    target = F.create_map(*[F.lit(x) for (key, text_hash), part in to.items()
-                            for x in (f"{key}/{text_hash}", part)])[
-        F.concat_ws("/", F.col("key"), F.col("hash"))] if to else F.lit(None).cast("int")
+    spread = source.select("key", "hash").repartitionByRange(ranges, F.desc("key"), F.desc("hash"))
+    heads = (spread.groupBy(F.spark_partition_id().alias("part"))
+             .agg(F.max(F.struct("key", "hash")).alias("head")).collect())
+    heads = sorted((tuple(r.head) for r in heads), reverse=True)
+    # The first row of each range, as many as there are ranges. Without rows any one will do.
+    source = _placed(source, heads or [(0, 0)])
     own = F.struct(F.col("part"), F.lit(0).alias("copy"))
     copied = F.struct(F.col("target").alias("part"), F.lit(1).alias("copy"))
-    dealt = (source.withColumn("target", target)
+    dealt = (source
              .select("key", "missing", "text", "hash", F.explode(
                  F.when(F.col("target").isNull(), F.array(own)).otherwise(F.array(own, copied))).alias("at"))
              .select("at.part", "at.copy", "key", "missing", "text", "hash"))
     ordered = (dealt.repartition(ranges, "part")
-               .sortWithinPartitions("part", "copy", F.desc("key"), F.desc("missing"), F.desc("hash")))
+               .sortWithinPartitions("part", "copy", F.desc("key"), F.desc("hash")))
 
     def run(batches):
         waiting, now, closed = None, None, False

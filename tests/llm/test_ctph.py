@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import ctph
 
@@ -105,3 +106,41 @@ def test_edge_rows(spark):
     assert again.where("doc_id IS NULL").count() == 2
     plain = ctph.fingerprints(spark.createDataFrame([(1, "t"), (1, "t"), (None, None)], "doc_id bigint, text string"))
     assert plain.count() == 3 and plain.distinct().count() == 2
+
+
+@pytest.mark.parametrize("number", [1, 2, 7, 8, 9, 28, 200])
+def test_search_among_heads(spark, number):
+    rng = random.Random(number)
+    heads = sorted(((rng.randint(-9, 9), rng.randint(-1 << 63, (1 << 63) - 1)) for _ in range(number)), reverse=True)
+    rows = [r for r in [(k, rng.randint(-1 << 63, (1 << 63) - 1)) for k in range(-10, 9)] + heads if r <= heads[0]]
+    placed = ctph._placed(spark.createDataFrame(rows, "key bigint, hash bigint"), heads)
+    for r in placed.collect():
+        part = sum(head >= (r.key, r.hash) for head in heads) - 1
+        assert r.part == part and r.target == ((part - 1) % number if (r.key, r.hash) in heads else None)
+
+
+def test_many_rows_without_an_id_fill_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ctph, "RANGE_BYTES", 1000)
+    rng = random.Random(8)
+    rows = [(None, f"{i} " + text_of(rng, 80)) for i in range(150)] + [(3, "a"), (4, f"b{text_of(rng, 90)}")]
+    rows += [(-1 << 63, "lowest id"), (7, None), (7, "again")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    parts, follow = [], {}
+
+    def work(key, text, following):
+        return key, text, following
+
+    found = ctph.with_next(docs, work, "doc_id bigint, text string, following string")
+    for r in found.select("*", F.spark_partition_id().alias("at")).collect():
+        parts.append(r["at"])
+        assert follow.setdefault((r.doc_id, r.text), r.following) == r.following
+    assert sorted(follow, key=repr) == sorted(((k, t or "") for k, t in rows), key=repr)
+    assert len(set(parts)) > 3 and max(map(parts.count, parts)) < 100
+    # One ring through all rows, in descending id, rows without one at its end.
+    owner, text, ring = {t: k for k, t in follow}, rows[-1][1], []
+    for _ in follow:
+        ring.append(owner[text])
+        text = follow[ring[-1], text]
+    assert text == rows[-1][1]
+    begin = next(i for i, k in enumerate(ring) if k is not None and ring[i - 1] is None)
+    assert ring[begin:] + ring[:begin] == [7, 7, 4, 3, -1 << 63] + [None] * 150
