@@ -141,31 +141,26 @@ def edited_text(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def _constant(numbers: list[int], kind: str):
-    """An array column that the optimizer makes once."""
-    return F.split(F.lit(" ".join(map(str, numbers))), " ").cast(f"array<{kind}>")
-
-
 def _placed(rows: DataFrame, heads: list[tuple]) -> DataFrame:
     """``part``: which of ``heads``, in descending order, is the last not below (key, hash).
 
     ``target`` is set on rows equal to a head: the range before, which the row follows. Heads are
-    searched in three steps, each among at most the cube root of their number.
+    one constant of 16 bytes each, in which every row takes a binary search.
     """
-    side = 1
-    while side ** 3 < len(heads):
-        side += 1
-    row, at = F.struct("key", "hash"), F.lit(0)
-    rows = rows.withColumn("part", at)
-    for stride in (side * side, side, 1):
-        some = heads[::stride]
-        level = F.arrays_zip(_constant([k for k, _ in some], "bigint").alias("key"),
-                             _constant([h for _, h in some], "bigint").alias("hash"))
-        block = F.slice(level, F.expr(f"part DIV {stride}").cast("int") + 1, F.lit(side))
-        above = F.size(F.filter(block, lambda head: head >= row))
-        rows = rows.withColumn("part", (F.col("part") + (above - 1) * stride).cast("int"))
-    return rows.withColumn("target", F.when(
-        F.get(level, F.col("part")) == row, F.pmod(F.col("part") - 1, F.lit(len(heads)))))
+    lowest, width = -1 << 63, 16
+    ordered = F.lit(b"".join((k - lowest << 64 | h - lowest).to_bytes(width, "big") for k, h in heads))
+    row = F.unhex(F.concat(*[F.lpad(F.hex(F.col(c).bitwiseXOR(F.lit(lowest))), width, "0")
+                             for c in ("key", "hash")]))
+
+    def head(place):
+        return F.substring(ordered, place * width + 1, F.lit(width))
+
+    steps = [1 << i for i in reversed(range(len(heads).bit_length()))]
+    part = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(
+        head(at + step) >= F.col("row"), at + step).otherwise(at))
+    return (rows.withColumn("row", row).withColumn("part", part)
+            .withColumn("target", F.when(head(F.col("part")) == F.col("row"),
+                                         F.pmod(F.col("part") - 1, F.lit(len(heads))))).drop("row"))
 
 
 def with_next(docs: DataFrame, work, schema: str, id_col: str = "doc_id",
