@@ -3,7 +3,8 @@
 Every language has a codeword of bits. One binary n-gram classifier per bit predicts it:
 the log-odds of a text's hashed character n-grams under the languages whose bit is set
 against the others. Decoding takes the codeword with the least weighted logistic loss;
-a bit weighs as much for a language as its classifier was right on that language.
+a bit weighs as much for a language as its classifier was right on rows of that language
+that it was not fitted on.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from millrace.llm.common import map_slices, mix, renamed
 BITS = 16
 #: Labelled documents taken per language to fit on, about; the bound of the sample.
 DOCS_PER_LANGUAGE = 3000
+#: Parts of the sample; a bit is judged on each by a classifier fitted on the others.
+FOLDS = 2
+#: Languages at most. The model and what it is made of grow with them.
+LANGUAGES = 500
 #: Languages up to which every split of them is a bit.
 EXHAUSTIVE = 6
 #: n-grams from which a longer text is no surer than a shorter one.
@@ -110,52 +115,55 @@ class Model:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
-    """Fit on rows with a language. Rows enter the sample by a hash of their id.
+    """Fit on rows with a language. Rows enter the sample, and a fold of it, by hashes of their id.
 
     Only what the model consists of reaches the driver: the number of rows per language,
-    the counts per language and bin, and how often each bit was right per language.
+    the counts per fold, language and bin, and how often each bit was right per language.
+    More than ``LANGUAGES`` languages are an error.
     """
     source = renamed(labelled, key=id_col, text=text_col, lang=lang_col).where("lang IS NOT NULL")
-    counts = {r.lang: r.n for r in source.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = source.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
+    counts = {r.lang: r.n for r in counted}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     languages = sorted(counts)
     if not languages:
         return Model([], codewords(0), np.zeros((2 << BITS, 0), np.float32))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items()
                            for x in (lang, min(1.0, docs_per_language / n))])
     drawn = F.pmod(F.xxhash64(F.col("key"), F.lit("language")), F.lit(1 << 20)) / (1 << 20)
-    sample = source.where(drawn < share[F.col("lang")]).select("text", "lang")
+    fold = F.pmod(F.xxhash64(F.col("key"), F.lit("fold")), F.lit(FOLDS))
+    sample = source.where(drawn < share[F.col("lang")]).select("text", "lang", fold.alias("fold"))
     number = {lang: i for i, lang in enumerate(languages)}
     size = 2 << BITS
 
     def count(batch):
         two, three, begin = grams(batch.column(0).to_pylist())
-        own = np.repeat([number[x] for x in batch.column(1).to_pylist()], np.diff(begin)) * size
+        own = np.array([number[x] for x in batch.column(1).to_pylist()])
+        own = np.repeat((np.asarray(batch.column(2)) * len(number) + own) * size, np.diff(begin))
         found, n = np.unique(np.concatenate([own + two, own + three]), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["cell", "n"])
 
     cells = (map_slices(sample, "text", "cell bigint, n bigint", count, SLICE)
              .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
-    table = np.full(len(languages) * size, 0.5)
-    table[np.asarray(cells.column("cell"))] += np.asarray(cells.column("n"))
-    table = table.reshape(len(languages), 2, size // 2)
-    table = (table / table.sum(axis=2, keepdims=True)).reshape(len(languages), size)
+    table = np.zeros(FOLDS * len(languages) * size)
+    table[np.asarray(cells.column("cell"))] = np.asarray(cells.column("n"))
+    table = table.reshape(FOLDS, len(languages), size)
 
     code = codewords(len(languages))
-    weights = np.empty((size, code.shape[1]), np.float32)
-    for bit in range(code.shape[1]):
-        on = code[:, bit] > 0
-        weights[:, bit] = np.log(table[on].mean(axis=0)) - np.log(table[~on].mean(axis=0))
-    model = Model(languages, code, weights)
+    model = Model(languages, code, _bit_weights(table.sum(axis=0), code))
     if not code.shape[1]:
         model.trust = np.ones(code.shape)
         return model
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared = sample.sparkSession.sparkContext.broadcast(
+        [Model(languages, code, _bit_weights(table.sum(axis=0) - own, code)) for own in table])
 
     def judge(batch):
-        model = shared.value
-        margin = model.margins(batch.column(0).to_pylist())
-        own = np.array([number[x] for x in batch.column(1).to_pylist()])
-        right = margin * model.code[own] > 0
+        texts, own = batch.column(0).to_pylist(), np.array([number[x] for x in batch.column(1).to_pylist()])
+        folds, right = np.asarray(batch.column(2)), np.zeros((len(own), code.shape[1]), bool)
+        for fold in np.unique(folds).tolist():
+            at = np.flatnonzero(folds == fold)
+            right[at] = shared.value[fold].margins([texts[i] for i in at]) * code[own[at]] > 0
         rows = [(lang, bit, int(right[own == lang, bit].sum()), int((own == lang).sum()))
                 for lang in np.unique(own).tolist() for bit in range(right.shape[1])]
         return pa.RecordBatch.from_arrays(
@@ -169,6 +177,18 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return model
 
 
+def _bit_weights(table: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Log-odds of every bin, a column per bit, from the counts per language and bin."""
+    languages, size = table.shape
+    table = (table + 0.5).reshape(languages, 2, size // 2)
+    table = (table / table.sum(axis=2, keepdims=True)).reshape(languages, size)
+    weights = np.empty((size, code.shape[1]), np.float32)
+    for bit in range(code.shape[1]):
+        on = code[:, bit] > 0
+        weights[:, bit] = np.log(table[on].mean(axis=0)) - np.log(table[~on].mean(axis=0))
+    return weights
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """One row (doc_id, lang_pred, score, ambiguous) per row of ``docs``, over whole texts.

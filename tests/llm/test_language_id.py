@@ -77,3 +77,32 @@ def test_no_or_one_language(spark, lang, expected):
     docs = spark.createDataFrame([(1, "some text", lang)], "doc_id bigint, text string, lang string")
     model = language_id.fit(docs)
     assert language_id.identify(docs, model).first()["lang_pred"] == expected
+
+
+def test_bits_are_judged_on_rows_they_were_not_fitted_on(spark):
+    # Languages 0 and 3 are one text each, 1 and 2 the same noise: bits that part 1 from 2
+    # know the rows they were fitted on by heart and no others.
+    rng = np.random.default_rng(3)
+    noise = ["".join(rng.choice(list("opqrstuvwxyz"), 40)) for _ in range(120)]
+    rows = [(i, "aaab aab " * 4 if i % 2 else "cdcc dcd " * 4, "l0" if i % 2 else "l3") for i in range(120)]
+    rows += [(200 + i, t, "l1" if i % 2 else "l2") for i, t in enumerate(noise)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    code, trust = model.code, model.trust
+    even = np.abs(code.sum(axis=0)) == 0
+    apart, other = even & (code[1] == code[2]), even & (code[1] != code[2])
+    assert apart.sum() == 1 and other.sum() == 2 and np.allclose(trust.sum(axis=1), 1)
+    assert (trust[1:3][:, apart] > 1.3 * trust[1:3][:, other]).all()
+    right = model.margins(noise) * code[[1 if i % 2 else 2 for i in range(120)]] > 0
+    assert right[:, other].mean() > 0.95  # so judged on the same rows they would be trusted
+
+
+def test_too_many_languages_and_clashing_columns(spark, monkeypatch):
+    rows = [(i, f"text {i}", f"l{i % 4}", 1, "x") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, fold int, lang_pred string")
+    model = language_id.fit(docs)
+    assert language_id.identify(docs, model).columns == ["doc_id", "lang_pred", "score", "ambiguous"]
+    assert language_id.identify(docs, model).count() == 12
+    assert set(language_id.recognised(docs, model).columns) == set(docs.columns)
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        language_id.fit(docs)
