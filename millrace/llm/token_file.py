@@ -10,17 +10,17 @@ each document begins. Mapped into memory, a sequence or a document is a view of
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.ipc as ipc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_arrow, renamed, slices
@@ -32,18 +32,35 @@ BATCH = 512
 #: Text that goes into one file, about.
 FILE_BYTES = 32 << 20
 END = 1
-#: Words a task keeps the ids of.
-KEPT = 500_000
+#: Characters of a text that place it among rows of one id.
+HEAD = 64
+#: Parts of words a task keeps the ids of.
+KEPT = 1_000_000
+#: Text encoded at a time.
+SLICE = 4_000_000
+#: Words in one call of the tokenizer, and in one line of it.
+CALL, LINE = 64_000, 2_000
+#: Tasks that read files, at most, and files whose sizes are added up in one task.
+READERS, BLOCK = 20_000, 4096
 
 #: A word of letters that are lower-cased one by one and never composed, with at most one
 #: mark after it. The tokenizer takes the letters and the mark apart anyway.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+_SIMPLE = "^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<mark>[.,;:!?]?)$"
+
+
+def _gathered(flat: np.ndarray, begin: np.ndarray, order: np.ndarray):
+    """Stretches of ``flat`` in the given order, one after the other, and where each begins."""
+    first = begin[order]
+    count = begin[order + 1] - first
+    at = np.zeros(len(order) + 1, np.int64)
+    np.cumsum(count, out=at[1:])
+    return flat[np.repeat(first - at[:-1], count) + np.arange(at[-1])], at
 
 
 class WordTokens:
     """Ids of texts from a tokenizer that drops white space and never joins across it.
 
-    Texts are cut at spaces, tabs and line ends. The tokenizer meets every new word once, and
+    Texts are cut at white space of ASCII, in Arrow. The tokenizer meets every new word once, and
     words that differ in case or in a mark at the end only once together. With ``spell_special``
     the name of a special token in a text is spelt like other text, else it is that token;
     names hold no white space, so words are enough either way.
@@ -55,35 +72,81 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = spell_special
-        self.size = self.tokenizer.get_vocab_size()
-        self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
-        self.kept: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Ids of new words, from those of their parts."""
-        split = []
-        for word in words:
-            text = word.decode()
-            simple = _SIMPLE.fullmatch(text)
-            split.append((simple[1].lower(), simple[2]) if simple else (text, ""))
-        new = list({p for pair in split for p in pair if p not in self.parts})
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.parts.update((p, np.array(e.ids, self.kind).tobytes()) for p, e in zip(some, made))
-        self.kept.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(words, split))
-
-    def encode(self, texts: list[str | None], end: int = END) -> list[np.ndarray]:
-        if len(self.kept) > KEPT:
-            self.kept.clear()
-        if len(self.parts) > KEPT:
-            self.parts = {"": b""}
-        kept = self.kept
-        words = [(t or "").encode("utf-8").split() for t in texts]
-        self._learn(list(set().union(*words).difference(kept)))
-        last = np.array([end], self.kind).tobytes()
-        return [np.frombuffer(b"".join([*map(kept.__getitem__, own), last]), self.kind) for own in words]
+        vocabulary = self.tokenizer.get_vocab()
+        size = max(vocabulary.values()) + 1
+        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        #: Ids that end a word; None if the vocabulary does not tell.
+        self.ends = np.zeros(size, bool) if suffix else None
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {"": 0}
+        self.flat, self.begin = np.zeros(0, self.kind), np.zeros(2, np.int64)
+
+    def _each(self, words: list[str]):
+        """Ids of words met one by one, and how many each has."""
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(made), self.kind), np.fromiter(map(len, made), np.int64)
+
+    def _together(self, words: list[str]):
+        """As ``_each``, for words of letters: whole lines of them, cut where words end.
+
+        Every word has at least one id that ends it. So if a call gives as many of these as there
+        are words, each has one; else they are met one by one.
+        """
+        if self.ends is not None:
+            lines = [" ".join(words[at:at + LINE]) for at in range(0, len(words), LINE)]
+            flat, _ = self._each(lines)
+            last = np.flatnonzero(self.ends[flat])
+            if len(last) == len(words):
+                return flat, np.diff(last, prepend=-1)
+        return self._each(words)
+
+    def _known(self, parts: list[str]) -> np.ndarray:
+        """The numbers of distinct parts; new ones get theirs, and their ids."""
+        known = self.numbers
+        number = np.fromiter(map(known.get, parts, repeat(-1)), np.int64, len(parts))
+        places = np.flatnonzero(number < 0)
+        letters = np.array([parts[i].isalpha() for i in places.tolist()], bool)
+        flat, counts = [self.flat], []
+        for some, meet in ((places[letters], self._together), (places[~letters], self._each)):
+            for at in range(0, len(some), CALL):
+                call = some[at:at + CALL]
+                words = [parts[i] for i in call.tolist()]
+                ids, count = meet(words)
+                flat.append(ids)
+                counts.append(count)
+                number[call] = np.arange(len(known), len(known) + len(call))
+                known.update(zip(words, number[call].tolist()))
+        if counts:
+            more = self.begin[-1] + np.cumsum(np.concatenate(counts))
+            self.flat, self.begin = np.concatenate(flat), np.concatenate([self.begin, more])
+        return number
+
+    def encode(self, texts: pa.Array, end: int = END) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, ``end`` after each, and where each text begins."""
+        if len(self.numbers) > KEPT:
+            self._forget()
+        lists = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        own = words.dictionary
+        simple = pc.extract_regex(own, pattern=_SIMPLE)
+        found = simple.is_valid()
+        letters = pc.if_else(found, pc.utf8_lower(pc.struct_field(simple, "letters")), own)
+        marks = pc.if_else(found, pc.struct_field(simple, "mark"), "")
+        parts = pa.concat_arrays([letters, marks]).dictionary_encode()
+        number = self._known(parts.dictionary.to_pylist())
+        pairs = number[np.asarray(parts.indices)].reshape(2, len(own)).T.reshape(-1)
+        # Ids per distinct word, those of its two parts, and as one word more the end.
+        flat, at = _gathered(self.flat, self.begin, pairs)
+        flat, at = np.append(flat, self.kind(end)), np.append(at[::2], at[-1] + 1)
+        after = np.cumsum(np.asarray(pc.list_value_length(lists)))
+        order = np.insert(np.asarray(words.indices).astype(np.int64), after, len(own))
+        ids, at = _gathered(flat, at, order)
+        return ids, np.append(0, at[after + np.arange(1, len(after) + 1)])
 
 
 def _schema(kind, length: int) -> pa.Schema:
@@ -189,9 +252,11 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
     """Encode and write; returns the files written (part, path, n_docs, n_tokens), by part.
 
     A task that is run again writes the same file under the same name. A NULL or empty
-    text is its end id alone. Rows without an id come first; rows that repeat an id
-    follow each other by their text. No rows, no files. Without ``spell_special`` ids are those
-    of the library's own settings, in which a text may hold special tokens by name.
+    text is its end id alone. Rows without an id come first; rows that repeat an id, or have
+    none, follow each other by the first ``HEAD`` characters of their text, then by a hash of it,
+    and fill as many files as they need; equal rows share one. No rows, no files. Without
+    ``spell_special`` ids are those of the library's own settings, in which a text may hold
+    special tokens by name.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
@@ -199,19 +264,20 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
         shared = spark.sparkContext.broadcast(file.read())
     source = renamed(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0]
-    ordered = (source.repartitionByRange(max(1, (size or 0) // FILE_BYTES), "doc_id")
-               .sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.substring("text", 1, HEAD), F.xxhash64("text")]
+    ordered = (source.repartitionByRange(max(1, (size or 0) // FILE_BYTES), *order)
+               .sortWithinPartitions(*order)
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
     def run(batches):
         words, writer, part, n = None, None, 0, 0
-        for batch in slices(batches, "text", 1_500_000):
+        for batch in slices(batches, "text", SLICE):
             if writer is None:
                 words, part = WordTokens(shared.value, spell_special), batch.column(0)[0].as_py()
                 writer = Writer(folder, f"part-{part:06d}", words.kind, length)
-            ids = words.encode(batch.column(2).to_pylist(), end)
-            for key, own in zip(batch.column(1).to_pylist(), ids):
-                writer.add(key, own)
+            ids, at = words.encode(batch.column(2), end)
+            for key, begin, stop in zip(batch.column(1).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                writer.add(key, ids[begin:stop])
             n += batch.num_rows
         if writer is not None:
             writer.close()
@@ -225,23 +291,25 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
 def read(files: DataFrame, per_file=None, schema: str = "doc_id bigint, start bigint, ids array<int>"):
     """Every document in the files that ``write`` returned: its id, place and ids.
 
-    The files are few (one per ``FILE_BYTES`` of text); only their sizes reach the driver,
-    which adds them up to where each file begins. ``per_file`` may make other rows.
+    Where a file begins is the sum of those before it: within its block of files, and of the
+    blocks before. ``per_file`` may make other rows.
     """
-    spark = files.sparkSession
-    listed = sorted(files.select("part", "path", "n_tokens").collect())
-    rows, base = [], 0
-    for r in listed:
-        rows.append((r.path, base))
-        base += r.n_tokens
+    def before(*part):
+        return Window.partitionBy(*part).rowsBetween(Window.unboundedPreceding, -1)
 
     def run(batches):
         for batch in batches:
             for path, start in zip(*(c.to_pylist() for c in batch.columns)):
                 yield from (per_file or _documents)(TokenFile(path), start)
 
-    spread = spark.createDataFrame(rows, "path string, base bigint").repartition(max(1, len(rows)))
-    return map_arrow(spread, run, schema)
+    sized = files.select("path", "part", "n_tokens", F.expr(f"part DIV {BLOCK}").alias("block"))
+    # One row per block: few, however many files there are.
+    blocks = (sized.groupBy("block").agg(F.sum("n_tokens").alias("sum"))
+              .select("block", F.coalesce(F.sum("sum").over(before().orderBy("block")), F.lit(0)).alias("base")))
+    own = F.coalesce(F.sum("n_tokens").over(before("block").orderBy("part")), F.lit(0))
+    placed = (sized.withColumn("own", own).join(blocks, "block")
+              .select("path", (F.col("base") + F.col("own")).alias("base")))
+    return map_arrow(placed.repartition(max(1, min(READERS, files.count()))), run, schema)
 
 
 def _documents(file: TokenFile, base: int) -> Iterator[pa.RecordBatch]:

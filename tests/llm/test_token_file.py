@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -91,3 +92,33 @@ def test_query_gives_the_library_s_ids_of_special_tokens(spark, tmp_path):
         ids = library.encode(texts[row[0]], add_special_tokens=False).ids + [1]
         assert row == (row[0], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_rows_of_one_id_fill_several_files(spark, monkeypatch):
+    monkeypatch.setattr(token_file, "FILE_BYTES", 2000)
+    monkeypatch.setattr(token_file, "BLOCK", 4)
+    rows = [(None, f"{i % 3} word{i} " * 20) for i in range(200)] + [(5, None), (4, "x"), (4, "x")]
+    rows += [(None, "same beginning of a text that is longer than what places a row, " + c) for c in "abc"]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    files = token_file.write(docs.repartition(5), PATH, length=16)
+    assert files.count() > 8 and files.agg({"n_docs": "max"}).first()[0] < 60
+    found = sorted(map(tuple, token_file.read(files).collect()), key=lambda r: r[1])
+    assert [r[1] for r in found] == np.cumsum([0, *(len(r[2]) for r in found)])[:-1].tolist()
+    assert [r[0] for r in found] == [None] * 203 + [4, 4, 5]
+    assert sorted(list(r[2]) for r in found) == sorted(ids_of([t for _, t in rows]))
+
+
+def test_words_in_any_script(monkeypatch):
+    monkeypatch.setattr(token_file, "LINE", 7)
+    texts = ["İstanbul ΑΣ ΣΑΣ straße STRASSE ŒUVRE ﬁne Ǆ don't l'été x1y2 漢字 かな한국 ไทย नमस्ते",
+             "étude É́ ́a   a b \x85 ªº 가 Ⅷ ²", " \t\nab  cd\x0b\x0cef ", "", None]
+    words = token_file.WordTokens(open(PATH, encoding="utf-8").read(), spell_special=True)
+    for _ in range(2):  # the second time from what is kept
+        ids, at = words.encode(pa.array(texts))
+        assert [ids[b:e].tolist() for b, e in zip(at, at[1:])] == ids_of(texts)
+    words.ends[:] = False  # a vocabulary that does not mark the ends of words
+    words._forget()
+    ids, at = words.encode(pa.array(texts))
+    assert [ids[b:e].tolist() for b, e in zip(at, at[1:])] == ids_of(texts)
+    ids, at = words.encode(pa.array([], pa.string()))
+    assert len(ids) == 0 and at.tolist() == [0]
