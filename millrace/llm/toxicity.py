@@ -84,17 +84,25 @@ class Model:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", docs: int = DOCS) -> Model:
-    """Fit on rows with a label; rows enter the bounded sample by a hash of their id.
+    """Fit on rows with a label; rows enter the bounded sample by a hash of their id, or without
+    one of their text.
 
     Texts become coordinate sets on the executors; one task then walks through the
-    sample, whose size does not grow with the corpus, and returns the weights.
+    sample, whose size does not grow with the corpus, and returns the weights. Where an id of many
+    rows, or the rows without one, make the sample more than twice ``docs``, rows equal in id, text
+    and label enter it once, by a hash of id and text.
     """
     source = renamed(labelled, key=id_col, text=text_col, label=label_col).where("label IS NOT NULL")
-    drawn = F.xxhash64(F.col("key"), F.lit("toxicity"))
+    keyless = F.when(F.col("key").isNull(), F.col("text"))  # a NULL adds nothing to the hash
+    drawn = F.xxhash64(F.col("key"), keyless, F.lit("toxicity"))
     rows = source.count()
     share = min(1.0, docs / rows) if rows else 1.0
     sample = source.withColumn("drawn", drawn).where(
         F.pmod("drawn", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    if sample.count() > 2 * docs:
+        sample = sample.withColumn("drawn", F.xxhash64("drawn", "text")).dropDuplicates(["drawn", "label"])
+        share = min(1.0, docs / sample.count())
+        sample = sample.where(F.pmod("drawn", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
     def sets(batch):
         grams, rows = features(batch.column(1))

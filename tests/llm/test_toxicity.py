@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from millrace.llm import queries, toxicity
 
@@ -69,3 +70,37 @@ def test_edge_rows(spark):
     assert toxicity.score(odd.where("false"), model).count() == 0
     nothing = toxicity.fit(docs.where("toxic IS NULL"))
     assert {r.score for r in toxicity.score(odd, nothing).collect()} == {0.5}
+
+
+def test_an_id_of_many_rows_leaves_the_sample_bounded(spark, monkeypatch):
+    rows = [(i, f"a quiet day number {i}", 0) for i in range(300)]
+    rows += [(None, f"you utter fool and dolt {i % 200}", 1) for i in range(900)] + [(None, None, 1)] * 300
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    sizes, ftrl = spark.sparkContext.accumulator(0), toxicity.ftrl
+
+    def counted(examples, labels):
+        sizes.add(len(labels))
+        return ftrl(examples, labels)
+
+    monkeypatch.setattr(toxicity, "ftrl", counted)
+    learnt = toxicity.fit(docs, docs=100)
+    assert 50 <= sizes.value <= 200
+    # An id that the sample takes, with all of its rows: 501 that differ.
+    drawn = F.pmod(F.xxhash64(F.col("id"), F.lit("toxicity")), F.lit(1 << 20)) < 1000
+    hot = docs.withColumn("doc_id", F.lit(spark.range(100_000).where(drawn).first()[0]).cast("bigint"))
+    sizes.value = 0
+    toxicity.fit(hot, docs=100)
+    assert 50 <= sizes.value <= 200
+    odd = spark.createDataFrame([(1, "you utter fool and dolt", 2, "x"), (2, "a quiet day", 3, "y")],
+                                "doc_id bigint, text string, predicted int, score string")
+    found = toxicity.score(odd, learnt)
+    assert found.columns == ["doc_id", "score", "predicted"]
+    scores = {r.doc_id: r.score for r in found.collect()}
+    assert scores[1] > 0.5 > scores[2]
+
+
+def test_sample_is_the_same_however_rows_are_spread(spark):
+    rows = [(None if i % 3 else i, f"word{i % 50} {'fool' if i % 2 else 'sea'}", i % 2) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    one, two = (toxicity.fit(docs.repartition(n), docs=60) for n in (1, 5))
+    assert sorted(zip(one.at.tolist(), one.weights.tolist())) == sorted(zip(two.at.tolist(), two.weights.tolist()))
