@@ -94,3 +94,13 @@ def test_given_documents(spark):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()
     exact = {(d.doc_id, i.item_id) for d in docs for i in items if i.text in d.text}
     assert exact <= {(r.doc_id, r.item_id) for r in found.collect()}
+
+
+def test_columns_of_clashing_names_stay(spark):
+    tests = spark.createDataFrame([(1, "one two three four five six seven", 4)], "item_id bigint, text string, key int")
+    docs = spark.createDataFrame([(1, "x one two three four five six seven", "a", 1), (2, "clean", "b", 2), (None, None, "c", 3)],
+                                 "doc_id bigint, text string, __item string, `my key` int")
+    left = decontaminate.without_benchmark(docs, tests)
+    assert left.schema == docs.schema and sorted(r["my key"] for r in left.collect()) == [2, 3]
+    found = decontaminate.contaminated(docs.withColumnRenamed("my key", "item_id"), tests).collect()
+    assert [(r.doc_id, r.item_id, r.distance) for r in found] == [(1, 1, 0)]
